@@ -71,8 +71,8 @@ def node_budgets(nodes: DataFrame, year: int | None = None) -> DataFrame:
 
 
 def node_years(nodes: DataFrame) -> DataFrame:
-    """Positive fiscal years, newest first (A25 years)."""
-    return nodes.filter(F.col("approval_year") > 0).select("approval_year").distinct().orderBy(F.desc("approval_year"))
+    """Distinct positive fiscal years (A25 years; shown newest first)."""
+    return nodes.filter(F.col("approval_year") > 0).select("approval_year").distinct()
 
 
 def node_panel(nodes: DataFrame, year: int | None = None) -> DataFrame:
@@ -93,13 +93,13 @@ def node_panel(nodes: DataFrame, year: int | None = None) -> DataFrame:
     )
 
 
-def node_totals(panel_rows: DataFrame) -> DataFrame:
-    """Cross-node totals, present only when the combined budget > 0."""
-    t = panel_rows.agg(
-        F.sum(F.col("current_budget").cast(MONEY)).alias("total_budget"),
-        F.sum(F.col("actuals").cast(MONEY)).alias("total_spent"),
-        F.sum(F.col("open_commitments").cast(MONEY)).alias("total_committed"),
-        F.sum(F.col("budget_available").cast(MONEY)).alias("total_available"),
+def node_totals(node_rows: DataFrame) -> DataFrame:
+    """Cross-node totals of A12 rows, present only when the budget > 0."""
+    t = node_rows.agg(
+        F.sum("current_budget").alias("total_budget"),
+        F.sum("actuals").alias("total_spent"),
+        F.sum("open_commitments").alias("total_committed"),
+        F.sum("budget_available").alias("total_available"),
     )
     return t.filter(F.col("total_budget") > 0).select(*[F.col(c).cast("double").alias(c) for c in t.columns])
 
