@@ -7,7 +7,7 @@ writes them (stage + swap) so reports can read them back without lineage.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,10 +56,13 @@ def build_stages(raw: fixtures.RawInputs, params: SourceParams) -> Stages:
     return Stages(pulled, keys, direct, store_map, umbrella, umb_mapped, cmap, comment, merged)
 
 
-def build(raw: fixtures.RawInputs, params: SourceParams | None = None) -> Curated:
+def build(raw: fixtures.RawInputs, params: SourceParams | None = None,
+          pos_source: DataFrame | None = None) -> Curated:
+    """Lazy curated tables. ``pos_source`` (the written PO table) lets the
+    project backfill read stored POs instead of re-running the PO merge."""
     p = params or SourceParams()
     st = build_stages(raw, p)
-    pos = load.load_pos(st.merged)
+    pos = pos_source if pos_source is not None else load.load_pos(st.merged)
     projects = load.backfill_contractor(load.load_projects(st.pulled), pos)
     budgets = load.load_budgets(st.pulled)
     nodes = fn.load_fund_nodes(raw.nodes, p)
@@ -71,18 +74,28 @@ def from_testdata(spark: SparkSession, sf_dir: str, params: SourceParams | None
     return build(fixtures.load_raw(spark, sf_dir, p), p)
 
 
-def materialize(spark: SparkSession, cur: Curated, root: str) -> Curated:
-    """Write each curated table (overwrite), then read it back.
+def _write(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
-    Writing into a fresh ``root`` per run and reading from there is the
-    stage-and-swap: readers of a previous root are never disturbed, and
-    the reports that follow start from files, not from the refresh lineage.
+
+def materialize(spark: SparkSession, cur: Curated, root: str,
+                raw: fixtures.RawInputs | None = None, params: SourceParams | None = None) -> Curated:
+    """Write the curated tables (overwrite) in dependency order.
+
+    POs are written first; with ``raw`` given, the project backfill is
+    rebuilt on the written PO table, so the PO merge runs once. Writing
+    into a fresh ``root`` per run and reading back from there is the
+    stage-and-swap: readers of a previous root are never disturbed, and the
+    reports start from files, not from the refresh lineage.
     """
-    out = {}
-    for f in fields(cur):
-        path = f"{root.rstrip('/')}/{f.name}"
-        getattr(cur, f.name).write.mode("overwrite").parquet(path)
-        out[f.name] = spark.read.parquet(path)
+    base = root.rstrip("/")
+    pos = _write(spark, cur.pos, f"{base}/pos")
+    if raw is not None:
+        cur = build(raw, params, pos_source=pos)
+    out = {"pos": pos}
+    for name in ("projects", "budgets", "fund_nodes"):
+        out[name] = _write(spark, getattr(cur, name), f"{base}/{name}")
     return Curated(**out)
 
 

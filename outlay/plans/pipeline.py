@@ -76,7 +76,7 @@ def run_refresh(spark: SparkSession, sf_dir: str, out_root: str, params: SourceP
     """
     p = params or SourceParams()
     raw = fixtures.load_raw(spark, sf_dir, p)
-    cur = C.materialize(spark, C.build(raw, p), f"{out_root}/curated")
+    cur = C.materialize(spark, C.build(raw, p), f"{out_root}/curated", raw, p)
     docs = fixtures.doc_old(spark, sf_dir, p)
     source_freshness(raw, docs, p).write.mode("overwrite").parquet(f"{out_root}/source_freshness")
     return cur
