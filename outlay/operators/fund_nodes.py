@@ -60,14 +60,14 @@ def load_fund_nodes(raw_nodes: DataFrame, params: SourceParams) -> DataFrame:
 def node_budgets(nodes: DataFrame, year: int | None = None) -> DataFrame:
     """A12 (+F25): one year's rows as stored, or all years summed per node."""
     if year:
-        return nodes.filter(F.col("approval_year") == year).select(*NODE_COLUMNS)
+        return nodes.filter(F.col("approval_year") == year).select(*NODE_COLUMNS).orderBy("node_key")
     return nodes.groupBy("node_key", "node_label").agg(
         F.max("description").alias("description"),
         F.lit(0).alias("approval_year"),
         *[F.sum(m).cast(MONEY).alias(m) for m in MEASURES],
         F.sum("project_count").cast("long").alias("project_count"),
         F.max("last_updated").alias("last_updated"),
-    ).select(*NODE_COLUMNS)
+    ).select(*NODE_COLUMNS).orderBy("node_key")
 
 
 def node_years(nodes: DataFrame) -> DataFrame:

@@ -254,3 +254,24 @@ def vendor_email_lines(cur: Curated, selection: DataFrame, as_of: str = DEFAULT_
 
 
 __all__ = [n for n in dir() if not n.startswith("_")] + ["MONEY"]
+
+
+def display_rows(rows: DataFrame, program_token: str) -> DataFrame:
+    """Display fields of a PO page."""
+    from ..functions.expressions import aging_band, currency_text, date_prefix, location_text
+    return rows.select(
+        "*",
+        currency_text(F.col("po_total")).alias("po_total_text"),
+        currency_text(F.col("remaining_to_invoice")).alias("remaining_text"),
+        aging_band(F.col("days_since_last_invoice")).alias("aging_band"),
+        date_prefix(F.col("created_date")).alias("created_day"),
+        location_text(F.col("city"), F.col("state")).alias("location"),
+    )
+
+
+def write_email_report(cur: Curated, selection: DataFrame, root: str, as_of: str = DEFAULT_AS_OF) -> None:
+    """Per-vendor sections and the plain-text body lines as JSON datasets."""
+    base = root.rstrip("/")
+    vendor_email_report(cur, selection, as_of).write.mode("overwrite").json(f"{base}/sections")
+    (vendor_email_lines(cur, selection, as_of).orderBy("vendor", "po_number", "project_id")
+     .write.mode("overwrite").json(f"{base}/lines"))

@@ -255,3 +255,22 @@ def dashboard(cur: Curated, search: str | None = None) -> dict[str, DataFrame]:
         "fund_nodes": node_budgets(cur.fund_nodes),
         "fund_years": node_years(cur.fund_nodes),
     }
+
+
+TYPE_WORDS = ("HOUSEHOLD", "MACHINERY", "BUILDING")
+
+
+def display_rows(rows: DataFrame, program_token: str, words: tuple[str, ...] = TYPE_WORDS) -> DataFrame:
+    """Display fields of the project table."""
+    from ..functions.expressions import (blank_sentinel, currency_text, date_prefix, location_text,
+                                         short_currency, type_category, type_label)
+    return rows.select(
+        "*",
+        type_label(F.col("project_type"), program_token).alias("type_label"),
+        type_category(F.col("project_type"), words).alias("type_category"),
+        location_text(F.col("city"), F.col("state")).alias("location"),
+        date_prefix(F.col("created_date")).alias("created_day"),
+        date_prefix(blank_sentinel(F.col("complete_date"))).alias("completed_day"),
+        currency_text(F.col("budget_total")).alias("budget_total_text"),
+        short_currency(F.col("budget_actuals")).alias("budget_actuals_short"),
+    )
