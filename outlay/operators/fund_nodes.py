@@ -42,8 +42,8 @@ def load_fund_nodes(raw_nodes: DataFrame, params: SourceParams) -> DataFrame:
     )
     # J13 without a join: one global row holds the (bounded) year and key sets.
     tracked = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("label")) for k, v in params.tracked_nodes])
-    seen = rows.agg(F.collect_set(F.coalesce("approval_year", F.lit(0))).alias("years"),
-                    F.collect_set("node_key").alias("found"))
+    seen = won.agg(F.collect_set(F.coalesce("approval_year", F.lit(0))).alias("years"),
+                   F.collect_set("node_key").alias("found"))
     placeholders = (
         seen.select(F.explode(tracked).alias("t"),
                     F.when(F.size("years") > 0, F.col("years")).otherwise(F.array(F.lit(0))).alias("years"), "found")

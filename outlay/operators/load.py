@@ -49,9 +49,9 @@ def load_pos(merged: DataFrame) -> DataFrame:
     return merged.select(
         "po_number", "proj_def", "vendor",
         F.lit(None).cast("string").alias("vendor_email"),  # in the schema, never loaded
-        F.coalesce("po_total", zero_money()).alias("po_total"),
-        F.coalesce("invoiced_to_date", zero_money()).alias("invoiced_to_date"),
-        F.coalesce("remaining_to_invoice", zero_money()).alias("remaining_to_invoice"),
+        F.coalesce("po_total", zero_money()).cast(MONEY).alias("po_total"),
+        F.coalesce("invoiced_to_date", zero_money()).cast(MONEY).alias("invoiced_to_date"),
+        F.coalesce("remaining_to_invoice", zero_money()).cast(MONEY).alias("remaining_to_invoice"),
         "po_status", "created_date", "last_update",
     )
 

@@ -71,7 +71,8 @@ def cte(name: str, deps: tuple[str, ...], body: str) -> None:
 cte("cust_span", (), "SELECT o_custkey, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order "
                      "FROM orders GROUP BY o_custkey")
 cte("raw_projects", ("cust_span",), f"""
-SELECT c.c_custkey AS record_id, 'PROG ' || c.c_mktsegment AS program_type, c.c_custkey % 97 AS store_nbr,
+SELECT c.c_custkey AS record_id,
+  CASE WHEN c.c_custkey % 7 = 0 THEN 'OTHER ' ELSE 'PROG ' END || c.c_mktsegment AS program_type, c.c_custkey % 97 AS store_nbr,
   'PD-' || {_def6('c.c_custkey')} AS proj_def,
   CASE WHEN c.c_custkey % 6 <= 2 THEN 'Active' WHEN c.c_custkey % 6 = 3 THEN 'Complete'
        WHEN c.c_custkey % 6 = 4 THEN 'On Hold' ELSE 'Cancelled' END AS project_status,
@@ -86,10 +87,10 @@ SELECT c.c_custkey AS record_id, 'PROG ' || c.c_mktsegment AS program_type, c.c_
   s.first_order AS created_date,
   CASE WHEN c.c_custkey % 6 = 3 THEN s.last_order ELSE TIMESTAMP '9999-12-31 00:00:00' END AS complete_date
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-LEFT JOIN cust_span s ON c.c_custkey = s.o_custkey
-WHERE c.c_custkey % 7 <> 0""")
+LEFT JOIN cust_span s ON c.c_custkey = s.o_custkey""")
 cte("enrichment", (), f"""
-SELECT 'PD-' || {_def6('c_custkey')} AS proj_def, c_custkey + 100000 AS entity_id,
+SELECT CASE WHEN c_custkey % 20 = 0 THEN 'XD-' ELSE 'PD-' END || {_def6('c_custkey')} AS proj_def,
+  c_custkey + 100000 AS entity_id,
   CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(c_custkey + 1000 AS VARCHAR) END AS seq,
   CAST(c_custkey % 97 AS VARCHAR) || '.' || CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(c_custkey + 1000 AS VARCHAR) END AS store_seq,
   CASE WHEN c_custkey % 11 = 0 THEN 'Duplicate of earlier' ELSE 'Replace unit ' || CAST(c_custkey AS VARCHAR) END AS scope,
@@ -97,7 +98,7 @@ SELECT 'PD-' || {_def6('c_custkey')} AS proj_def, c_custkey + 100000 AS entity_i
   CASE WHEN c_custkey % 5 = 0 THEN 'see acme po# ' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') || '; installer po '
        || lpad(CAST(c_custkey + 1 AS VARCHAR), 9, '0') || ' ok' END AS comments_a,
   CASE WHEN c_custkey % 2 = 0 THEN 'reviewed' END AS comments_b
-FROM customer WHERE c_custkey % 20 <> 0""")
+FROM customer""")
 cte("raw_po", (), f"""
 SELECT lpad(CAST(l.l_orderkey AS VARCHAR), 8, '0') AS po_nbr,
   CASE WHEN l.l_partkey % 25 = 0 THEN {_q(P.umbrella_key)} ELSE 'PD' || {_def6('o.o_custkey')} || '00000' END AS project_definition,

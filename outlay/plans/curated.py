@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,12 +91,24 @@ def materialize(spark: SparkSession, cur: Curated, root: str,
     reports start from files, not from the refresh lineage.
     """
     base = root.rstrip("/")
-    pos = _write(spark, cur.pos, f"{base}/pos")
+    cached: list[DataFrame] = []
     if raw is not None:
-        cur = build(raw, params, pos_source=pos)
-    out = {"pos": pos}
-    for name in ("projects", "budgets", "fund_nodes"):
-        out[name] = _write(spark, getattr(cur, name), f"{base}/{name}")
+        # The project extract feeds the keys, K5, K6, K2 and K3; it is small
+        # next to the line facts, so keep it for the duration of the refresh
+        # (a lost block is recomputed from lineage).
+        p = params or SourceParams()
+        cached = [raw.projects.persist(StorageLevel.MEMORY_AND_DISK),
+                  merge.pull_projects(raw.projects, raw.enrichment, p).persist(StorageLevel.MEMORY_AND_DISK)]
+    try:
+        pos = _write(spark, cur.pos, f"{base}/pos")
+        if raw is not None:
+            cur = build(raw, params, pos_source=pos)
+        out = {"pos": pos}
+        for name in ("projects", "budgets", "fund_nodes"):
+            out[name] = _write(spark, getattr(cur, name), f"{base}/{name}")
+    finally:
+        for df in cached:
+            df.unpersist()
     return Curated(**out)
 
 

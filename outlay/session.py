@@ -23,7 +23,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """Return the active session, creating a local one when none exists."""
     builder = SparkSession.builder.appName("outlay")
     if master:
-        builder = builder.master(master)
+        # Only takes effect when this call launches the JVM (local runs);
+        # on a cluster the submitter sizes the driver.
+        builder = builder.master(master).config("spark.driver.memory",
+                                                os.environ.get("OUTLAY_DRIVER_MEMORY", "12g"))
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
     if shuffle_partitions:

@@ -45,13 +45,15 @@ def raw_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 5 == 3, "").otherwise(F.lit(None).cast("string"))
     )
     df = (
-        cust.filter(k % 7 != 0)
+        cust
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
         .join(_customer_spans(spark, sf_dir), k == F.col("o_custkey"), "left")
     )
     return df.select(
         k.alias("record_id"),
-        F.concat(F.lit("PROG "), F.col("c_mktsegment")).alias("program_type"),
+        # every 7th record belongs to another programme; the program filter (F13) drops it
+        F.concat(F.when(k % 7 == 0, F.lit("OTHER ")).otherwise(F.lit("PROG ")), F.col("c_mktsegment"))
+        .alias("program_type"),
         (k % 97).alias("store_nbr"),
         F.concat(F.lit("PD-"), proj_key(k)).alias("proj_def"),
         status.alias("project_status"),
@@ -83,8 +85,9 @@ def enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("; installer po "), F.lpad((k + 1).cast("string"), 9, "0"), F.lit(" ok"),
         ),
     )
-    return cust.filter(k % 20 != 0).select(
-        F.concat(F.lit("PD-"), proj_key(k)).alias("proj_def"),
+    # every 20th enrichment row carries a definition no project uses (unmatched J1 side)
+    return cust.select(
+        F.concat(F.when(k % 20 == 0, F.lit("XD-")).otherwise(F.lit("PD-")), proj_key(k)).alias("proj_def"),
         (k + 100000).alias("entity_id"),
         seq.alias("seq"),
         F.concat((k % 97).cast("string"), F.lit("."), seq).alias("store_seq"),
