@@ -36,7 +36,7 @@ def load_fund_nodes(raw_nodes: DataFrame, params: SourceParams) -> DataFrame:
         F.coalesce(F.col("approval_year"), F.lit(0)).cast("int").alias("approval_year"),
         F.coalesce(_label_map(params)[F.col("node_key")], F.col("node_key")).alias("node_label"),
         "description",
-        *[F.coalesce(F.col(m), zero_money()).alias(m) for m in MEASURES],
+        *[F.coalesce(F.col(m), zero_money()).cast(MONEY).alias(m) for m in MEASURES],
         F.coalesce(F.col("project_count"), F.lit(0)).cast("int").alias("project_count"),
         stamp.alias("last_updated"),
     )
