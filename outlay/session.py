@@ -61,3 +61,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def release_finished_broadcasts(spark: SparkSession) -> None:
+    """Ask the driver JVM for a GC so Spark's cleaner drops unreferenced
+    broadcast blocks of earlier queries. A long-lived session that runs many
+    queries on a small driver heap otherwise fills its storage memory."""
+    try:
+        spark.sparkContext._jvm.System.gc()
+    except Exception:  # remote / connect sessions have no local JVM handle
+        pass
