@@ -70,7 +70,7 @@ def doc_kind(mime: Column) -> Column:
 
 def aging_days(ts: Column, as_of: str) -> Column:
     """Whole days from ``ts`` to ``as_of``, truncated toward zero."""
-    diff = F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(ts.cast("timestamp"))
+    diff = F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(ts.try_cast("timestamp"))
     return (diff / F.lit(_DAY_MICROS)).cast("int")
 
 

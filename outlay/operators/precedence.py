@@ -18,7 +18,7 @@ LONG_MAX = 9223372036854775807
 
 def desc_nulls_last(ts: Column) -> Column:
     """Ascending sort key equivalent to ``ts DESC NULLS LAST``."""
-    return F.coalesce(-F.unix_micros(ts.cast("timestamp")), F.lit(LONG_MAX))
+    return F.coalesce(-F.unix_micros(ts.try_cast("timestamp")), F.lit(LONG_MAX))
 
 
 def _order_struct(order: list[Column]) -> Column:

@@ -13,7 +13,7 @@ from . import curated as C
 
 
 def _freshness_row(df: DataFrame, ts_col: str, key: str, label: str, refreshed_at: str) -> DataFrame:
-    latest = F.max(F.col(ts_col).cast("timestamp"))
+    latest = F.max(F.col(ts_col).try_cast("timestamp"))
     return df.agg(latest.alias("_ts")).select(
         F.lit(key).alias("source_key"), F.lit(label).alias("source_label"),
         F.coalesce(F.concat(F.date_format("_ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")), F.lit(UNKNOWN_TS))

@@ -47,19 +47,29 @@ def configure(spark: SparkSession) -> None:
             pass
 
 
+_CHOSEN: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cut lineage / staged tables.
 
     Read from ``spark.checkpoint.dir`` as the cluster names it; only when it
     is unset (local tests) do we pick a scratch folder of our own.
     """
+    app = spark.sparkContext.applicationId
+    if app in _CHOSEN:
+        return _CHOSEN[app]
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="outlay-ckpt-", dir=os.environ.get("OUTLAY_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # not settable at run time here; the context dir below still applies
+            pass
+        spark.sparkContext.setCheckpointDir(d)
+    _CHOSEN[app] = d
     return d
 
 

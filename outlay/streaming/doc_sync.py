@@ -31,10 +31,17 @@ STORED_SCHEMA = (
 )
 
 
-def _current_version(spark: SparkSession, table_root: str) -> str | None:
-    """Newest committed version (a tiny marker table, never the data)."""
+def _current_version(spark: SparkSession, table_root: str, before: int | None = None) -> str | None:
+    """Newest committed version (a tiny marker table, never the data).
+
+    ``before`` bounds it below a batch id, so a retried batch ``n`` reads
+    its true predecessor and never the ``v=n`` it is about to overwrite.
+    """
     try:
-        rows = spark.read.json(f"{table_root}/_versions").agg(F.max("version").alias("v")).collect()
+        marks = spark.read.json(f"{table_root}/_versions")
+        if before is not None:
+            marks = marks.filter(F.col("version") < before)
+        rows = marks.agg(F.max("version").alias("v")).collect()
     except Exception:  # no version yet
         return None
     v = rows[0]["v"] if rows else None
@@ -43,7 +50,7 @@ def _current_version(spark: SparkSession, table_root: str) -> str | None:
 
 def merge_batch(spark: SparkSession, table_root: str, now: str, batch: DataFrame, batch_id: int) -> None:
     """Reconcile one micro-batch into the stored table (D1 per batch)."""
-    cur = _current_version(spark, table_root)
+    cur = _current_version(spark, table_root, before=batch_id)
     stored = spark.read.parquet(cur) if cur else spark.createDataFrame([], STORED_SCHEMA)
     attempted = batch.select("project_id").distinct()
     incoming = batch.filter(F.col("doc_id").isNotNull())

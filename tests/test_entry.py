@@ -44,3 +44,13 @@ def test_stream_matches_batch(spark, scratch):
     got = sorted(tuple(r) for r in doc_sync.read_current(spark, table).collect())
     want = sorted(tuple(r) for r in DOC.reconcile(old, inc, att, P.refreshed_at).collect())
     assert got == want
+
+
+def test_stream_batch_retry_reads_predecessor(spark, scratch):
+    rows = [("d1", "P", "f", "c", "s", "n", "u", "t", "1", "u", "a", "now", 1)]
+    batch = spark.createDataFrame(rows, doc_sync.INCOMING_SCHEMA)
+    table = os.path.join(scratch, "docs")
+    doc_sync.merge_batch(spark, table, "now", batch, 0)
+    doc_sync.merge_batch(spark, table, "now", batch, 0)   # retried batch: same result, no self-read
+    got = doc_sync.read_current(spark, table).collect()
+    assert [(r.doc_id, r.is_deleted) for r in got] == [("d1", 0)]
