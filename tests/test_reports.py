@@ -172,3 +172,34 @@ def test_fixture_fund_nodes_fill_absent_node(spark):
     assert absent.count() == years and absent.filter(F.col("current_budget") != 0).count() == 0
     keys = nodes.groupBy("node_key", "approval_year").count().filter("count > 1").count()
     assert keys == 0  # case-folded keys are unique per year (K4)
+
+
+def test_refresh_pipeline_and_shared_layer(spark, scratch):
+    from outlay.plans import pipeline as PL
+    cur = PL.run_refresh(spark, SF001, scratch, P)
+    lazy = C.from_testdata(spark, SF001, P)
+    assert cur.pos.count() == lazy.pos.count()
+    assert sorted(tuple(r) for r in cur.projects.collect()) == sorted(tuple(r) for r in lazy.projects.collect())
+    fresh = spark.read.parquet(f"{scratch}/source_freshness").orderBy("source_key").collect()
+    assert [r.source_key for r in fresh] == ["documents", "po_lines", "project_master"]
+    assert all(r.source_last_updated.endswith(" UTC") for r in fresh)
+    shared = C.shared(spark, SF001, P)
+    assert shared.pos.count() == lazy.pos.count()
+    assert C.shared(spark, SF001, P) is shared    # read back once per session
+
+
+def test_refresh_result_json_and_nested_detail(spark):
+    import json
+    from outlay.plans import projects as PR
+    old, inc, att = (fixtures.doc_old(spark, SF001, P), fixtures.doc_incoming(spark, SF001, P),
+                     fixtures.doc_attempted(spark, SF001))
+    docs = DOC.reconcile(old, inc, att, P.refreshed_at)
+    pid = inc.select("project_id").first().project_id
+    out = json.loads(DOC.refresh_result(docs, inc, pid).first().json)
+    assert out["project_id"] == pid and out["doc_count"] == inc.filter(F.col("project_id") == pid).count()
+    assert sum(len(s["docs"]) for c in out["folders"] for s in c["subfolders"]) == \
+        docs.filter((F.col("project_id") == pid) & (F.col("is_deleted") == 0)).count()
+    cur = C.from_testdata(spark, SF001, P)
+    d = PR.project_detail(cur, "100001").collect()[0]
+    created = [po.created_date for po in d.purchase_orders]
+    assert created == sorted(created) and d.budget is not None
