@@ -273,6 +273,19 @@ PO_PRESENT = f"""po_number, vendor, vendor_email, store, sequence, store_sequenc
   project_type, scope"""
 
 
+def with_prefix(*needed: str, extra: tuple[tuple[str, str], ...] = ()) -> str:
+    """The ``WITH`` clause for ``needed`` (dependencies first) plus ad-hoc
+    ``(name, body)`` CTEs appended after them; no final statement."""
+    body = sql("", *needed)
+    parts = [body.rstrip()] if body.strip() else []
+    for name, text in extra:
+        parts.append(f"{name} AS ({text})")
+    if not parts:
+        return ""
+    head = parts[0] if parts[0].startswith("WITH ") else "WITH " + parts[0]
+    return ",\n".join([head, *parts[1:]])
+
+
 def sql(final: str, *needed: str) -> str:
     """``WITH`` the needed CTEs (dependencies first) followed by ``final``."""
     order: list[str] = []
