@@ -141,3 +141,20 @@ def test_like_is_ascii_case_insensitive_with_wildcards(spark):
 def test_short_currency(spark):
     df = spark.createDataFrame([(1_250_000.0,), (3_499.0,), (5.0,), (None,), (-1500.0,)], "v double")
     assert [r[0] for r in df.select(short_currency(F.col("v"))).collect()] == ["$1.2M", "$3K", "$5", "$0", "$-2K"]
+
+
+def test_precedence_on_a_hot_key_aggregates_before_the_shuffle(spark):
+    from outlay.operators.precedence import pick_by
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 7 == 0, F.lit(None))
+        .otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("v"))
+    out = pick_by(df, ["k"], [F.col("v")], last=True, keep_null_keys=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the map-side (partial) aggregate sits below the exchange
+    assert plan.index("partial_max_by") > plan.index("Exchange")
+    got = {r.k: r.v for r in out.filter(F.col("k") == "HOT").collect()}
+    assert got == {"HOT": max(i for i in range(n) if i % 3 == 0)}
+    nulls = out.filter(F.col("k").isNull()).count()
+    assert nulls == sum(1 for i in range(n) if i % 3 != 0 and i % 7 == 0)  # NULL keys kept whole
