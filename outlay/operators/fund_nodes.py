@@ -40,21 +40,26 @@ def load_fund_nodes(raw_nodes: DataFrame, params: SourceParams) -> DataFrame:
         F.coalesce(F.col("project_count"), F.lit(0)).cast("int").alias("project_count"),
         stamp.alias("last_updated"),
     )
-    # J13 without a join: one global row holds the (bounded) year and key sets.
-    tracked = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("label")) for k, v in params.tracked_nodes])
-    seen = won.agg(F.collect_set(F.coalesce("approval_year", F.lit(0))).alias("years"),
+    # J13 in the same pass, without a join. The stored rows are unique per
+    # (tracked node, year) (K4), so at most len(tracked_nodes) x years rows:
+    # one global aggregate holds them with the year and key sets, and a
+    # single explode emits the loaded rows plus the placeholders. The line
+    # rollup therefore runs once.
+    g = loaded.agg(F.collect_list(F.struct(*NODE_COLUMNS)).alias("rows"),
+                   F.collect_set("approval_year").alias("years"),
                    F.collect_set("node_key").alias("found"))
-    placeholders = (
-        seen.select(F.explode(tracked).alias("t"),
-                    F.when(F.size("years") > 0, F.col("years")).otherwise(F.array(F.lit(0))).alias("years"), "found")
-        .filter(~F.array_contains("found", F.col("t.k")))
-        .select(F.col("t.k").alias("node_key"), F.explode("years").alias("approval_year"),
-                F.col("t.label").alias("node_label"))
-        .select("node_key", F.col("approval_year").cast("int").alias("approval_year"), "node_label", F.lit(NOT_FOUND_DESCRIPTION).alias("description"),
-                *[zero_money().alias(m) for m in MEASURES], F.lit(0).alias("project_count"),
-                stamp.alias("last_updated"))
-    )
-    return loaded.unionByName(placeholders)
+    tracked = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("label")) for k, v in params.tracked_nodes])
+    years = F.when(F.size("years") > 0, F.col("years")).otherwise(F.array(F.lit(0)))
+    missing = F.filter(tracked, lambda t: ~F.array_contains(F.col("found"), t["k"]))
+
+    def placeholder(t, y):
+        return F.struct(t["k"].alias("node_key"), y.cast("int").alias("approval_year"),
+                        t["label"].alias("node_label"), F.lit(NOT_FOUND_DESCRIPTION).alias("description"),
+                        *[zero_money().alias(m) for m in MEASURES], F.lit(0).alias("project_count"),
+                        stamp.alias("last_updated"))
+
+    extra = F.flatten(F.transform(missing, lambda t: F.transform(years, lambda y: placeholder(t, y))))
+    return g.select(F.explode(F.concat("rows", extra)).alias("r")).select("r.*")
 
 
 def node_budgets(nodes: DataFrame, year: int | None = None) -> DataFrame:
