@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -103,12 +104,15 @@ def materialize(spark: SparkSession, cur: Curated, root: str,
         cached = [raw.projects.persist(StorageLevel.MEMORY_AND_DISK),
                   merge.pull_projects(raw.projects, raw.enrichment, p).persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        pos = _write(spark, cur.pos, f"{base}/pos")
-        if raw is not None:
-            cur = build(raw, params, pos_source=pos)
-        out = {"pos": pos}
-        for name in ("projects", "budgets", "fund_nodes"):
-            out[name] = _write(spark, getattr(cur, name), f"{base}/{name}")
+        # Budgets and fund nodes do not depend on the PO merge: they run as
+        # concurrent jobs while POs and then projects (which read the written
+        # POs) are built, so small stages of one job fill idle slots.
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            side = {n: pool.submit(_write, spark, getattr(cur, n), f"{base}/{n}") for n in ("budgets", "fund_nodes")}
+            pos = _write(spark, cur.pos, f"{base}/pos")
+            projects_src = build(raw, params, pos_source=pos).projects if raw is not None else cur.projects
+            out = {"pos": pos, "projects": _write(spark, projects_src, f"{base}/projects")}
+            out.update({n: f.result() for n, f in side.items()})
     finally:
         for df in cached:
             df.unpersist()
