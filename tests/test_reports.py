@@ -203,3 +203,14 @@ def test_refresh_result_json_and_nested_detail(spark):
     d = PR.project_detail(cur, "100001").collect()[0]
     created = [po.created_date for po in d.purchase_orders]
     assert created == sorted(created) and d.budget is not None
+
+
+def test_dashboard_bundle(spark):
+    from outlay.plans import projects as PR
+    cur = C.from_testdata(spark, SF001, P)
+    d = PR.dashboard(cur, "City 1")
+    assert set(d) == {"stats", "by_type", "by_status", "budget_by_type", "contractors", "po_summary",
+                      "fund_nodes", "fund_years"}
+    s = d["stats"].collect()[0]
+    assert s.total_projects == sum(r.cnt for r in d["by_type"].collect())
+    assert d["contractors"].count() <= 10
