@@ -16,7 +16,7 @@ AS_OF = "2001-12-01 12:00:00"
 D = "DECIMAL(18,2)"
 
 
-def _q(s: str) -> str:
+def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
@@ -25,15 +25,15 @@ def _def6(k: str) -> str:
 
 
 def _case_map(expr: str, mapping: dict[str, str], default_sql: str) -> str:
-    whens = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in mapping.items())
+    whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in mapping.items())
     return f"COALESCE(CASE {expr} {whens} END, {default_sql})"
 
 
-_BANNER = (f"CASE WHEN store_type IS NULL OR store_type = '' THEN {_q(BLANK_BANNER)} "
-           f"ELSE {_case_map('upper(trim(store_type))', BANNER_MAP, _q(DEFAULT_BANNER))} END")
-_VENDOR_OK = " OR ".join(f"contains(upper(vendor_name), {_q(v.upper())})" for v in P.umbrella_vendors)
-_TRACKED = ", ".join(_q(k) for k, _ in P.tracked_nodes)
-_NODE_LABEL = "CASE node_key " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in P.tracked_nodes) + " END"
+_BANNER = (f"CASE WHEN store_type IS NULL OR store_type = '' THEN {q(BLANK_BANNER)} "
+           f"ELSE {_case_map('upper(trim(store_type))', BANNER_MAP, q(DEFAULT_BANNER))} END")
+_VENDOR_OK = " OR ".join(f"contains(upper(vendor_name), {q(v.upper())})" for v in P.umbrella_vendors)
+_TRACKED = ", ".join(q(k) for k, _ in P.tracked_nodes)
+_NODE_LABEL = "CASE node_key " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in P.tracked_nodes) + " END"
 _MONEY_OUT = "CAST({} AS DOUBLE)"
 _COMMENT_RE = r"(?i)(?:ACME|INSTALLER)\s+PO#?\s*(\d{8})"
 _AGE = (f"CAST(trunc((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(COALESCE(po.last_update, po.created_date)))"
@@ -44,13 +44,13 @@ _PO_AGGS = f"""sum(net_amt) AS po_total, sum(inv_amt) AS invoiced_to_date,
 _HAVING = "HAVING sum(net_amt) > 0 OR sum(inv_amt) > 0"
 
 
-def _ts(c: str) -> str:
+def ts(c: str) -> str:
     return f"strftime({c}, '%Y-%m-%d %H:%M:%S')"
 
 
-def _mime(name: str) -> str:
+def mime(name: str) -> str:
     ext = f"CASE WHEN contains({name}, '.') THEN lower(split_part({name}, '.', -1)) ELSE '' END"
-    return _case_map(ext, MIME_MAP, _q(DEFAULT_MIME))
+    return _case_map(ext, MIME_MAP, q(DEFAULT_MIME))
 
 
 _MEASURES = ["original_budget", "supplemental_budget", "returned_budget", "current_budget", "actuals",
@@ -101,9 +101,9 @@ SELECT CASE WHEN c_custkey % 20 = 0 THEN 'XD-' ELSE 'PD-' END || {_def6('c_custk
 FROM customer""")
 cte("raw_po", (), f"""
 SELECT lpad(CAST(l.l_orderkey AS VARCHAR), 8, '0') AS po_nbr,
-  CASE WHEN l.l_partkey % 25 = 0 THEN {_q(P.umbrella_key)} ELSE 'PD' || {_def6('o.o_custkey')} || '00000' END AS project_definition,
+  CASE WHEN l.l_partkey % 25 = 0 THEN {q(P.umbrella_key)} ELSE 'PD' || {_def6('o.o_custkey')} || '00000' END AS project_definition,
   o.o_custkey % 97 AS store_nbr,
-  CASE WHEN l.l_linenumber % 2 = 0 THEN CAST((o.o_custkey + 1) % 120 AS VARCHAR) || {_q(P.item_store_suffix)} ELSE 'misc' END AS item_text,
+  CASE WHEN l.l_linenumber % 2 = 0 THEN CAST((o.o_custkey + 1) % 120 AS VARCHAR) || {q(P.item_store_suffix)} ELSE 'misc' END AS item_text,
   s.s_name AS vendor_name,
   CASE WHEN l.l_linestatus = 'O' THEN CAST(l.l_extendedprice AS {D}) ELSE CAST(0 AS {D}) END AS net_amt,
   CASE WHEN l.l_linestatus = 'F' THEN CAST(l.l_extendedprice AS {D}) ELSE CAST(0 AS {D}) END AS inv_amt,
@@ -165,7 +165,7 @@ SELECT store, proj_def FROM (
 ) y WHERE rn = 1""")
 cte("umbrella_raw", ("raw_po",), f"""
 SELECT store_nbr, po_nbr AS po_number, vendor_name AS vendor, item_text, {_PO_AGGS}
-FROM raw_po WHERE project_definition = {_q(P.umbrella_key)} AND ({_VENDOR_OK})
+FROM raw_po WHERE project_definition = {q(P.umbrella_key)} AND ({_VENDOR_OK})
 GROUP BY store_nbr, po_nbr, vendor_name, item_text {_HAVING}""")
 cte("umbrella_mapped", ("umbrella_raw", "store_map"), f"""
 SELECT u.*, m.proj_def FROM (
@@ -232,10 +232,10 @@ SELECT program_position, approval_year, max(program_position_desc) AS descriptio
   {_node_sums}
 FROM raw_nodes WHERE upper(program_position) IN ({_TRACKED}) AND approval_year IS NOT NULL
 GROUP BY program_position, approval_year""")
-_stamp = _q(P.refreshed_at + " UTC")
+_stamp = q(P.refreshed_at + " UTC")
 _mcoal = ", ".join(f"COALESCE({m}, 0) AS {m}" for m in _MEASURES)
 _mzero = ", ".join(f"CAST(0 AS {D}) AS {m}" for m in _MEASURES)
-_tracked_values = ", ".join(f"({_q(k)}, {_q(v)})" for k, v in P.tracked_nodes)
+_tracked_values = ", ".join(f"({q(k)}, {q(v)})" for k, v in P.tracked_nodes)
 cte("fund_nodes", ("node_rows",), f"""
 SELECT node_key, CAST(COALESCE(approval_year, 0) AS INTEGER) AS approval_year,
   COALESCE({_NODE_LABEL}, node_key) AS node_label, description, {_mcoal},
@@ -244,7 +244,7 @@ FROM (SELECT *, upper(program_position) AS node_key,
         row_number() OVER (PARTITION BY upper(program_position), approval_year ORDER BY program_position DESC) AS rn
       FROM node_rows) WHERE rn = 1
 UNION ALL
-SELECT t.k AS node_key, CAST(y.yr AS INTEGER), t.label, {_q(NOT_FOUND_DESCRIPTION)}, {_mzero}, 0, {_stamp}
+SELECT t.k AS node_key, CAST(y.yr AS INTEGER), t.label, {q(NOT_FOUND_DESCRIPTION)}, {_mzero}, 0, {_stamp}
 FROM (VALUES {_tracked_values}) t(k, label)
 CROSS JOIN (SELECT DISTINCT COALESCE(approval_year, 0) AS yr FROM node_rows
             UNION SELECT 0 WHERE NOT EXISTS (SELECT 1 FROM node_rows)) y
@@ -269,7 +269,7 @@ PO_PRESENT = f"""po_number, vendor, vendor_email, store, sequence, store_sequenc
   project_status, po_status, CAST(po_total AS DOUBLE) AS po_total, CAST(invoiced_to_date AS DOUBLE) AS invoiced_to_date,
   CAST(remaining_to_invoice AS DOUBLE) AS remaining_to_invoice, is_over_invoiced, give_back_flag,
   CAST(give_back_amount AS DOUBLE) AS give_back_amount, days_since_last_invoice,
-  {_ts('created_date')} AS created_date, {_ts('last_update')} AS last_update, proj_def, general_contractor,
+  {ts('created_date')} AS created_date, {ts('last_update')} AS last_update, proj_def, general_contractor,
   project_type, scope"""
 
 
@@ -311,7 +311,7 @@ def _fold(col: str) -> str:
 
 def like(col: str, term: str) -> str:
     """SQLite-style ASCII case-insensitive LIKE '%term%' (no escape char)."""
-    return f"{_fold(col)} LIKE {_q('%' + term.lower() + '%')}"
+    return f"{_fold(col)} LIKE {q('%' + term.lower() + '%')}"
 
 
-__all__ = ["CTES", "sql", "like", "PO_PRESENT", "AS_OF", "D", "_ts", "_mime", "_q"]
+__all__ = ["CTES", "cte", "sql", "with_prefix", "like", "PO_PRESENT", "AS_OF", "D", "ts", "mime", "q"]

@@ -15,7 +15,6 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import fund_nodes as fn
 from ..operators import load, merge, rollup
@@ -124,7 +123,7 @@ def po_only_rows(cur: Curated) -> DataFrame:
     return cur.pos.join(cur.projects.select("proj_def"), "proj_def", "left_anti")
 
 
-__all__ = ["Curated", "Stages", "build", "build_stages", "from_testdata", "materialize", "po_only_rows", "F"]
+__all__ = ["Curated", "Stages", "build", "build_stages", "from_testdata", "materialize", "po_only_rows", "shared"]
 
 
 # ------------------------------------------------------------------ sharing

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import MONEY, aging_days, default_label, out_money, safe_pct, ts_text, zero_money
+from ..functions.expressions import aging_days, default_label, out_money, safe_pct, ts_text, zero_money
 from ..functions.search import po_search
 from ..params import DEFAULT_AS_OF, UNKNOWN_VENDOR, PoFilter
 from .curated import Curated
@@ -253,8 +253,6 @@ def vendor_email_lines(cur: Curated, selection: DataFrame, as_of: str = DEFAULT_
     return rows.select(F.col("vendor_label").alias("vendor"), "po_number", "project_id", line.alias("line"))
 
 
-__all__ = [n for n in dir() if not n.startswith("_")] + ["MONEY"]
-
 
 def display_rows(rows: DataFrame, program_token: str) -> DataFrame:
     """Display fields of a PO page."""
