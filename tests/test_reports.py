@@ -214,3 +214,22 @@ def test_dashboard_bundle(spark):
     s = d["stats"].collect()[0]
     assert s.total_projects == sum(r.cnt for r in d["by_type"].collect())
     assert d["contractors"].count() <= 10
+
+
+def test_refresh_with_a_third_of_lines_on_one_po(spark):
+    raw = fixtures.load_raw(spark, SF001, P)
+    hot = F.abs(F.hash("po_nbr", "vendor_name", "item_text")) % 3 == 0
+    lines = raw.po_lines.withColumn("po_nbr", F.when(hot, F.lit("99999999")).otherwise(F.col("po_nbr")))
+    skewed = fixtures.RawInputs(raw.projects, raw.enrichment, lines, raw.nodes)
+    st = C.build_stages(skewed, P)
+    merged = st.merged.filter(F.col("po_number") == "99999999").collect()
+    assert len(merged) == 1                      # one row for the hot key, nothing dropped or capped
+    won = merged[0]
+    # same figures as a direct aggregate of the winning (definition, vendor) group
+    keys = st.keys.filter(F.col("proj_def") == won.proj_def).select("po_key")
+    grp = (lines.filter((F.col("po_nbr") == "99999999") & (F.col("vendor_name") == won.vendor))
+           .join(keys, lines["project_definition"] == keys["po_key"]))
+    exp = grp.agg(F.sum("net_amt").alias("t"), F.sum("inv_amt").alias("i")).first()
+    assert (won.po_total, won.invoiced_to_date) == (exp.t, exp.i)
+    assert st.merged.filter(F.col("po_number").isNotNull()).groupBy("po_number").count() \
+        .filter("count > 1").count() == 0
