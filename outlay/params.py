@@ -10,7 +10,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 # ---------------------------------------------------------------------------
-# Fixed values. They must equal the originals for right results.
+# Fixed values. Codes, extensions, MIME types, default labels and the
+# mapping rules equal the originals. The banner *label texts* are neutral
+# stand-ins (the original labels name an organisation): each distinct
+# original label has exactly one stand-in here, so groupings are unchanged.
 # ---------------------------------------------------------------------------
 
 # Store-type code -> banner label; any other non-blank code gets
