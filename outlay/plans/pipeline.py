@@ -74,7 +74,9 @@ def run_refresh(spark: SparkSession, sf_dir: str, out_root: str, params: SourceP
     a table root); each run writes a fresh root and the caller swaps the
     pointer, so a failed run never leaves half-written tables visible.
     """
+    from ..session import input_bytes, size_shuffle
     p = params or SourceParams()
+    size_shuffle(spark, input_bytes(spark, sf_dir))
     raw = fixtures.load_raw(spark, sf_dir, p)
     cur = C.materialize(spark, C.build(raw, p), f"{out_root}/curated", raw, p)
     docs = fixtures.doc_old(spark, sf_dir, p)

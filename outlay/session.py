@@ -81,3 +81,24 @@ def release_finished_broadcasts(spark: SparkSession) -> None:
         spark.sparkContext._jvm.System.gc()
     except Exception:  # remote / connect sessions have no local JVM handle
         pass
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes under ``path`` (file-system metadata only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
+
+def size_shuffle(spark: SparkSession, nbytes: int, target_bytes: int = 256 << 20, cap: int = 100_000) -> int:
+    """Size shuffles for an input of ``nbytes`` so partitions stay spill-friendly.
+
+    About one partition per ``target_bytes`` of input, never fewer than two per
+    core and never more than ``cap``; AQE then coalesces the small ones to the
+    same advisory size, so small inputs do not pay for many tiny tasks.
+    """
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    n = min(cap, max(2 * cores, -(-nbytes // target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return n

@@ -88,3 +88,16 @@ def test_versioned_sink_roundtrip(spark, scratch):
     sinks.write_documents(spark, df1, scratch, 0)
     sinks.write_documents(spark, df2, scratch, 1)
     assert sorted(r.doc_id for r in sinks.read_current(spark, scratch).collect()) == ["2", "3"]
+
+
+def test_shuffle_sizing(spark):
+    from outlay.session import input_bytes, size_shuffle
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        assert size_shuffle(spark, 1) == 2 * cores                       # small input: cores bound
+        assert size_shuffle(spark, 10 * 2**40) == 40_960                  # 10 TiB / 256 MiB
+        assert size_shuffle(spark, 2**60) == 100_000                      # capped
+        assert input_bytes(spark, "/root/testdata/sf0.001") > 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
