@@ -101,3 +101,12 @@ def test_shuffle_sizing(spark):
         assert input_bytes(spark, "/root/testdata/sf0.001") > 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_freshness_upsert_replaces_by_key(spark):
+    from outlay.plans.pipeline import upsert_freshness
+    cols = "source_key string, source_label string, source_last_updated string, refreshed_at string"
+    stored = spark.createDataFrame([("a", "A", "old", "t0"), ("b", "B", "old", "t0")], cols)
+    fresh = spark.createDataFrame([("b", "B", "new", "t1"), ("c", "C", "Unknown", "t1")], cols)
+    got = {r.source_key: r.source_last_updated for r in upsert_freshness(stored, fresh).collect()}
+    assert got == {"a": "old", "b": "new", "c": "Unknown"}
