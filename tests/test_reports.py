@@ -233,3 +233,11 @@ def test_refresh_with_a_third_of_lines_on_one_po(spark):
     assert (won.po_total, won.invoiced_to_date) == (exp.t, exp.i)
     assert st.merged.filter(F.col("po_number").isNotNull()).groupBy("po_number").count() \
         .filter("count > 1").count() == 0
+
+
+def test_static_bundle_sink(spark, scratch):
+    from outlay.plans import static_bundle as SB
+    cur = C.from_testdata(spark, SF001, P)
+    SB.write_bundle(cur, scratch)
+    for name, df in SB.bundle(cur).items():
+        assert spark.read.json(f"{scratch}/{name}").count() == df.count(), name
