@@ -158,3 +158,15 @@ def test_precedence_on_a_hot_key_aggregates_before_the_shuffle(spark):
     assert got == {"HOT": max(i for i in range(n) if i % 3 == 0)}
     nulls = out.filter(F.col("k").isNull()).count()
     assert nulls == sum(1 for i in range(n) if i % 3 != 0 and i % 7 == 0)  # NULL keys kept whole
+
+
+def test_po_search_never_matches_null_definitions(spark):
+    from outlay.plans.curated import Curated
+    from outlay.plans.projects import search_projects
+    projects = spark.createDataFrame([("P1", "D1", "x"), ("P2", None, "x")],
+                                     "project_id string, proj_def string, scope string")
+    pos = spark.createDataFrame([("1", "D1", "Acme Co"), ("2", None, "ACME")],
+                                "po_number string, proj_def string, vendor string")
+    cur = Curated(projects=projects, budgets=projects.limit(0), pos=pos, fund_nodes=projects.limit(0))
+    got = [r.project_id for r in search_projects(cur, "acme", ("po",)).collect()]
+    assert got == ["P1"]
