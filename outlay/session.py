@@ -47,40 +47,21 @@ def configure(spark: SparkSession) -> None:
             pass
 
 
-_CHOSEN: dict[str, str] = {}
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for cut lineage / staged tables.
+    """Shared folder for cut lineage and staged tables: ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir`` as the cluster names it; only when it
-    is unset (local tests) do we pick a scratch folder of our own.
+    Only a local session without that setting gets a scratch folder; on a
+    cluster a machine-local folder would be invisible to other executors, so a
+    missing setting is an error there.
     """
-    app = spark.sparkContext.applicationId
-    if app in _CHOSEN:
-        return _CHOSEN[app]
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="outlay-ckpt-", dir=os.environ.get("OUTLAY_SCRATCH", "/tmp"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # not settable at run time here; the context dir below still applies
-            pass
-        spark.sparkContext.setCheckpointDir(d)
-    _CHOSEN[app] = d
-    return d
-
-
-def release_finished_broadcasts(spark: SparkSession) -> None:
-    """Ask the driver JVM for a GC so Spark's cleaner drops unreferenced
-    broadcast blocks of earlier queries. A long-lived session that runs many
-    queries on a small driver heap otherwise fills its storage memory."""
-    try:
-        spark.sparkContext._jvm.System.gc()
-    except Exception:  # remote / connect sessions have no local JVM handle
-        pass
+    sc = spark.sparkContext
+    chosen = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if chosen:
+        return chosen
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="outlay-ckpt-", dir=os.environ.get("OUTLAY_SCRATCH", "/tmp")))
+    return sc.getCheckpointDir()
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:

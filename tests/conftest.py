@@ -11,11 +11,8 @@ SF001 = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from outlay.session import checkpoint_dir, get_session
+    from outlay.session import get_session
     s = get_session("local[4]", 8)
-    if not s.conf.get("spark.checkpoint.dir", None):  # tests only: a scratch dir of our own
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="outlay-test-ckpt-"))
-    checkpoint_dir(s)
     yield s
 
 
