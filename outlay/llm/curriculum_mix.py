@@ -108,7 +108,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: tuple[Sc
     rows = rows.withColumns({"h": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")),
                              "sk": F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))})
     slim = rows if carry else stage(rows, "sizes")
-    ranges = 1 << max(0, tasks_for(spark, slim.count(), per_range) - 1).bit_length()
+    width = max(tasks_for(spark, slim.count(), per_range), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = 1 << (width - 1).bit_length()  # of each source: a hot one fills as many tasks as a shuffle has
     digits = 6  # of the hash: 2^24 ranges at most
     bucket = F.floor(F.conv(F.substring("h", 1, digits), 16, 10).cast("bigint") / max(1, 16 ** digits // ranges))
     slim = slim.withColumn("b", bucket.cast("int"))
