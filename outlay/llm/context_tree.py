@@ -50,11 +50,12 @@ def held_out(doc_id: int | None) -> bool:
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """ln(gamma(x)), x > 0: shifted by 8, then Stirling's series."""
+    x = np.asarray(x, float)
     shift = np.ones_like(x)
     for k in range(8):
         shift *= np.where(x < 1e6, x + k, 1.0)
     y = np.where(x < 1e6, x + 8, x)
-    series = 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5)
+    series = 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7) + 1 / (1188 * y ** 9)
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(shift)
 
 

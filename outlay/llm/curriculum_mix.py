@@ -155,15 +155,13 @@ def materialize(docs: DataFrame) -> DataFrame:
 
     A reading that takes part of a document keeps its first words.
     """
-    rest = [c for c in docs.columns]
-    rows = in_training_order(mix(docs, carry=rest))
-    out = rows.select("size", "words", "carried.*")
-    # the pattern runs up to the end of the last word taken; only the document at a source's end is cut
-    text = F.when(F.col("words") < F.col("size"), F.array_join(F.slice(
-        F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?![\x20\x09-\x0D])", -1),
-        1, F.col("words").cast("int")), "")).otherwise(F.col("text"))
-    out = out.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("words") < F.col("size"), F.length("text"))
-                             .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*[F.col(f"`{c}`") for c in rest])
+    rows = in_training_order(mix(docs, carry=docs.columns))
+    cut, whole = F.col("words") < F.col("size"), F.col("carried.text")
+    # split before each word that follows white space: the first pieces are the first words
+    pieces = F.split(F.regexp_replace(whole, r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?![\x20\x09-\x0D])", -1)
+    text = F.when(cut, F.array_join(F.slice(pieces, 1, F.col("words").cast("int")), "")).otherwise(whole)
+    out = {c: F.col(f"carried.`{c}`") for c in docs.columns} | {"text": text}
+    if "n_chars" in out:
+        kind = docs.schema["n_chars"].dataType
+        out["n_chars"] = F.when(cut, F.length(text)).otherwise(out["n_chars"]).cast(kind)
+    return rows.select(*[v.alias(c) for c, v in out.items()])

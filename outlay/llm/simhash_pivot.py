@@ -28,7 +28,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import pair_blocks, stage, tasks_for, text_slices
@@ -164,7 +164,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     """doc_id, fp (signed long), component_id for every row of ``docs``."""
     fps = stage(fingerprints(docs, shingle), "fingerprints")
     classes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "classes")
-    found = components(links(classes.filter("node IS NOT NULL"), max_bits))
+    edges = links(classes.filter("node IS NOT NULL"), max_bits)
+    several = (fps.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b"))
+               .filter("a <> b").select("doc_id"))
+    same_id = (fps.join(several, "doc_id", "left_semi").join(classes, "fp")
+               .select(F.col("doc_id").alias("u"), F.col("node").alias("v")))
+    found = components(edges.unionByName(same_id))
     placed = classes.join(found, "node", "left").select(
         "fp", F.coalesce("component", "node").alias("component_id"))
     return fps.join(placed, "fp").select("doc_id", "fp", "component_id")
@@ -174,6 +179,9 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     """Rows of ``docs`` whose doc_id is the smallest of its component; of rows
     with that doc_id the one with the smallest text stays. Rows without doc_id stay."""
     found = near_duplicates(docs, shingle, max_bits).filter("doc_id <> component_id").select("doc_id").distinct()
-    whole = docs.select(F.col("doc_id").alias("__id"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("__row"))
-    left = whole.join(found, F.col("__id") == F.col("doc_id"), "left_anti")
-    return left.select("__row.*")
+    whole = docs.select(F.col("doc_id").cast("bigint").alias("__id"), F.col("text").alias("__text"),
+                        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("__row"))
+    left = whole.filter("__id IS NOT NULL").join(found, F.col("__id") == F.col("doc_id"), "left_anti")
+    nth = F.row_number().over(Window.partitionBy("__id").orderBy("__text"))
+    one = left.withColumn("__nth", nth).filter("__nth = 1").select("__row")
+    return one.unionByName(whole.filter("__id IS NULL").select("__row")).select("__row.*")
