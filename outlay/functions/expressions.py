@@ -75,8 +75,8 @@ def aging_days(ts: Column, as_of: str) -> Column:
 
 
 def aging_band(days: Column) -> Column:
-    """X19."""
-    return F.when(days >= 60, "60+").when(days >= 30, "30-59").otherwise("0-29")
+    """X19; no band without an age."""
+    return F.when(days >= 60, "60+").when(days >= 30, "30-59").when(days.isNotNull(), "0-29")
 
 
 def safe_pct(n: Column, d: Column) -> Column:
@@ -84,23 +84,23 @@ def safe_pct(n: Column, d: Column) -> Column:
     return F.when(F.coalesce(d, F.lit(0)) != 0, n.cast("double") / d.cast("double") * 100).otherwise(F.lit(0.0))
 
 
+def _dollars(v: Column, digits: int) -> Column:
+    """``$`` then the signed number: $-2.00. Ties round on the binary value."""
+    sign = F.when(v < 0, F.lit("-")).otherwise(F.lit(""))
+    return F.concat(F.lit("$"), sign, F.format_number(F.abs(v), digits))
+
+
 def currency_text(c: Column) -> Column:
-    """$1,234.56; NULL -> $0.00; negatives as -$1,234.56."""
-    v = F.coalesce(c.cast("double"), F.lit(0.0))
-    body = F.format_number(F.abs(v), 2)
-    return F.when(v < 0, F.concat(F.lit("-$"), body)).otherwise(F.concat(F.lit("$"), body))
+    """$1,234.56; NULL -> $0.00; negatives as $-1,234.56."""
+    return _dollars(F.coalesce(c.cast("double"), F.lit(0.0)), 2)
 
 
 def short_currency(c: Column) -> Column:
-    """$1.2M / $3K / $5 with half-even rounding as the source's text."""
+    """$1.2M / $3K / $5."""
     v = F.coalesce(c.cast("double"), F.lit(0.0))
-    a = F.abs(v)
-    sign = F.when(v < 0, F.lit("-")).otherwise(F.lit(""))
-    return (
-        F.when(a >= 1_000_000, F.concat(F.lit("$"), sign, F.format_number(F.bround(a / 1_000_000, 1), 1), F.lit("M")))
-        .when(a >= 1_000, F.concat(F.lit("$"), sign, F.format_number(F.bround(a / 1_000, 0), 0), F.lit("K")))
-        .otherwise(F.concat(F.lit("$"), sign, F.format_number(F.bround(a, 0), 0)))
-    )
+    return (F.when(F.abs(v) >= 1_000_000, F.concat(_dollars(v / 1_000_000, 1), F.lit("M")))
+            .when(F.abs(v) >= 1_000, F.concat(_dollars(v / 1_000, 0), F.lit("K")))
+            .otherwise(_dollars(v, 0)))
 
 
 def date_prefix(c: Column) -> Column:
@@ -123,6 +123,19 @@ def type_label(c: Column, program_token: str) -> Column:
     return F.replace(c, F.lit(program_token + " "), F.lit(""))
 
 
+def type_label_first(c: Column, program_token: str) -> Column:
+    """X16 as the static page shows it: only the first occurrence is removed."""
+    prefix = F.lit(program_token + " ")
+    at = F.instr(c, prefix)
+    return F.when(at > 0, F.overlay(c, F.lit(""), at, F.length(prefix))).otherwise(c)
+
+
+def entity_link(project_id: Column, base: str) -> Column:
+    """Page of a project in the document system."""
+    return F.concat(F.lit(f"{base}/project/EntityInfo.jsp?inPanel=false"
+                          "&requestedProjectEntityType=CapitalProject&projectEntityID="), project_id)
+
+
 def type_category(c: Column, words: tuple[str, ...]) -> Column:
     """First word of ``words`` contained in the type, else 'OTHER'."""
     out = F.lit("OTHER")

@@ -8,7 +8,7 @@ says nothing about its documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import default_label, doc_kind
@@ -56,12 +56,13 @@ def reconcile(stored: DataFrame, incoming: DataFrame, attempted: DataFrame, now:
     return j.select(*cols).select(*DOC_COLUMNS)
 
 
-def sync_summary(stored: DataFrame, incoming: DataFrame, attempted: DataFrame) -> DataFrame:
-    """Docs synced (incoming rows, duplicates included), failed projects, projects."""
-    universe = (stored.select("project_id").unionByName(incoming.select("project_id"))
-                .unionByName(attempted.select("project_id")).distinct())
+def sync_summary(projects: DataFrame, incoming: DataFrame, attempted: DataFrame) -> DataFrame:
+    """Docs synced (incoming rows, duplicates included), failed projects, projects.
+
+    The universe is the project table: a project without documents counts too.
+    """
     att = attempted.select("project_id").distinct().withColumn("_a", F.lit(1))
-    proj = universe.join(att, "project_id", "left").agg(
+    proj = projects.select("project_id").distinct().join(att, "project_id", "left").agg(
         F.count(F.lit(1)).alias("projects"), F.count(F.when(F.col("_a").isNull(), 1)).alias("errors"))
     synced = incoming.agg(F.count(F.lit(1)).alias("docs_synced"))
     # two one-row aggregates side by side, without a join
@@ -81,24 +82,26 @@ def _labelled(docs: DataFrame) -> DataFrame:
     )
 
 
-def tree_rows(docs: DataFrame) -> DataFrame:
+def tree_rows(docs: DataFrame, raw: bool = False) -> DataFrame:
     """A23 flattened: active docs with category / sub-folder labels and positions.
 
     NULL and '' merge into the default label at the place of the first raw
     key in (category, sub-folder, name) order. Positions are ranked on the
     small per-(project, folder) aggregates, never over a whole project's docs.
+    ``raw`` keeps the raw keys, which order the documents of a merged label.
     """
     rows = _labelled(docs)
-    cats = rows.groupBy("project_id", "folder_category").agg(F.min(F.struct("raw_category")).alias("_k"))
-    cats = cats.withColumn("category_position", F.dense_rank().over(
-        Window.partitionBy("project_id").orderBy("_k")).cast("int")).drop("_k")
-    subs = rows.groupBy("project_id", "folder_category", "sub_folder").agg(
+    folders = rows.groupBy("project_id", "folder_category", "sub_folder").agg(
         F.min(F.struct("raw_category", "raw_sub_folder")).alias("_k"))
-    subs = subs.withColumn("sub_folder_position", F.dense_rank().over(
-        Window.partitionBy("project_id", "folder_category").orderBy("_k")).cast("int")).drop("_k")
-    return (rows.drop("raw_category", "raw_sub_folder")
-            .join(cats, ["project_id", "folder_category"], "inner")
-            .join(subs, ["project_id", "folder_category", "sub_folder"], "inner")
+    # a struct, so that a NULL key is the lowest; min() alone would pass it over
+    first = F.min(F.struct(F.col("_k.raw_category").alias("c"))).over(
+        Window.partitionBy("project_id", "folder_category"))
+    folders = folders.withColumn("_c", first).withColumns({
+        "category_position": F.dense_rank().over(Window.partitionBy("project_id").orderBy("_c")).cast("int"),
+        "sub_folder_position": F.dense_rank().over(
+            Window.partitionBy("project_id", "folder_category").orderBy("_k")).cast("int")}).drop("_k", "_c")
+    out = rows if raw else rows.drop("raw_category", "raw_sub_folder")
+    return (out.join(folders, ["project_id", "folder_category", "sub_folder"], "inner")
             .withColumn("doc_kind", doc_kind(F.coalesce(F.col("doc_type"), F.lit("")))))
 
 
@@ -107,8 +110,8 @@ def doc_tree(docs: DataFrame, project_id: str) -> DataFrame:
 
     A point lookup, so the arrays hold one project's documents only.
     """
-    r = tree_rows(docs.filter(F.col("project_id") == F.lit(project_id)))
-    doc = F.struct(F.col("doc_name").alias("_sort"), *DOC_FIELDS)
+    r = tree_rows(docs.filter(F.col("project_id") == F.lit(project_id)), raw=True)
+    doc = F.struct(F.struct("raw_category", "raw_sub_folder", "doc_name").alias("_sort"), *DOC_FIELDS)
     subs = r.groupBy("project_id", "folder_category", "category_position", "sub_folder", "sub_folder_position").agg(
         F.array_sort(F.collect_list(doc)).alias("docs"))
     subs = subs.withColumn("docs", F.transform("docs", lambda d: d.dropFields("_sort")))
@@ -137,13 +140,28 @@ def project_doc_summary(docs: DataFrame) -> DataFrame:
         F.count(F.when(F.col("is_deleted") == 0, 1)).alias("doc_count"))
 
 
+TREE_TYPE = ("array<struct<folder_category:string,subfolders:array<struct<sub_folder:string,docs:array<struct<"
+             + ",".join(f"{c}:string" for c in DOC_FIELDS) + ">>>>>>")
+
+
+def _as_json(*fields: str) -> Column:
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("json")
+
+
+def document_payload(docs: DataFrame, project_id: str) -> DataFrame:
+    """S13 without a sync: {project_id, last_checked, folders} as one JSON row, also for an empty project."""
+    s = project_doc_summary(docs.filter(F.col("project_id") == F.lit(project_id)))
+    one = docs.sparkSession.range(1).select(F.lit(project_id).alias("project_id"))
+    out = one.join(s, "project_id", "left").join(doc_tree(docs, project_id), "project_id", "left")
+    return out.withColumn("folders", F.coalesce("folders", F.array().cast(TREE_TYPE))).select(
+        _as_json("project_id", "last_checked", "folders"))
+
+
 def refresh_result(docs: DataFrame, incoming: DataFrame, project_id: str) -> DataFrame:
     """{project_id, doc_count, last_checked, folders} as one JSON row."""
-    s = project_doc_summary(docs.filter(F.col("project_id") == F.lit(project_id)))
-    n = incoming.filter(F.col("project_id") == F.lit(project_id)).agg(F.count(F.lit(1)).alias("synced"))
-    t = doc_tree(docs, project_id)
-    payload = (s.join(t, "project_id", "left")
-               .select("project_id", "last_checked", F.coalesce("folders", F.array()).alias("folders")))
-    synced = n.select(F.col("synced").alias("doc_count"), F.lit(project_id).alias("project_id"))
-    out = payload.join(synced, "project_id", "right")
-    return out.select(F.to_json(F.struct("project_id", "doc_count", "last_checked", "folders")).alias("json"))
+    s = project_doc_summary(docs.filter(F.col("project_id") == F.lit(project_id))).select("project_id", "last_checked")
+    n = incoming.filter(F.col("project_id") == F.lit(project_id)).agg(F.count(F.lit(1)).alias("doc_count"))
+    out = (n.withColumn("project_id", F.lit(project_id)).join(s, "project_id", "left")
+           .join(doc_tree(docs, project_id), "project_id", "left"))
+    return out.withColumn("folders", F.coalesce("folders", F.array().cast(TREE_TYPE))).select(
+        _as_json("project_id", "doc_count", "last_checked", "folders"))

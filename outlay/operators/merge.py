@@ -103,6 +103,11 @@ def merge_sources(direct: DataFrame, umbrella: DataFrame, comment: DataFrame) ->
     Sources rank direct, umbrella, comment. Within the direct source the
     newest created date wins, within the umbrella source the lowest store;
     vendor, item text and definition break the remaining ties.
+
+    A NULL number never collides inside the direct source, but an umbrella
+    or comment row without number only enters when there is none yet. Direct
+    rows without number so group by themselves, and a shadow of each competes
+    in the group of the others: if a shadow wins there, that group is dropped.
     """
     d = direct.select(*PO_COLUMNS, F.lit(1).alias("source_rank"), F.lit(None).cast("long").alias("store_nbr"),
                       F.lit(None).cast("string").alias("item_text"))
@@ -110,12 +115,17 @@ def merge_sources(direct: DataFrame, umbrella: DataFrame, comment: DataFrame) ->
                                                               "store_nbr", "item_text")
     c = comment.select(*PO_COLUMNS, F.lit(3).alias("source_rank"), F.lit(None).cast("long").alias("store_nbr"),
                        F.lit(None).cast("string").alias("item_text"))
-    allrows = d.unionByName(u).unionByName(c)
     rank = F.col("source_rank")
+    own = F.struct(F.struct("proj_def", "vendor").alias("own"), F.lit(False).alias("shadow"))
+    shared = lambda shadow: F.struct(F.lit(None).cast("struct<proj_def:string,vendor:string>").alias("own"),
+                                     F.lit(shadow).alias("shadow"))
+    allrows = d.unionByName(u).unionByName(c).withColumn("_g", F.explode(
+        F.when(F.col("po_number").isNull() & (rank == 1), F.array(own, shared(True))).otherwise(F.array(shared(False)))))
+    allrows = allrows.select("*", F.col("_g.own").alias("_own"), F.col("_g.shadow").alias("_shadow")).drop("_g")
     order = [
         rank,
         F.when(rank == 1, desc_nulls_last(F.col("created_date"))),
         F.when(rank == 2, F.col("store_nbr")),
         F.col("vendor"), F.col("item_text"), F.col("proj_def"),
     ]
-    return pick_by(allrows, ["po_number"], order, keep_null_keys=True)
+    return pick_by(allrows, ["po_number", "_own"], order).filter(~F.col("_shadow")).drop("_own", "_shadow")

@@ -17,21 +17,25 @@ from ..functions.expressions import MONEY, po_key
 from ..params import SourceParams
 
 
-def _po_aggs() -> list[Column]:
-    net = F.sum("net_amt")
-    inv = F.sum("inv_amt")
-    return [
-        net.alias("po_total"),
-        inv.alias("invoiced_to_date"),
-        (net - inv).cast(MONEY).alias("remaining_to_invoice"),
-        F.max("pur_doc_sts").alias("po_status"),
-        F.min("document_date").alias("created_date"),
-        F.max("ods_updated").alias("last_update"),
-    ]
+_MEASURES = {"po_total": "decimal(28,2)", "invoiced_to_date": "decimal(28,2)"}
 
 
-def _having() -> Column:
-    return (F.col("po_total") > 0) | (F.col("invoiced_to_date") > 0)
+def _roll_up(lines: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """Totals, status and dates of each group of lines that holds any value.
+
+    The status is a string, and a string maximum would make Spark sort all
+    lines. Lines are therefore first hash-aggregated with the status as a
+    further key; its maximum is taken over the few rows that are left.
+    """
+    first = lines.groupBy(*[c.alias(n) for n, c in keys.items()], "pur_doc_sts").agg(
+        F.sum("net_amt").alias("po_total"), F.sum("inv_amt").alias("invoiced_to_date"),
+        F.min("document_date").alias("created_date"), F.max("ods_updated").alias("last_update"))
+    net, inv = (F.sum(c).cast(t) for c, t in _MEASURES.items())
+    return first.groupBy(*keys).agg(
+        net.alias("po_total"), inv.alias("invoiced_to_date"), (net - inv).cast(MONEY).alias("remaining_to_invoice"),
+        F.max("pur_doc_sts").alias("po_status"), F.min("created_date").alias("created_date"),
+        F.max("last_update").alias("last_update"),
+    ).filter((F.col("po_total") > 0) | (F.col("invoiced_to_date") > 0))
 
 
 def program_keys(raw_projects: DataFrame, params: SourceParams) -> DataFrame:
@@ -52,11 +56,7 @@ def program_keys(raw_projects: DataFrame, params: SourceParams) -> DataFrame:
 def direct_rollup(po_lines: DataFrame, keys: DataFrame) -> DataFrame:
     """(po, project definition, vendor) rollup of lines on program keys."""
     j = po_lines.join(keys, po_lines["project_definition"] == keys["po_key"], "inner")
-    return (
-        j.groupBy(F.col("po_nbr").alias("po_number"), F.col("proj_def"), F.col("vendor_name").alias("vendor"))
-        .agg(*_po_aggs())
-        .filter(_having())
-    )
+    return _roll_up(j, {"po_number": F.col("po_nbr"), "proj_def": F.col("proj_def"), "vendor": F.col("vendor_name")})
 
 
 def vendor_allowed(vendor: Column, vendors: tuple[str, ...]) -> Column:
@@ -69,11 +69,8 @@ def umbrella_rollup(po_lines: DataFrame, params: SourceParams) -> DataFrame:
     """Umbrella-key lines of listed vendors by (store, po, vendor, item_text)."""
     src = po_lines.filter((F.col("project_definition") == params.umbrella_key)
                           & vendor_allowed(F.col("vendor_name"), params.umbrella_vendors))
-    return (
-        src.groupBy("store_nbr", F.col("po_nbr").alias("po_number"), F.col("vendor_name").alias("vendor"), "item_text")
-        .agg(*_po_aggs())
-        .filter(_having())
-    )
+    return _roll_up(src, {"store_nbr": F.col("store_nbr"), "po_number": F.col("po_nbr"),
+                          "vendor": F.col("vendor_name"), "item_text": F.col("item_text")})
 
 
 def comment_rollup(po_lines: DataFrame, referenced: DataFrame) -> DataFrame:
@@ -84,11 +81,7 @@ def comment_rollup(po_lines: DataFrame, referenced: DataFrame) -> DataFrame:
     run time) decides whether it is broadcast.
     """
     src = po_lines.join(referenced.select(F.col("po_number").alias("po_nbr")), "po_nbr", "left_semi")
-    return (
-        src.groupBy(F.col("po_nbr").alias("po_number"), F.col("vendor_name").alias("vendor"))
-        .agg(*_po_aggs())
-        .filter(_having())
-    )
+    return _roll_up(src, {"po_number": F.col("po_nbr"), "vendor": F.col("vendor_name")})
 
 
 NODE_MEASURES = [

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import fund_nodes as fn
 from ..operators import load, merge, rollup
 from ..params import SourceParams
-from ..sources import fixtures
+from ..session import checkpoint_dir, list_files, sized_shuffle
+from ..sources import fixtures, sinks
 
 
 @dataclass
@@ -118,12 +119,7 @@ def materialize(spark: SparkSession, cur: Curated, root: str,
     return Curated(**out)
 
 
-def po_only_rows(cur: Curated) -> DataFrame:
-    """Curated POs with no project row (inactive-project POs, F14)."""
-    return cur.pos.join(cur.projects.select("proj_def"), "proj_def", "left_anti")
-
-
-__all__ = ["Curated", "Stages", "build", "build_stages", "from_testdata", "materialize", "po_only_rows", "shared"]
+__all__ = ["Curated", "Stages", "build", "build_stages", "from_testdata", "materialize", "shared"]
 
 
 # ------------------------------------------------------------------ sharing
@@ -132,6 +128,10 @@ _PUBLISHED: dict[tuple[str, str], Curated] = {}
 _TABLES = ("projects", "budgets", "pos", "fund_nodes")
 
 
+def read_tables(spark: SparkSession, root: str) -> Curated:
+    return Curated(**{n: spark.read.parquet(f"{root}/{n}") for n in _TABLES})
+
+
 def _code_version() -> str:
     h = hashlib.sha1()
     pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -144,23 +144,17 @@ def _code_version() -> str:
     return h.hexdigest()[:12]
 
 
-def _input_signature(spark: SparkSession, sf_dir: str) -> str:
-    """Names, sizes and modification times of the input files (driver metadata only)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(sf_dir)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    parts = sorted(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in fs.listStatus(path))
-    return hashlib.sha1("|".join([sf_dir, *parts]).encode()).hexdigest()[:12]
+#: Tables of the inputs that the refresh reads.
+INPUT_TABLES = ("customer", "nation", "orders", "lineitem", "part", "supplier", "partsupp")
 
 
-def _read_published(spark: SparkSession, root: str) -> Curated | None:
-    try:
-        row = spark.read.json(f"{root}/_published").first()
-    except Exception:  # nothing published yet
-        return None
-    if row is None:
-        return None
-    return Curated(**{n: spark.read.parquet(f"{row['path']}/{n}") for n in _TABLES})
+def _inputs(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, int]]:
+    """Every file below the input tables, at any depth (driver metadata only)."""
+    return [f for f in list_files(spark, sf_dir) if any(f"/{t}." in f[0] or f"/{t}/" in f[0] for t in INPUT_TABLES)]
+
+
+def _input_signature(files: list[tuple[str, int, int]], sf_dir: str) -> str:
+    return hashlib.sha1(repr((sf_dir, files)).encode()).hexdigest()[:12]
 
 
 def shared(spark: SparkSession, sf_dir: str, params: SourceParams | None = None) -> Curated:
@@ -173,19 +167,22 @@ def shared(spark: SparkSession, sf_dir: str, params: SourceParams | None = None)
     lineage. The key covers the input files (name, size, mtime), the package
     code and the parameters, so a change to any of them derives anew.
     """
-    from ..session import checkpoint_dir
     p = params or SourceParams()
-    key = "-".join([_input_signature(spark, sf_dir), _code_version(),
+    files = _inputs(spark, sf_dir)
+    key = "-".join([_input_signature(files, sf_dir), _code_version(),
                     hashlib.sha1(repr(p).encode()).hexdigest()[:8]])
     root = f"{checkpoint_dir(spark).rstrip('/')}/outlay-curated/{key}"
     memo = (spark.sparkContext.applicationId, root)
     if memo in _PUBLISHED:
         return _PUBLISHED[memo]
-    cur = _read_published(spark, root)
-    if cur is None:
+    done = sinks.current_version(spark, root)
+    if done is None:
         raw = fixtures.load_raw(spark, sf_dir, p)
         run_root = f"{root}/run-{uuid.uuid4().hex}"
-        cur = materialize(spark, build(raw, p), run_root, raw, p)
-        spark.createDataFrame([(run_root,)], "path string").coalesce(1).write.mode("append").json(f"{root}/_published")
+        with sized_shuffle(spark, sum(size for _, size, _ in files)):
+            cur = materialize(spark, build(raw, p), run_root, raw, p)
+        sinks.record_version(spark, root, 0, run_root)
+    else:
+        cur = read_tables(spark, done[1])
     _PUBLISHED[memo] = cur
     return cur

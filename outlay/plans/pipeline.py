@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import UNKNOWN_TS, SourceParams
-from ..sources import fixtures
+from ..session import input_bytes, sized_shuffle
+from ..sources import fixtures, sinks
 from . import curated as C
 
+log = logging.getLogger(__name__)
+
 
 def _freshness_row(df: DataFrame, ts_col: str, key: str, label: str, refreshed_at: str) -> DataFrame:
     latest = F.max(F.col(ts_col).try_cast("timestamp"))
@@ -36,49 +41,111 @@ def upsert_freshness(stored: DataFrame, fresh: DataFrame) -> DataFrame:
     return stored.join(fresh.select("source_key"), "source_key", "left_anti").unionByName(fresh)
 
 
-def _metric(df: DataFrame, stage: str, metric: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("value")).select(
-        F.lit(stage).alias("stage"), F.lit(metric).alias("metric"), "value")
+def load_audit(st: C.Stages, cur: C.Curated) -> DataFrame:
+    """Found / mapped / skipped / merged / recovered / loaded / backfilled counts.
+
+    The PO figures come from one grouped pass: every PO number with the
+    sources it was seen in. Direct, umbrella and comment lines are read once
+    each, and a number's rows are counted before they are shuffled.
+    """
+    def seen(df: DataFrame, source: str) -> DataFrame:
+        return df.select("po_number", F.lit(source).alias("source"))
+
+    u = st.umbrella_mapped
+    rows = (seen(st.direct, "direct")
+            .unionByName(u.select("po_number", F.when(F.col("proj_def").isNotNull(), "mapped").otherwise("skipped")
+                                  .alias("source")))
+            .unionByName(seen(st.comment, "comment")).unionByName(seen(st.comment_map, "referenced")))
+    n = {s: F.count(F.when(F.col("source") == s, 1)).alias(s)
+         for s in ("direct", "mapped", "skipped", "comment", "referenced")}
+    by_po = rows.groupBy("po_number").agg(*n.values())
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    new = lambda cond: F.count(F.when(cond, 1))
+    known = (F.col("direct") > 0) | (F.col("mapped") > 0)
+    figures = by_po.agg(
+        total("direct").alias("direct"), total(F.col("mapped") + F.col("skipped")).alias("raw"),
+        total("mapped").alias("mapped"), total("skipped").alias("skipped"),
+        new((F.col("direct") == 0) & (F.col("mapped") > 0)).alias("umbrella_new"),
+        total("referenced").alias("referenced"), new((F.col("referenced") > 0) & ~known).alias("missing"),
+        new(~known & (F.col("comment") > 0)).alias("comment_new"))
+    names = {"direct": ("pull", "direct_po_rows"), "raw": ("umbrella", "raw_rows"), "mapped": ("umbrella", "mapped"),
+             "skipped": ("umbrella", "skipped"), "umbrella_new": ("merge", "umbrella_new"),
+             "referenced": ("comment", "referenced"), "missing": ("comment", "missing"),
+             "comment_new": ("merge", "comment_new")}
+    po_part = figures.select(F.explode(F.array(*[
+        F.struct(F.lit(s).alias("stage"), F.lit(m).alias("metric"), F.col(c).cast("long").alias("value"))
+        for c, (s, m) in names.items()])).alias("x")).select("x.*")
+
+    def count(df: DataFrame, stage: str, metric: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(stage).alias("stage"), F.lit(metric).alias("metric"),
+                                                               "value")
+
+    return reduce(DataFrame.unionByName, [
+        po_part, count(st.pulled, "pull", "projects_found"), count(st.store_map, "umbrella", "store_keys"),
+        count(cur.projects, "load", "projects"), count(cur.budgets, "load", "budgets"), count(cur.pos, "load", "pos"),
+        count(cur.projects.join(cur.pos.select("proj_def").distinct(), "proj_def", "left_semi"), "backfill", "contractor"),
+    ])
+
+
+Source = tuple[str, str, Callable[[], DataFrame], str]
+
+
+def checked_freshness(spark: SparkSession, sources: list[Source], refreshed_at: str) -> DataFrame:
+    """A24 with each source on its own: (key, label, frame, timestamp column).
+
+    A source that cannot be read shows 'Unknown' and leaves the others as they
+    are. One row per source reaches the driver.
+    """
+    rows = []
+    for key, label, frame, column in sources:
+        try:
+            row = tuple(_freshness_row(frame(), column, key, label, refreshed_at).first())
+        except Exception as e:  # the failure is the finding; the label tells it apart from an empty source
+            log.warning("source %s cannot be read: %s", key, str(e)[:200])
+            row = (key, label, UNKNOWN_TS, refreshed_at + " UTC")
+        rows.append(row)
+    return spark.createDataFrame(
+        rows, "source_key string, source_label string, source_last_updated string, refreshed_at string")
+
+
+def stored_freshness(spark: SparkSession, out_root: str) -> DataFrame:
+    """The stored freshness rows, by key."""
+    return sinks.read_current(spark, f"{out_root.rstrip('/')}/source_freshness").orderBy("source_key")
+
+
+def refresh(spark: SparkSession, raw: fixtures.RawInputs, documents: Callable[[], DataFrame], out_root: str,
+            params: SourceParams | None = None, nbytes: int = 0) -> C.Curated:
+    """Extracts -> curated tables (S7, S8) -> audit (A27) -> freshness.
+
+    Each run writes a new version below ``out_root`` (a shared location) and
+    moves the pointer when all of its tables are complete; readers of the
+    version before are not disturbed, and a failed run is never visible.
+    """
+    p, root = params or SourceParams(), out_root.rstrip("/")
+    done = sinks.current_version(spark, f"{root}/curated")
+    version = done[0] + 1 if done else 0
+    path = f"{root}/curated/v={version}"
+    with sized_shuffle(spark, nbytes):
+        cur = C.materialize(spark, C.build(raw, p), path, raw, p)
+        load_audit(C.build_stages(raw, p), cur).write.mode("overwrite").parquet(f"{path}/load_audit")
+    sinks.record_version(spark, f"{root}/curated", version, path)
+    fresh = checked_freshness(spark, [
+        ("project_master", "Project master", lambda: raw.projects, "date_modified"),
+        ("po_lines", "PO lines", lambda: raw.po_lines, "ods_updated"),
+        ("documents", "Documents", documents, "last_checked")], p.refreshed_at)
+    stored = sinks.current_version(spark, f"{root}/source_freshness")
+    rows = upsert_freshness(spark.read.parquet(stored[1]), fresh) if stored else fresh
+    sinks.write_version(spark, rows, f"{root}/source_freshness", stored[0] + 1 if stored else 0)
+    return cur
 
 
-def load_audit(st: C.Stages, cur: C.Curated) -> DataFrame:
-    """Found / mapped / skipped / merged / recovered / loaded / backfilled counts."""
-    existing = st.direct.select("po_number").unionByName(
-        st.umbrella_mapped.filter(F.col("proj_def").isNotNull()).select("po_number")).distinct()
-    missing = st.comment_map.join(existing, "po_number", "left_anti")
-    rank = F.col("source_rank")
-    parts = [
-        _metric(st.pulled, "pull", "projects_found"),
-        _metric(st.direct, "pull", "direct_po_rows"),
-        _metric(st.umbrella, "umbrella", "raw_rows"),
-        _metric(st.umbrella_mapped.filter(F.col("proj_def").isNotNull()), "umbrella", "mapped"),
-        _metric(st.umbrella_mapped.filter(F.col("proj_def").isNull()), "umbrella", "skipped"),
-        _metric(st.store_map, "umbrella", "store_keys"),
-        _metric(st.merged.filter(rank == 2), "merge", "umbrella_new"),
-        _metric(st.comment_map, "comment", "referenced"),
-        _metric(missing, "comment", "missing"),
-        _metric(st.merged.filter(rank == 3), "merge", "comment_new"),
-        _metric(cur.projects, "load", "projects"),
-        _metric(cur.budgets, "load", "budgets"),
-        _metric(cur.pos, "load", "pos"),
-        _metric(cur.projects.join(cur.pos.select("proj_def").distinct(), "proj_def", "left_semi"),
-                "backfill", "contractor"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def current(spark: SparkSession, out_root: str) -> C.Curated:
+    """The curated tables that the last complete refresh wrote."""
+    return C.read_tables(spark, sinks.current_version(spark, f"{out_root.rstrip('/')}/curated")[1])
 
 
 def run_refresh(spark: SparkSession, sf_dir: str, out_root: str, params: SourceParams | None = None) -> C.Curated:
-    """Extract -> curated -> staged write (S7, S8) -> freshness.
-
-    ``out_root`` must be a shared location (the cluster's checkpoint dir or
-    a table root); each run writes a fresh root and the caller swaps the
-    pointer, so a failed run never leaves half-written tables visible.
-    """
-    from ..session import input_bytes, size_shuffle
+    """R9 over the test tables' fixture; ``refresh`` takes any landed extracts."""
     p = params or SourceParams()
-    size_shuffle(spark, input_bytes(spark, sf_dir))
-    raw = fixtures.load_raw(spark, sf_dir, p)
-    cur = C.materialize(spark, C.build(raw, p), f"{out_root}/curated", raw, p)
-    docs = fixtures.doc_old(spark, sf_dir, p)
-    source_freshness(raw, docs, p).write.mode("overwrite").parquet(f"{out_root}/source_freshness")
-    return cur
+    return refresh(spark, fixtures.load_raw(spark, sf_dir, p), lambda: fixtures.doc_old(spark, sf_dir, p), out_root, p,
+                   input_bytes(spark, sf_dir))

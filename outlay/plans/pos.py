@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import aging_days, default_label, out_money, safe_pct, ts_text, zero_money
@@ -127,19 +127,49 @@ def sort_columns(f: PoFilter) -> list[Column]:
 def po_page(cur: Curated, f: PoFilter, as_of: str = DEFAULT_AS_OF) -> DataFrame:
     """R4 rows of one page (O3): sort, skip (page-1)*size, take size.
 
-    Only the page leaves the sort (TakeOrderedAndProject with offset).
+    Each task hands on offset + limit rows; deep pages belong to ``po_page_after``.
     """
     page = max(1, int(f.page))
     rows = filtered(cur, f, as_of).orderBy(*sort_columns(f))
     return present(rows.offset((page - 1) * f.page_size).limit(f.page_size))
 
 
-def po_page_after(cur: Curated, f: PoFilter, after_po: str | None, as_of: str = DEFAULT_AS_OF) -> DataFrame:
-    """Keyset page in po_number order: rows after ``after_po``; no deep OFFSET."""
+def _after(keys: list[tuple[Column, bool, object]]) -> Column:
+    """Rows behind a cursor: lexicographic, NULL first ascending and last descending."""
+    c, desc, value = keys[0]
+    v = F.lit(value)
+    if value is None:
+        beyond = F.lit(False) if desc else c.isNotNull()
+    else:
+        beyond = (c < v) | c.isNull() if desc else c > v
+    beyond = F.coalesce(beyond, F.lit(False))
+    return beyond if len(keys) == 1 else beyond | (c.eqNullSafe(v) & _after(keys[1:]))
+
+
+CURSOR = ("sort_value", "po_number", "project_id")
+
+
+def po_page_after(cur: Curated, f: PoFilter, after: tuple | None, as_of: str = DEFAULT_AS_OF,
+                  cursor: bool = False) -> DataFrame:
+    """Keyset page: the ``f.page_size`` rows behind cursor ``after``; no OFFSET at any depth.
+
+    The cursor is the last row's (sort value, po_number, project_id): a PO
+    joined to several projects may end a page anywhere in its rows. With
+    ``cursor`` the page carries these values as column ``cursor``.
+    """
+    key = PO_SORT.get(f.sort or "", "po_number")
     rows = filtered(cur, f, as_of)
-    if after_po is not None:
-        rows = rows.filter(F.col("po_number") > F.lit(after_po))
-    return present(rows.orderBy("po_number", "project_id").limit(f.page_size))
+    if after is not None:
+        rows = rows.filter(_after([(F.col(key), f.order == "desc", after[0]), (F.col("po_number"), False, after[1]),
+                                   (F.col("project_id"), False, after[2])]))
+    page = rows.orderBy(*sort_columns(f)).limit(f.page_size)
+    if not cursor:
+        return present(page)
+    at = F.struct(F.col(key).alias(CURSOR[0]), "po_number", "project_id")
+    return page.select(at.alias("cursor"), *PO_KEYS)
+
+
+PO_KEYS = ["po_number", "project_id"]
 
 
 def po_page_count(cur: Curated, f: PoFilter, as_of: str = DEFAULT_AS_OF) -> DataFrame:
@@ -180,16 +210,25 @@ def po_detail(cur: Curated, po_number: str, as_of: str = DEFAULT_AS_OF) -> DataF
 
 
 def po_options(cur: Curated, as_of: str = DEFAULT_AS_OF) -> DataFrame:
-    """A25 (PO tab): vendors, states / project statuses seen via J5, PO statuses."""
-    base = po_base(cur, as_of)
-    vend = cur.pos.filter(F.col("vendor").isNotNull() & (F.col("vendor") != "")).select(
-        F.lit("vendor").alias("option"), F.col("vendor").alias("value"))
-    states = base.filter(F.col("state").isNotNull()).select(F.lit("state").alias("option"), F.col("state").alias("value"))
-    pst = base.filter(F.col("project_status").isNotNull()).select(
-        F.lit("project_status").alias("option"), F.col("project_status").alias("value"))
-    post = cur.pos.filter(F.col("po_status").isNotNull()).select(
-        F.lit("po_status").alias("option"), F.col("po_status").alias("value"))
-    return vend.unionByName(states).unionByName(pst).unionByName(post).distinct()
+    """A25 (PO tab): vendors, states and project statuses seen via J5, PO statuses.
+
+    One pass over the base; ``position`` is the ascending place within an option.
+    """
+    return option_values(po_base(cur, as_of), {
+        "vendor": (F.col("vendor"), False), "state": (F.col("state"), True),
+        "project_status": (F.col("project_status"), True), "po_status": (F.col("po_status"), True)})
+
+
+def option_values(rows: DataFrame, options: dict[str, tuple[Column, bool]]) -> DataFrame:
+    """Distinct values of several columns in one pass, with their ascending position.
+
+    ``options``: name -> (column, whether '' is a value). NULL never is.
+    """
+    pairs = F.array(*[F.struct(F.lit(n).alias("option"), (c if blank else F.when(c != "", c)).alias("value"))
+                      for n, (c, blank) in options.items()])
+    found = rows.select(F.explode(pairs).alias("o")).select("o.*").filter("value IS NOT NULL").distinct()
+    place = F.row_number().over(Window.partitionBy("option").orderBy("value"))
+    return found.select("option", "value", place.alias("position"))
 
 
 # ---------------------------------------------------------------- e-mail
@@ -240,18 +279,35 @@ def vendor_email_report(cur: Curated, selection: DataFrame, as_of: str = DEFAULT
 
 
 def vendor_email_lines(cur: Curated, selection: DataFrame, as_of: str = DEFAULT_AS_OF) -> DataFrame:
-    """X28 body: one plain-text line per selected PO row, ordered by (vendor, po).
+    """X28 body: plain-text lines in order, as rows (section, part, position, line).
 
-    Kept as rows: a vendor's body is never gathered into one task.
+    Per vendor a greeting, per PO its place, scope, amounts and status (with
+    the give-back only where there is one), then the vendor's totals and a
+    closing. Kept as rows: a body is never gathered into one task.
     """
     rows = email_rows(cur, selection, as_of)
-    line = F.format_string("PO %s: total %s, invoiced %s, remaining %s",
-                           F.col("po_number"),
-                           F.format_number(F.col("po_total_dec").cast("double"), 2),
-                           F.format_number(F.col("invoiced_dec").cast("double"), 2),
-                           F.format_number(F.col("remaining_dec").cast("double"), 2))
-    return rows.select(F.col("vendor_label").alias("vendor"), "po_number", "project_id", line.alias("line"))
-
+    money = lambda c: F.concat(F.lit("$"), F.format_number(F.col(c).cast("double"), 2))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    shown = lambda c: default_label(F.col(c), "N/A")
+    body = F.concat(
+        F.lit("PO "), text("po_number"), F.lit(", store "), text("store_sequence"), F.lit(" ("), text("city"),
+        F.lit(", "), text("state"), F.lit("); scope: "), shown("scope"), F.lit("; value "), money("po_total_dec"),
+        F.lit(", invoiced "), money("invoiced_dec"), F.lit(", open "), money("remaining_dec"), F.lit("; project "),
+        shown("project_status"),
+        F.when(F.col("give_back_dec") > 0, F.concat(F.lit("; give-back "), money("give_back_dec"))).otherwise(F.lit("")))
+    none = F.lit(None).cast("string")
+    lines = rows.select(F.col("vendor_label").alias("vendor"), F.lit(1).alias("part"), "po_number", "project_id",
+                        body.alias("line"))
+    total = rows.groupBy(F.col("vendor_label").alias("vendor")).agg(
+        *[F.sum(c).alias(c) for c in ("po_total_dec", "invoiced_dec", "remaining_dec")])
+    ends = total.select("vendor", F.explode(F.array(
+        F.struct(F.lit(0).alias("part"), F.concat(F.lit("Status of purchase orders for "), F.col("vendor")).alias("line")),
+        F.struct(F.lit(2).alias("part"), F.concat(F.lit("Sum of values "), money("po_total_dec"), F.lit(", invoiced "),
+                                                  money("invoiced_dec"), F.lit(", open "), money("remaining_dec"))
+                 .alias("line")),
+        F.struct(F.lit(3).alias("part"), F.lit("Kindly tell us which invoices are still to come and when.")
+                 .alias("line")))).alias("e"))
+    return lines.unionByName(ends.select("vendor", "e.part", none.alias("po_number"), none.alias("project_id"), "e.line"))
 
 
 def display_rows(rows: DataFrame, program_token: str) -> DataFrame:
@@ -270,6 +326,6 @@ def display_rows(rows: DataFrame, program_token: str) -> DataFrame:
 def write_email_report(cur: Curated, selection: DataFrame, root: str, as_of: str = DEFAULT_AS_OF) -> None:
     """Per-vendor sections and the plain-text body lines as JSON datasets."""
     base = root.rstrip("/")
-    vendor_email_report(cur, selection, as_of).write.mode("overwrite").json(f"{base}/sections")
-    (vendor_email_lines(cur, selection, as_of).orderBy("vendor", "po_number", "project_id")
-     .write.mode("overwrite").json(f"{base}/lines"))
+    vendor_email_report(cur, selection, as_of).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{base}/sections")
+    (vendor_email_lines(cur, selection, as_of).orderBy("vendor", "part", "po_number", "project_id")
+     .write.mode("overwrite").option("ignoreNullFields", "false").json(f"{base}/lines"))

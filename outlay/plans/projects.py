@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import MONEY, out_money, ts_text, zero_money
@@ -25,15 +25,12 @@ def _with_po_flags(projects: DataFrame, pos: DataFrame, search: str | None, fiel
     terms = split_terms(search)
     if not terms or "po" not in parse_project_fields(fields):
         return projects, []
-    flags = []
-    for i, t in enumerate(terms):
-        name = f"_po_match_{i}"
-        hits = (pos.filter(like_contains(F.col("po_number"), t) | like_contains(F.col("vendor"), t))
-                .filter(F.col("proj_def").isNotNull()).select("proj_def").distinct()
-                .withColumn(name, F.lit(True)))
-        projects = projects.join(hits, "proj_def", "left")
-        flags.append(name)
-    return projects, flags
+    flags = [f"_po_match_{i}" for i in range(len(terms))]
+    hit = [F.coalesce(like_contains(F.col("po_number"), t) | like_contains(F.col("vendor"), t), F.lit(False))
+           for t in terms]
+    hits = (pos.filter(reduce(lambda a, b: a | b, hit) & F.col("proj_def").isNotNull()).groupBy("proj_def")
+            .agg(*[F.max(h).alias(n) for n, h in zip(flags, hit)]))
+    return projects.join(hits, "proj_def", "left"), flags
 
 
 def search_projects(cur: Curated, search: str | None, fields=None, projects: DataFrame | None = None) -> DataFrame:
@@ -221,25 +218,26 @@ def project_detail(cur: Curated, project_id: str) -> DataFrame:
 
 
 def project_options(cur: Curated) -> DataFrame:
-    """A25 (project side): distinct option values in long form (option, value).
+    """A25 (project side): distinct option values with their place in the list.
 
-    Display order (types and statuses by count, years newest first) is
-    applied by the caller at the edge; no single-partition window here.
+    Types and statuses stand by number of projects, years newest first,
+    contractors and banners ascending. One pass over the projects.
     """
-    p = cur.projects
-
-    def opt(df: DataFrame, option: str) -> DataFrame:
-        return df.select(F.lit(option).alias("option"), F.col("value").cast("string").alias("value"))
-
-    nonblank = F.col("general_contractor").isNotNull() & (F.col("general_contractor") != "")
-    parts = [
-        opt(p.select(F.col("project_type").alias("value")).distinct(), "project_type"),
-        opt(p.select(F.col("project_status").alias("value")).distinct(), "project_status"),
-        opt(p.filter(nonblank).select(F.col("general_contractor").alias("value")).distinct(), "contractor"),
-        opt(p.filter(F.col("banner").isNotNull()).select(F.col("banner").alias("value")).distinct(), "banner"),
-        opt(node_years(cur.fund_nodes).select(F.col("approval_year").alias("value")), "fiscal_year"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    def entry(option: str, value: Column, counted: bool) -> Column:
+        return F.struct(F.lit(option).alias("option"), value.alias("value"), F.lit(counted).alias("any"))
+
+    p = F.explode(F.array(
+        entry("project_type", F.col("project_type"), True), entry("project_status", F.col("project_status"), True),
+        entry("contractor", F.when(F.col("general_contractor") != "", F.col("general_contractor")), False),
+        entry("banner", F.col("banner"), False))).alias("o")
+    counted = (cur.projects.select(p).select("o.*").filter(F.col("any") | F.col("value").isNotNull())
+               .groupBy("option", "value", "any").agg(F.count(F.lit(1)).alias("n")))
+    years = node_years(cur.fund_nodes).select(
+        F.lit("fiscal_year").alias("option"), F.col("approval_year").cast("string").alias("value"),
+        F.lit(True).alias("any"), F.col("approval_year").cast("long").alias("n"))
+    place = F.row_number().over(Window.partitionBy("option").orderBy(
+        F.when(F.col("any"), F.col("n")).desc(), F.col("value").asc()))
+    return counted.unionByName(years).select("option", "value", place.alias("position"))
 
 
 def dashboard(cur: Curated, search: str | None = None) -> dict[str, DataFrame]:

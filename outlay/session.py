@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -71,15 +73,56 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
 
 
-def size_shuffle(spark: SparkSession, nbytes: int, target_bytes: int = 256 << 20, cap: int = 100_000) -> int:
-    """Size shuffles for an input of ``nbytes`` so partitions stay spill-friendly.
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    About one partition per ``target_bytes`` of input, never fewer than two per
-    core and never more than ``cap``; AQE then coalesces the small ones to the
-    same advisory size, so small inputs do not pay for many tiny tasks.
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there; any other trouble with the file system is an error."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return [s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, modification time) of every file below ``path``, at any depth."""
+    fs, p = _fs(spark, path)
+    out, it = [], fs.listFiles(p, True)
+    while it.hasNext():
+        s = it.next()
+        out.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return sorted(out)
+
+
+def shuffle_partitions(spark: SparkSession, nbytes: int, target_bytes: int = 256 << 20) -> int:
+    """About one partition per ``target_bytes`` of input, two per core at least."""
+    return max(2 * max(1, spark.sparkContext.defaultParallelism), -(-nbytes // target_bytes))
+
+
+@contextmanager
+def sized_shuffle(spark: SparkSession, nbytes: int, target_bytes: int = 256 << 20) -> Iterator[int]:
+    """Size shuffles for an input of ``nbytes`` inside the block; the session's own settings come back after it.
+
+    AQE coalesces small partitions to the same advisory size, so small inputs
+    do not pay for many tiny tasks.
     """
-    cores = max(1, spark.sparkContext.defaultParallelism)
-    n = min(cap, max(2 * cores, -(-nbytes // target_bytes)))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    return n
+    n = shuffle_partitions(spark, nbytes, target_bytes)
+    wanted = {"spark.sql.shuffle.partitions": str(n), "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes)}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield n
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -4,8 +4,8 @@ A folder tree arrives as raw JSON text per project: a bare list of
 ``{id, text, numFiles, children: [...]}`` nodes, or that list wrapped under
 ``children`` or ``data``. Depth is unknown, so the tree is flattened level
 by level: each level is parsed with ``from_json`` keeping ``children`` as
-raw JSON text for the next level. One union per level; the loop runs once
-per tree *level* (a handful), never per row.
+raw JSON text for the next level. The loop runs once per tree *level*, never
+per row.
 
 Folder document lists arrive the same way (bare list, or under ``data`` /
 ``rows``) with inconsistent key names; records are parsed to
@@ -15,48 +15,69 @@ key presence (a missing key falls back, a present NULL does not).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import mime_type
 from ..params import SourceParams
+from ..session import checkpoint_dir
 
 NODE_SCHEMA = "array<struct<id:string,text:string,numFiles:bigint,children:string>>"
 RECORD_SCHEMA = "array<map<string,string>>"
 
 
 def _as_list(payload: Column, *wrappers: str) -> Column:
-    """JSON text of the node list: the payload itself, or its wrapped list."""
-    t = F.ltrim(payload)
-    wrapped = F.coalesce(*[F.get_json_object(payload, f"$.{w}") for w in wrappers], F.lit("[]"))
-    return F.when(t.startswith("["), payload).otherwise(wrapped)
+    """JSON text of the node list: the payload itself, or its wrapped list.
+
+    The first wrapper key that is present decides, also when it holds null
+    or no list: there are no nodes then.
+    """
+    keys = F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>"))
+    wrapped = F.lit("[]")
+    for w in reversed(wrappers):
+        wrapped = F.when(F.array_contains(keys, w), F.get_json_object(payload, f"$.{w}")).otherwise(wrapped)
+    return _list_or_none(F.when(F.ltrim(payload).startswith("["), payload).otherwise(wrapped))
 
 
-def flatten_folders(trees: DataFrame, max_depth: int = 64) -> DataFrame:
-    """(project_id, payload) -> one row per folder.
+def _list_or_none(json: Column) -> Column:
+    """Only a JSON list holds nodes; an object does not."""
+    return F.when(F.ltrim(json).startswith("["), json)
+
+
+def flatten_folders(trees: DataFrame) -> DataFrame:
+    """(project_id, payload) -> one row per folder, at any depth.
 
     Depth 0 names the category; deeper folders use their *own* name as the
-    sub-folder (not a path) and inherit the category.
+    sub-folder (not a path) and inherit the category. Each level is written
+    to the shared folder and the next is parsed from it, until a level is
+    empty: no level is parsed twice and a lost executor re-reads one level.
     """
-    level = trees.select(
-        "project_id", F.explode(F.from_json(_as_list(F.col("payload"), "children", "data"), NODE_SCHEMA)).alias("n")
-    ).select("project_id", F.lit(0).alias("depth"), F.col("n.text").alias("category"), F.lit("").alias("sub_folder"),
-             "n.id", "n.text", "n.numFiles", "n.children")
-    out = None
-    for depth in range(max_depth):
-        cur = level.select("project_id", "depth", F.col("id").alias("folder_id"), F.col("text").alias("folder_name"),
-                           "category", "sub_folder", F.coalesce("numFiles", F.lit(0)).alias("num_files"))
-        out = cur if out is None else out.unionByName(cur)
-        nxt = level.filter(F.col("children").isNotNull()).select(
-            "project_id", "category",
-            F.explode(F.from_json(F.col("children"), NODE_SCHEMA)).alias("n"))
-        nxt = nxt.select("project_id", F.lit(depth + 1).alias("depth"), "category",
-                         F.coalesce(F.col("n.text"), F.lit("")).alias("sub_folder"),
-                         "n.id", "n.text", "n.numFiles", "n.children")
-        if nxt.isEmpty():
-            break
-        level = nxt
-    return out
+    spark = trees.sparkSession
+    root = f"{checkpoint_dir(spark).rstrip('/')}/outlay-folders/{uuid.uuid4().hex}"
+
+    def write(level: DataFrame, depth: int) -> DataFrame:
+        level.write.parquet(f"{root}/depth={depth}")
+        return spark.read.schema(level.schema).parquet(f"{root}/depth={depth}")
+
+    fields = ["n.id", "n.text", "n.numFiles", "n.children"]
+    level = write(trees.select(
+        "project_id", F.explode(F.from_json(_as_list(F.col("payload"), "children", "data"), NODE_SCHEMA)).alias("n"))
+        .select("project_id", F.col("n.text").alias("category"), F.lit("").alias("sub_folder"), *fields), 0)
+    depth = 0
+    while not level.isEmpty():
+        depth += 1
+        level = write(level.select("project_id", "category", F.explode(
+            F.from_json(_list_or_none(F.col("children")), NODE_SCHEMA)).alias("n"))
+            .select("project_id", "category", F.coalesce("n.text", F.lit("")).alias("sub_folder"), *fields), depth)
+    whole = spark.read.schema(f"{_ddl(level)}, depth int").parquet(root)
+    return whole.select("project_id", "depth", F.col("id").alias("folder_id"), F.col("text").alias("folder_name"),
+                        "category", "sub_folder", F.coalesce("numFiles", F.lit(0)).alias("num_files"))
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"{n} {t}" for n, t in df.dtypes)
 
 
 def _pick(m: Column, keys: list[str], default: str = "") -> Column:

@@ -1,10 +1,15 @@
-"""Sinks: staged table writes with a version pointer (S7-S9), document table."""
+"""Sinks: versioned table writes with a pointer (S7, S8), bucketed document table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import delete_path, list_dirs, path_exists
+
+#: Buckets of the document table. A batch rewrites only those it touches.
+DOC_BUCKETS = 256
+
 
 def write_version(spark: SparkSession, df: DataFrame, table_root: str, version: int) -> str:
     """Write ``df`` as a new version, then record it as current.
@@ -14,23 +19,83 @@ def write_version(spark: SparkSession, df: DataFrame, table_root: str, version:
     """
     path = f"{table_root.rstrip('/')}/v={version}"
     df.write.mode("overwrite").parquet(path)
-    spark.createDataFrame([(version, path)], "version long, path string").write.mode("append").json(
-        f"{table_root.rstrip('/')}/_versions")
+    record_version(spark, table_root, version, path)
     return path
 
 
+def record_version(spark: SparkSession, root: str, version: int, path: str) -> None:
+    (spark.createDataFrame([(version, path)], "version long, path string").coalesce(1)
+     .write.mode("append").json(f"{root.rstrip('/')}/_versions"))
+
+
+def current_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
+    """(version, path) of the newest recorded version; None only when none was ever recorded."""
+    marks = f"{root.rstrip('/')}/_versions"
+    if not path_exists(spark, marks):
+        return None
+    row = spark.read.schema("version long, path string").json(marks).agg(
+        F.max("version").alias("v"), F.max_by("path", "version").alias("path")).first()
+    return None if row["v"] is None else (row["v"], row["path"])
+
+
 def read_current(spark: SparkSession, table_root: str) -> DataFrame:
     """Newest recorded version of a table written by ``write_version``."""
-    latest = spark.read.json(f"{table_root.rstrip('/')}/_versions").agg(
-        F.max_by("path", "version").alias("path")).first()
-    return spark.read.parquet(latest["path"])
+    return spark.read.parquet(current_version(spark, table_root)[1])
+
+
+# ------------------------------------------------------------ document table
+
+LOG = "version long, stream string, batch long, bucket int, path string"
+
 
+def doc_bucket(project_id: Column | str, buckets: int = DOC_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(project_id), F.lit(buckets)).cast("int")
 
-def write_documents(spark: SparkSession, docs: DataFrame, table_root: str, version: int) -> str:
-    """The reconciled document table as a new version.
 
-    Rows are sorted by project within each task (no extra shuffle), so the
-    parquet min/max statistics let a per-project lookup skip most files; a
-    project holding many documents never forces one huge task.
+def doc_log(spark: SparkSession, root: str) -> DataFrame | None:
+    path = f"{root.rstrip('/')}/_log"
+    return spark.read.schema(LOG).json(path) if path_exists(spark, path) else None
+
+
+def doc_paths(log: DataFrame | None) -> dict[int, str]:
+    """Current folder of each bucket; at most DOC_BUCKETS rows reach the driver. Bucket -1 holds the sync state."""
+    if log is None:
+        return {}
+    return {r["bucket"]: r["path"] for r in log.filter("path IS NOT NULL").groupBy("bucket").agg(
+        F.max_by("path", "version").alias("path")).collect()}
+
+
+def write_documents(spark: SparkSession, docs: DataFrame, root: str, version: int, stream: str = "", batch: int = -1,
+                    touched: list[int] | None = None, state: DataFrame | None = None) -> None:
+    """Write the rows of the touched buckets as version ``version``, then log it.
+
+    Without ``touched`` all buckets are replaced. Rows are sorted by project
+    within a file, so min/max statistics serve per-project lookups.
     """
-    return write_version(spark, docs.sortWithinPartitions("project_id", "doc_id"), table_root, version)
+    base = f"{root.rstrip('/')}/v={version}"
+    (docs.withColumn("bucket", doc_bucket("project_id")).sortWithinPartitions("bucket", "project_id", "doc_id")
+     .write.mode("overwrite").partitionBy("bucket").parquet(base))
+    have = {int(d.rsplit("=", 1)[1]): d for d in list_dirs(spark, base) if "bucket=" in d.rsplit("/", 1)[1]}
+    rows = [(version, stream, batch, b, have.get(b)) for b in (touched if touched is not None else have)]
+    if state is not None:
+        state.write.mode("overwrite").parquet(f"{root.rstrip('/')}/state/v={version}")
+        rows.append((version, stream, batch, -1, f"{root.rstrip('/')}/state/v={version}"))
+    spark.createDataFrame(rows or [(version, stream, batch, -2, None)], LOG).coalesce(1).write.mode("append").json(
+        f"{root.rstrip('/')}/_log")
+
+
+def read_documents(spark: SparkSession, root: str, schema: str, buckets: list[int] | None = None) -> DataFrame:
+    """The current document table, or the named buckets of it."""
+    paths = [p for b, p in doc_paths(doc_log(spark, root)).items() if b >= 0 and (buckets is None or b in buckets)]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def expire_documents(spark: SparkSession, root: str) -> int:
+    """Delete bucket and state folders that no current pointer names; run it when no batch runs."""
+    live = {p.split(":", 1)[-1] for p in doc_paths(doc_log(spark, root)).values()}
+    old = [d for v in list_dirs(spark, root) if "/v=" in v for d in list_dirs(spark, v) if "bucket=" in d]
+    old += [d for d in list_dirs(spark, f"{root.rstrip('/')}/state") if "/v=" in d]
+    gone = [d for d in old if d.split(":", 1)[-1] not in live]
+    for d in gone:
+        delete_path(spark, d)
+    return len(gone)

@@ -1,12 +1,17 @@
 """D3: the document reconcile (D1) applied per micro-batch with foreachBatch.
 
-Incoming snapshot rows land as files; each micro-batch holds the snapshots
-of the projects synced in it. A row with a NULL ``doc_id`` marks a project
-whose listing succeeded but returned nothing (so its live docs are deleted).
-The stored table is versioned: batch ``n`` reads the newest complete
-version, reconciles, writes ``v=<n>`` and only then records it as current,
-so a lost executor or a retried batch never exposes a half-written table
-(a retried batch overwrites its own version directory).
+Arrivals are rows of project listings. A listing has a ``snapshot_id`` that
+grows with time, and one closing row (NULL ``doc_id``) that says in
+``snapshot_docs`` how many document rows it has. A listing is applied once it is
+complete, whatever batches its rows came in; until then its rows wait in the
+sync state. Of several complete listings of a project the newest counts, and
+one older than the last applied is dropped.
+
+The table is kept in buckets by project. A batch reads and rewrites only the
+buckets of its projects and of documents stored elsewhere, as a new version
+whose number follows the log, not the batch id; the log line is written last.
+A batch that the log already has from the same stream is skipped, so a retried
+batch changes nothing and a new checkpoint goes on from the stored table.
 """
 
 from __future__ import annotations
@@ -16,12 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.documents import reconcile
+from ..sources import sinks
 from ..sources.fixtures import DOC_COLUMNS
 
 INCOMING_SCHEMA = (
     "doc_id string, project_id string, folder_id string, folder_category string, sub_folder string, "
     "doc_name string, doc_url string, doc_type string, doc_size string, uploaded_by string, uploaded_at string, "
-    "last_checked string, arrival_seq long"
+    "last_checked string, arrival_seq long, snapshot_id long, snapshot_docs long"
 )
 INCOMING_SCHEMA_COLUMNS = [c.split()[0] for c in INCOMING_SCHEMA.split(", ")]
 STORED_SCHEMA = (
@@ -31,44 +37,61 @@ STORED_SCHEMA = (
 )
 
 
-def _current_version(spark: SparkSession, table_root: str, before: int | None = None) -> str | None:
-    """Newest committed version (a tiny marker table, never the data).
-
-    ``before`` bounds it below a batch id, so a retried batch ``n`` reads
-    its true predecessor and never the ``v=n`` it is about to overwrite.
-    """
-    try:
-        marks = spark.read.json(f"{table_root}/_versions")
-        if before is not None:
-            marks = marks.filter(F.col("version") < before)
-        rows = marks.agg(F.max("version").alias("v")).collect()
-    except Exception:  # no version yet
-        return None
-    v = rows[0]["v"] if rows else None
-    return None if v is None else f"{table_root}/v={v}"
-
-
-def merge_batch(spark: SparkSession, table_root: str, now: str, batch: DataFrame, batch_id: int) -> None:
-    """Reconcile one micro-batch into the stored table (D1 per batch)."""
-    cur = _current_version(spark, table_root, before=batch_id)
-    stored = spark.read.parquet(cur) if cur else spark.createDataFrame([], STORED_SCHEMA)
-    attempted = batch.select("project_id").distinct()
-    incoming = batch.filter(F.col("doc_id").isNotNull())
+def merge_batch(spark: SparkSession, root: str, now: str, batch: DataFrame, batch_id: int, stream: str = "") -> None:
+    """Reconcile one micro-batch into the stored table (D1 on its complete listings)."""
+    log = sinks.doc_log(spark, root)
+    version = 0
+    if log is not None:
+        seen = log.agg(F.max("version").alias("v"), F.count(F.when(
+            (F.col("stream") == stream) & (F.col("batch") == batch_id), 1)).alias("n")).first()
+        if seen["n"]:
+            return
+        version = (seen["v"] if seen["v"] is not None else -1) + 1
+    state_path = sinks.doc_paths(log).get(-1)
+    state_schema = f"{INCOMING_SCHEMA}, applied boolean"
+    state = spark.read.schema(state_schema).parquet(state_path) if state_path else spark.createDataFrame([], state_schema)
+    rows = batch.select(*INCOMING_SCHEMA_COLUMNS).unionByName(state.filter("NOT applied").drop("applied"))
+    done = state.filter("applied").select("project_id", F.col("snapshot_id").alias("last"))
+    listings = rows.groupBy("project_id", "snapshot_id").agg(
+        F.count("doc_id").alias("n"), F.max("snapshot_docs").alias("want"))
+    ready = (listings.filter("n >= want").groupBy("project_id").agg(F.max("snapshot_id").alias("newest"))
+             .join(done, "project_id", "full")
+             .select("project_id", "newest", "last", F.greatest("newest", "last").alias("upto")))
+    placed = rows.join(ready, "project_id", "left")
+    fresh = F.col("newest").isNotNull() & (F.col("last").isNull() | (F.col("newest") > F.col("last")))
+    incoming = placed.filter(fresh & (F.col("snapshot_id") == F.col("newest")) & F.col("doc_id").isNotNull()).select(
+        *INCOMING_SCHEMA_COLUMNS)
+    attempted = ready.filter(fresh).select("project_id")
+    waiting = placed.filter("upto IS NULL OR snapshot_id > upto").select(
+        *INCOMING_SCHEMA_COLUMNS, F.lit(False).alias("applied"))
+    kinds = dict(c.split() for c in INCOMING_SCHEMA.split(", "))
+    marks = ready.filter("upto IS NOT NULL").select(*[
+        F.col("project_id") if c == "project_id" else F.col("upto").alias(c) if c == "snapshot_id"
+        else F.lit(None).cast(kinds[c]).alias(c) for c in INCOMING_SCHEMA_COLUMNS], F.lit(True).alias("applied"))
+    elsewhere = sinks.read_documents(spark, root, STORED_SCHEMA).select("doc_id", "project_id").join(
+        incoming.select("doc_id"), "doc_id", "left_semi").select("project_id")
+    touched = [r[0] for r in attempted.unionByName(elsewhere).select(
+        sinks.doc_bucket("project_id").alias("b")).distinct().collect()]  # DOC_BUCKETS values at most
+    stored = sinks.read_documents(spark, root, STORED_SCHEMA, touched) if touched else spark.createDataFrame(
+        [], STORED_SCHEMA)
     out = reconcile(stored, incoming, attempted, now).select(*DOC_COLUMNS)
-    out.write.mode("overwrite").parquet(f"{table_root}/v={batch_id}")
-    spark.createDataFrame([(batch_id,)], "version long").write.mode("append").json(f"{table_root}/_versions")
+    sinks.write_documents(spark, out, root, version, stream, batch_id, touched, waiting.unionByName(marks))
 
 
 def start_doc_sync(spark: SparkSession, incoming_dir: str, table_root: str, checkpoint: str, now: str,
                    available_now: bool = True) -> StreamingQuery:
     """Start the stream: parquet snapshot files -> foreachBatch(D1)."""
     src = spark.readStream.schema(INCOMING_SCHEMA).parquet(incoming_dir)
-    w = (src.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, bid: merge_batch(spark, table_root, now, df, bid)))
+
+    def apply(df: DataFrame, batch_id: int) -> None:
+        # the stream's own id: a checkpoint that was started anew has another one
+        stream = spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+        merge_batch(spark, table_root, now, df, batch_id, stream)
+
+    w = src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
 def read_current(spark: SparkSession, table_root: str) -> DataFrame:
-    cur = _current_version(spark, table_root)
-    return spark.read.parquet(cur) if cur else spark.createDataFrame([], STORED_SCHEMA)
+    return sinks.read_documents(spark, table_root, STORED_SCHEMA)

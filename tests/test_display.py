@@ -27,7 +27,7 @@ def test_text_helpers(spark):
                   currency_text(F.col("m")), currency_text(F.col("neg")), currency_text(F.lit(None)),
                   doc_kind(F.col("mime")), location_text(F.col("city"), F.col("state")), aging_band(F.col("days")),
                   safe_pct(F.lit(1), F.lit(0)), safe_pct(F.lit(1), F.lit(4))).collect()[0]
-    assert list(r) == ["2001-02-03", "2001-02-03 04:05", None, "WATER X", "WATER", "$1,234.50", "-$2.00", "$0.00",
+    assert list(r) == ["2001-02-03", "2001-02-03 04:05", None, "WATER X", "WATER", "$1,234.50", "$-2.00", "$0.00",
                        "pdf", "Austin, ", "60+", 0.0, 25.0]
 
 
@@ -77,30 +77,74 @@ def test_email_sections_and_keyset_pages(spark):
     offset_rows = [tuple(r) for r in POS.po_page(cur, f).select("po_number", "project_id").collect()]
     keyset_rows = [tuple(r) for r in POS.po_page_after(cur, f, None).select("po_number", "project_id").collect()]
     assert offset_rows == keyset_rows
-    nxt = POS.po_page_after(cur, f, keyset_rows[-1][0]).select("po_number").first()
-    assert nxt is None or nxt.po_number > keyset_rows[-1][0]
+
+
+def test_keyset_pages_concatenate_to_the_base(spark):
+    cur = C.from_testdata(spark, SF001, P)
+    cur = C.Curated(projects=cur.projects.cache(), budgets=cur.budgets, pos=cur.pos.filter("po_number < '00000400'").cache(),
+                    fund_nodes=cur.fund_nodes)
+    whole = POS.po_base(cur).count()
+    for sort, order, size in (("po_number", "asc", 7), ("vendor", "desc", 41), ("state", "asc", 60),
+                              ("remaining_to_invoice", "desc", 53), ("created_date", "asc", 90)):
+        f = PoFilter(sort=sort, order=order, page_size=size)
+        seen, after = [], None
+        while True:
+            page = POS.po_page_after(cur, f, after, cursor=True).collect()
+            seen += [(r.po_number, r.project_id) for r in page]
+            if len(page) < size:
+                break
+            after = tuple(page[-1].cursor)
+        assert len(seen) == len(set(seen)) == whole
+        if whole < 5000:
+            want = [tuple(r) for r in POS.filtered(cur, f).orderBy(*POS.sort_columns(f))
+                    .select("po_number", "project_id").collect()]
+            assert seen == want
+
+
+def test_short_currency_rounds_the_binary_value(spark):
+    from outlay.functions.expressions import short_currency
+    df = spark.createDataFrame([(1_150_000.0,), (2500.0,), (-1_250_000.0,), (0.5,), (None,), (3500.0,)], "v double")
+    assert [r[0] for r in df.select(short_currency(F.col("v"))).collect()] == \
+        ["$1.1M", "$2K", "$-1.2M", "$0", "$0", "$4K"]
+    assert df.select(aging_band(F.lit(None).cast("int"))).first()[0] is None
 
 
 def test_versioned_sink_roundtrip(spark, scratch):
     from outlay.sources import sinks
-    df1 = spark.createDataFrame([("1", "P", "f")], "doc_id string, project_id string, folder_id string")
-    df2 = spark.createDataFrame([("2", "Q", "g"), ("3", "P", "h")], "doc_id string, project_id string, folder_id string")
-    sinks.write_documents(spark, df1, scratch, 0)
-    sinks.write_documents(spark, df2, scratch, 1)
+    kind = "doc_id string, project_id string, folder_id string"
+    df1 = spark.createDataFrame([("1", "P", "f")], kind)
+    df2 = spark.createDataFrame([("2", "Q", "g"), ("3", "P", "h")], kind)
+    assert sinks.current_version(spark, scratch) is None
+    sinks.write_version(spark, df1, scratch, 0)
+    sinks.write_version(spark, df2, scratch, 1)
     assert sorted(r.doc_id for r in sinks.read_current(spark, scratch).collect()) == ["2", "3"]
 
 
+def test_document_table_rewrites_touched_buckets_only(spark, scratch):
+    from outlay.sources import sinks
+    kind = "doc_id string, project_id string, folder_id string"
+    rows = [(str(i), f"P{i}", "f") for i in range(40)]
+    sinks.write_documents(spark, spark.createDataFrame(rows, kind), scratch, 0)
+    before = sinks.doc_paths(sinks.doc_log(spark, scratch))
+    one = spark.createDataFrame([("new", "P3", "f")], kind)
+    b = one.select(sinks.doc_bucket("project_id")).first()[0]
+    stored = sinks.read_documents(spark, scratch, kind, [b])
+    sinks.write_documents(spark, stored.unionByName(one), scratch, 1, touched=[b])
+    after = sinks.doc_paths(sinks.doc_log(spark, scratch))
+    assert {k for k in before if before[k] != after[k]} == {b}
+    assert sinks.read_documents(spark, scratch, kind).count() == 41
+    assert sinks.expire_documents(spark, scratch) == 1 and sinks.read_documents(spark, scratch, kind).count() == 41
+
+
 def test_shuffle_sizing(spark):
-    from outlay.session import input_bytes, size_shuffle
+    from outlay.session import input_bytes, shuffle_partitions, sized_shuffle
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        assert size_shuffle(spark, 1) == 2 * cores                       # small input: cores bound
-        assert size_shuffle(spark, 10 * 2**40) == 40_960                  # 10 TiB / 256 MiB
-        assert size_shuffle(spark, 2**60) == 100_000                      # capped
-        assert input_bytes(spark, "/root/testdata/sf0.001") > 0
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert shuffle_partitions(spark, 1) == 2 * spark.sparkContext.defaultParallelism  # small input: cores bound
+    assert shuffle_partitions(spark, 100 * 2**40) == 409_600                            # 100 TiB / 256 MiB
+    with sized_shuffle(spark, 2**40) as n:
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(n) == "4096"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert input_bytes(spark, "/root/testdata/sf0.001") > 0
 
 
 def test_freshness_upsert_replaces_by_key(spark):

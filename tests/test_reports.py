@@ -57,15 +57,14 @@ def _n(key, year, desc, orig, sup, ret, cur, act, avail, dist, cfp, count):
 
 
 def _golden(spark):
+    # invented figures; in each row available = current - actuals - commitments
     rows = [
-        _n("PLB", 2022, "plb", 439694.75, 3060305.25, 0, 3500000.00, 3082157.43, 417842.57, 278147.82, 278147.82, 4),
-        _n("PLB", 2023, "plb", 278147.82, 4000000.00, -2000000.00, 2278147.82, 2245019.68, 33128.14, 449593.42,
-           449593.42, 4),
-        _n("PLB", 2024, "plb", 899186.84, 0, 0, 899186.84, 9548.67, 889638.17, 440350.02, 458836.82, 3),
-        _n("PLB", 2025, "plb2", 440350.02, 0, 0, 440350.02, 0, 440350.02, 0, 440350.02, 3),
-        _n("PLB", 2026, "plb2", 440350.02, 8678949.98, -8000000.00, 9420610.50, 730852.36, 8689758.14, 98468.29,
-           440350.02, 7),
-        _n("TANK", 2026, "tanks", 0, 8000000.00, 0, 8000000.00, 620420.82, 7379579.18, 2206272.00, 0, 76),
+        _n("PLB", 2022, "plb", 100, 900, 0, 1000, 600, 400, 150, 150, 4),
+        _n("PLB", 2023, "plb", 150, 400, -200, 350, 300, 50, 30, 30, 4),
+        _n("PLB", 2024, "plb", 60, 0, 0, 60, 10.5, 49.5, 9.5, 9.5, 3),
+        _n("PLB", 2025, "plb2", 40, 0, 0, 40, 0, 40, 0, 40, 3),
+        _n("PLB", 2026, "plb2", 40, 800, -700, 140, 90, 50, 19.75, 40, 7),
+        _n("TANK", 2026, "tanks", 0, 500, 0, 500, 125, 375, 300, 0, 76),
     ] + [_n("LIFT", y, "Not found", 0, 0, 0, 0, 0, 0, 0, 0, 0) for y in range(2022, 2027)]
     return spark.createDataFrame(rows, NODE)
 
@@ -76,12 +75,12 @@ def test_fund_node_golden(spark):
     got = {r.node_key: r for r in fn.node_budgets(nodes).collect()}
     plb, tank, lift = got["PLB"], got["TANK"], got["LIFT"]
     assert (float(plb.current_budget), float(plb.actuals), float(plb.budget_available), plb.project_count) == \
-        (16538295.18, 6067578.14, 10470717.04, 21)
+        (1590.0, 1000.5, 589.5, 21)
     assert (float(tank.current_budget), float(tank.actuals), float(tank.budget_available), tank.project_count) == \
-        (8000000.00, 620420.82, 7379579.18, 76)
+        (500.0, 125.0, 375.0, 76)
     assert float(lift.current_budget) == 0 and lift.project_count == 0
     t = fn.node_totals(fn.node_budgets(nodes)).collect()[0]
-    assert (t.total_budget, t.total_spent, t.total_available) == (24538295.18, 6687998.96, 17850296.22)
+    assert (t.total_budget, t.total_spent, t.total_available) == (2090.0, 1125.5, 964.5)
     # identity of every listed row
     bad = nodes.filter(F.col("budget_available") != F.col("current_budget") - F.col("actuals")
                        - F.col("open_commitments")).count()
