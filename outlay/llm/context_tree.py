@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -252,26 +253,26 @@ def score(docs: DataFrame) -> DataFrame:
                                     F.count(F.when(F.col("first") & (F.col("c") > 0), 1))).first()
     grams = blocks.filter("kind = 2").select("block", "key", "n")
     valued = grams.select("block", "key").join(_predictions(grams.select("key", "n")), "key")
-    null = lambda ty: F.lit(None).cast(ty)
-    gathered = (blocks.filter("kind = 0").select("block", "kind", "key", null("bigint").alias("c"),
-                                                 null("double").alias("log_p"), "docs", "words")
-                .unionByName(words.select("block", F.lit(1).alias("kind"), "key", "c", null("double").alias("log_p"),
-                                          null("binary").alias("docs"), null("binary").alias("words")))
-                .unionByName(valued.select("block", F.lit(2).alias("kind"), "key", null("bigint").alias("c"), "log_p",
-                                           null("binary").alias("docs"), null("binary").alias("words"))))
+    # one narrow row per word (key < 0) and gram (key >= 0), and the block's own two rows
+    row = lambda df, key, value, payload=F.lit(None).cast("binary"): df.select(
+        "block", key.alias("key"), value.cast("double").alias("value"), payload.alias("payload"))
+    null = F.lit(None).cast("bigint")
+    own = blocks.filter("kind = 0")
+    gathered = (row(own, null, F.lit(0), F.col("docs")).unionByName(row(own, null, F.lit(1), F.col("words")))
+                .unionByName(row(words, -1 - F.col("key"), F.col("c"))).unionByName(row(valued, F.col("key"), F.col("log_p"))))
     scale = np.log10(n_train + 0.1 * (vocabulary + 1))
 
     def finish(t: pa.Table) -> pa.Table:
-        kind = t.column("kind").to_numpy()
-        head = int(np.flatnonzero(kind == 0)[0])
-        docs_ = _from_bytes(t.column("docs")[head].as_py())
-        words_ = [w.encode() for w in _from_bytes(t.column("words")[head].as_py()).column("word").to_pylist()]
-        key, c = t.column("key").to_numpy(zero_copy_only=False), t.column("c").to_numpy(zero_copy_only=False)
+        whole = t.column("payload").is_valid().to_numpy()
+        value = t.column("value").to_numpy()
+        docs_, text = (_from_bytes(t.column("payload")[int(np.flatnonzero(whole & (value == k))[0])].as_py())
+                       for k in (0, 1))
+        words_ = [w.encode() for w in text.column("word").to_pylist()]
+        rest = t.filter(pa.compute.invert(t.column("payload").is_valid()))
+        key, value = rest.column("key").to_numpy(), rest.column("value").to_numpy()
         count = np.zeros(len(words_), np.int64)
-        mine = kind == 1
-        count[key[mine].astype(np.int64)] = c[mine].astype(np.int64)
-        mine = kind == 2
-        gram, log_p = key[mine].astype(np.int64).view(np.uint64), t.column("log_p").to_numpy(zero_copy_only=False)[mine]
+        count[-1 - key[key < 0]] = value[key < 0].astype(np.int64)
+        gram, log_p = key[key >= 0].view(np.uint64), value[key >= 0]
         order = np.argsort(gram)
         gram, log_p = gram[order], log_p[order]
         value = np.zeros(len(words_))
