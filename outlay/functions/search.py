@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = _UPPER.lower()
 
-# Project search fields in their fixed order; "po" is the PO/vendor
+# Fixed values (API keys and their order): project search fields; "po" is the PO/vendor
 # existence test (F4) and is resolved by the caller.
 PROJECT_SEARCH_FIELDS = {
     "project_id": "project_id",
@@ -31,7 +31,7 @@ PROJECT_SEARCH_FIELDS = {
     "po": None,
 }
 
-# PO search fields (F5) over the joined PO base.
+# Fixed values (API keys): PO search fields (F5) over the joined PO base.
 PO_SEARCH_FIELDS = {
     "po_number": "po_number",
     "vendor": "vendor",
@@ -48,7 +48,7 @@ PO_SEARCH_FIELDS = {
     "banner": "banner",
 }
 
-# Haystack fields of the static bundle (F11 projects, F12 POs).
+# Haystack fields of the static bundle (F11 projects, F12 POs).
 STATIC_PROJECT_HAYSTACK = ("store", "city", "state", "scope", "general_contractor", "project_id",
                            "store_sequence", "project_type")
 STATIC_PO_HAYSTACK = ("po_number", "vendor", "store", "project_status", "po_status", "scope",

@@ -40,14 +40,9 @@ def load_fund_nodes(raw_nodes: DataFrame, params: SourceParams) -> DataFrame:
         F.coalesce(F.col("project_count"), F.lit(0)).cast("int").alias("project_count"),
         stamp.alias("last_updated"),
     )
-    # J13 in the same pass, without a join. The stored rows are unique per
-    # (tracked node, year) (K4), so at most len(tracked_nodes) x years rows:
-    # one global aggregate holds them with the year and key sets, and a
-    # single explode emits the loaded rows plus the placeholders. The line
-    # rollup therefore runs once.
-    g = loaded.agg(F.collect_list(F.struct(*NODE_COLUMNS)).alias("rows"),
-                   F.collect_set("approval_year").alias("years"),
-                   F.collect_set("node_key").alias("found"))
+    # Placeholders come from two small sets, the years and the keys found;
+    # the stored rows stay rows. At most tracked nodes x years placeholders.
+    g = loaded.agg(F.collect_set("approval_year").alias("years"), F.collect_set("node_key").alias("found"))
     tracked = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("label")) for k, v in params.tracked_nodes])
     years = F.when(F.size("years") > 0, F.col("years")).otherwise(F.array(F.lit(0)))
     missing = F.filter(tracked, lambda t: ~F.array_contains(F.col("found"), t["k"]))
@@ -59,7 +54,7 @@ def load_fund_nodes(raw_nodes: DataFrame, params: SourceParams) -> DataFrame:
                         stamp.alias("last_updated"))
 
     extra = F.flatten(F.transform(missing, lambda t: F.transform(years, lambda y: placeholder(t, y))))
-    return g.select(F.explode(F.concat("rows", extra)).alias("r")).select("r.*")
+    return loaded.select(*NODE_COLUMNS).unionByName(g.select(F.explode(extra).alias("r")).select("r.*"))
 
 
 def node_budgets(nodes: DataFrame, year: int | None = None) -> DataFrame:

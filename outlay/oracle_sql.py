@@ -16,6 +16,23 @@ AS_OF = "2001-12-01 12:00:00"
 D = "DECIMAL(18,2)"
 
 
+# Fixed values, written apart from the Spark side: search keys and their columns.
+PO_FIELDS = {"po_number": "po_number", "vendor": "vendor", "store": "store", "store_sequence": "store_sequence",
+             "city": "city", "state": "state", "sap_def": "proj_def", "status": "project_status",
+             "project_id": "project_id", "project_type": "project_type", "scope": "scope",
+             "contractor": "general_contractor", "banner": "banner"}
+PROJECT_FIELDS = {"project_id": "project_id", "store": "store", "city": "city", "contractor": "general_contractor",
+                  "scope": "scope", "sap_def": "proj_def", "banner": "banner", "status": "project_status", "po": None}
+PROJECT_HAYSTACK = ("store", "city", "state", "scope", "general_contractor", "project_id", "store_sequence",
+                    "project_type")
+PO_HAYSTACK = ("po_number", "vendor", "store", "project_status", "po_status", "scope", "general_contractor",
+               "project_type")
+
+
+def terms(search: str | None) -> list[str]:
+    return [t.strip() for t in (search or "").split(";") if t.strip()]
+
+
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 

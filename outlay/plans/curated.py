@@ -157,7 +157,7 @@ def _input_signature(files: list[tuple[str, int, int]], sf_dir: str) -> str:
     return hashlib.sha1(repr((sf_dir, files)).encode()).hexdigest()[:12]
 
 
-def shared(spark: SparkSession, sf_dir: str, params: SourceParams | None = None) -> Curated:
+def shared(spark: SparkSession, sf_dir: str, params: SourceParams | None = None, anew: bool = False) -> Curated:
     """The curated tables for ``sf_dir``, derived once and then read back.
 
     The first call runs the refresh over the whole input tables and writes
@@ -165,7 +165,8 @@ def shared(spark: SparkSession, sf_dir: str, params: SourceParams | None = None)
     folder, then a pointer). Later calls in any session read the written
     tables, so every report starts from the curated layer with a short
     lineage. The key covers the input files (name, size, mtime), the package
-    code and the parameters, so a change to any of them derives anew.
+    code and the parameters, so a change to any of them derives anew, as
+    does ``anew``.
     """
     p = params or SourceParams()
     files = _inputs(spark, sf_dir)
@@ -173,15 +174,16 @@ def shared(spark: SparkSession, sf_dir: str, params: SourceParams | None = None)
                     hashlib.sha1(repr(p).encode()).hexdigest()[:8]])
     root = f"{checkpoint_dir(spark).rstrip('/')}/outlay-curated/{key}"
     memo = (spark.sparkContext.applicationId, root)
-    if memo in _PUBLISHED:
+    if memo in _PUBLISHED and not anew:
         return _PUBLISHED[memo]
-    done = sinks.current_version(spark, root)
+    done = None if anew else sinks.current_version(spark, root)
     if done is None:
         raw = fixtures.load_raw(spark, sf_dir, p)
         run_root = f"{root}/run-{uuid.uuid4().hex}"
         with sized_shuffle(spark, sum(size for _, size, _ in files)):
             cur = materialize(spark, build(raw, p), run_root, raw, p)
-        sinks.record_version(spark, root, 0, run_root)
+        last = sinks.current_version(spark, root)
+        sinks.record_version(spark, root, last[0] + 1 if last else 0, run_root)
     else:
         cur = read_tables(spark, done[1])
     _PUBLISHED[memo] = cur

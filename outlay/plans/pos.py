@@ -17,7 +17,7 @@ from ..functions.search import po_search
 from ..params import DEFAULT_AS_OF, UNKNOWN_VENDOR, PoFilter
 from .curated import Curated
 
-# Allow-listed sort keys (O2): amounts sort on the stored column.
+# Fixed values (API keys): allow-listed sort keys (O2); amounts sort on the stored column.
 PO_SORT = {
     "po_number": "po_number",
     "vendor": "vendor",

@@ -129,6 +129,7 @@ def po_totals_by_def(pos: DataFrame) -> DataFrame:
                                        F.sum("invoiced_to_date").alias("total_invoiced"))
 
 
+# Fixed values (API keys).
 PROJECT_SORT = {
     "project_id": "project_id",
     "project_type": "project_type",

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -22,16 +22,18 @@ from outlay.params import SourceParams  # noqa: E402
 from outlay.plans import curated as C  # noqa: E402
 from outlay.plans import pos as POS  # noqa: E402
 from outlay.plans import projects as PR  # noqa: E402
-from outlay.session import get_session  # noqa: E402
+from outlay.session import checkpoint_dir, get_session  # noqa: E402
 from outlay.sources import fixtures  # noqa: E402
 
 OPS = re.compile(r"^\((\d+)\) (.+?)\s*$")
 
 
 def condensed(df) -> tuple[list[str], list[str]]:
-    df.write.format("noop").mode("overwrite").save()
-    jvm = df.sparkSession.sparkContext._jvm
-    text = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    """Operators and scans of the plan that ran: the same execution is run and then explained."""
+    run = df._jdf.queryExecution()
+    run.executedPlan().execute().count()
+    text = df.sparkSession.sparkContext._jvm.PythonSQLUtils.explainString(run, "formatted")
+    text = text.split("== Initial Plan ==")[0]
     ops, scans = [], []
     for line in text.splitlines():
         m = OPS.match(line)
@@ -48,7 +50,7 @@ def main() -> None:
     p = SourceParams()
     raw = fixtures.load_raw(spark, sf, p)
     st = C.build_stages(raw, p)
-    cur = C.materialize(spark, C.build(raw, p), tempfile.mkdtemp(prefix="outlay-plans-"), raw, p)
+    cur = C.materialize(spark, C.build(raw, p), f"{checkpoint_dir(spark)}/plans-{uuid.uuid4().hex}", raw, p)
     docs = (fixtures.doc_old(spark, sf, p), fixtures.doc_incoming(spark, sf, p), fixtures.doc_attempted(spark, sf))
     plans = {
         "refresh: direct PO rollup (A8, J2)": st.direct,
