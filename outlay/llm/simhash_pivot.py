@@ -179,9 +179,9 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     """Rows of ``docs`` whose doc_id is the smallest of its component; of rows
     with that doc_id the one with the smallest text stays. Rows without doc_id stay."""
     found = near_duplicates(docs, shingle, max_bits).filter("doc_id <> component_id").select("doc_id").distinct()
-    whole = docs.select(F.col("doc_id").cast("bigint").alias("__id"), F.col("text").alias("__text"),
+    whole = docs.select(F.col("doc_id").cast("bigint").alias("__id"),
                         F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("__row"))
     left = whole.filter("__id IS NOT NULL").join(found, F.col("__id") == F.col("doc_id"), "left_anti")
-    nth = F.row_number().over(Window.partitionBy("__id").orderBy("__text"))
+    nth = F.row_number().over(Window.partitionBy("__id").orderBy("__row.text"))
     one = left.withColumn("__nth", nth).filter("__nth = 1").select("__row")
     return one.unionByName(whole.filter("__id IS NULL").select("__row")).select("__row.*")
