@@ -1,23 +1,21 @@
 """Operator 6, LM scoring by context-tree weighting.
 
-A token (word in lower case, then one end token per text) is a byte string
-closed by a space. A byte is predicted as eight binary decisions; each
-decision has a context tree over the ``DEPTH`` bytes before it inside the token
-(spaces before its start). Every node keeps its zero and one counts; a node's
-weighted probability is half its Krichevsky-Trofimov estimate and half the
-product of its children's, and a decision is predicted by the mixture over all
-depths with the posterior weights of the trained tree.
-
-As contexts end at a token's start, a token's code length depends on the token
-alone: the tree is trained on distinct tokens weighted by their training
-counts, and a text's score is a sum over its tokens.
+A text is the byte string of its tokens (words in lower case, then one end
+token), each closed by a space. A byte is predicted as eight binary decisions;
+each decision has a context tree over the ``DEPTH`` bytes before it, across
+tokens; before a text stands an end token, as if another text had just ended.
+Every node keeps its zero and one counts; a node's weighted probability is half
+its Krichevsky-Trofimov estimate and half the product of its children's, and a
+decision is predicted by the mixture over all depths with the posterior weights
+of the trained tree.
 
 Scale: documents are cut into blocks in place, by size; a block's distinct
 words and distinct grams (context and byte) are the only rows that meet
 others, so a hot word sends one row per block. The tree is built per context
 suffix of two bytes; what is above has at most 256 x 255 nodes, the proven
 bound of what goes through the driver and to every task. Values return to the
-block, which holds its documents as token lists.
+block, which holds its documents as token lists; bytes are made from these a
+slice at a time.
 
 Defined cases: a NULL or empty text is one end token; a NULL doc_id counts as
 held out; repeated rows are scored and counted one by one; if nothing is
@@ -42,6 +40,7 @@ from .common import stage, tasks_for, text_slices
 DEPTH = 5
 FOLDS, BLOCK_BYTES, SLICE_WORDS = 10, 24 << 20, 1 << 16
 END = "\n"
+START = (b" " * DEPTH + END.encode() + b" ")[-DEPTH:]
 _HALF = np.log(0.5)
 
 
@@ -65,19 +64,62 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - np.log(np.pi) - log_gamma(zeros + ones + 1)
 
 
-def grams_of(words: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (context bytes, then the byte) of all predicted bytes, and the word of each."""
-    if not words:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    pad = b" " * depth
-    raw = np.frombuffer(pad + (b" " + pad).join(words) + b" ", np.uint8).astype(np.uint64)
-    size = np.array([len(w) + 1 for w in words])
-    word = np.repeat(np.arange(len(words)), size)
-    at = np.arange(len(word)) + depth * (word + 1)
-    key = np.zeros(len(at), np.uint64)
-    for j in range(depth, -1, -1):
-        key = (key << np.uint64(8)) | raw[at - j]
-    return key, word
+def grams_of(words: list[bytes], tokens: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys (context bytes, then the byte) of all predicted bytes and the text of each, in slices.
+
+    ``tokens`` are indices into ``words``, text after text; ``sizes`` tokens per text.
+    """
+    flat = np.frombuffer(b"".join([*(w + b" " for w in words), START]), np.uint8)
+    size = np.array([len(w) + 1 for w in words] + [DEPTH])
+    at = np.cumsum(size) - size
+    stream = np.insert(tokens, np.cumsum(sizes) - sizes, len(words))  # START before each text
+    text = np.repeat(np.arange(len(sizes)), sizes + 1)
+    tail = np.zeros(DEPTH, np.uint8)
+    for i in range(0, len(stream), SLICE_WORDS):
+        part = stream[i:i + SLICE_WORDS]
+        n = size[part]
+        raw = np.concatenate([tail, flat[np.repeat(at[part] - np.cumsum(n) + n, n) + np.arange(n.sum())]])
+        tail = raw[-DEPTH:]
+        key = np.zeros(len(raw) - DEPTH, np.uint64)
+        for j in range(DEPTH + 1):
+            key = (key << np.uint64(8)) | raw[j:j + len(key)]
+        real = np.repeat(part < len(words), n)
+        yield key[real], np.repeat(text[i:i + SLICE_WORDS], n)[real]
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how often each occurs."""
+    keys = np.sort(keys)
+    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    return keys[new], np.diff(np.append(new, len(keys)))
+
+
+class Lookup:
+    """Positions in an array of distinct keys: a hash table at most a quarter full."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = (4 * len(keys)).bit_length()
+        self.keys, self.last, self.shift = keys, (1 << bits) - 1, np.uint64(64 - bits)
+        self.slots = np.full(1 << bits, -1, np.int32)
+        left, at = np.arange(len(keys)), self._home(keys)
+        while len(left):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = left[free]
+            out = self.slots[at] != left
+            left, at = left[out], (at[out] + 1) & self.last
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = self._home(keys)
+        found = self.slots[at]
+        while len(off := np.flatnonzero(self.keys[found] != keys)):
+            if (found[off] < 0).any():
+                raise KeyError("gram without a value")
+            at[off] = (at[off] + 1) & self.last
+            found[off] = self.slots[at[off]]
+        return found
 
 
 def _sum_by(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -137,13 +179,13 @@ def _blocks(docs: DataFrame) -> DataFrame:
     def close(block: int, ids: dict[bytes, int], docs: list) -> Iterator[pa.RecordBatch]:
         words = list(ids)
         trained = np.zeros(len(words), np.int64)
-        for doc_id, _, tokens, times in docs:
-            if not held_out(doc_id):
-                trained[tokens] += times  # tokens of a document are distinct
+        learns = np.array([not held_out(doc_id) for doc_id, _ in docs])
+        sizes = np.array([len(found) for _, found in docs])
+        tokens = np.concatenate([found for _, found in docs])
+        np.add.at(trained, tokens[np.repeat(learns, sizes)], 1)
         packed = pa.RecordBatch.from_arrays([
-            pa.array([d[0] for d in docs], pa.int64()), pa.array([d[1] for d in docs], pa.int64()),
-            pa.array([d[2] for d in docs], pa.list_(pa.int32())),
-            pa.array([d[3] for d in docs], pa.list_(pa.int32()))], ["doc_id", "n_tokens", "tokens", "times"])
+            pa.array([doc_id for doc_id, _ in docs], pa.int64()),
+            pa.array([found for _, found in docs], pa.list_(pa.int32()))], ["doc_id", "tokens"])
         text = pa.array(words, pa.binary()).cast(pa.string())
         yield rows(0, block, 1, docs=pa.array([_to_bytes(packed)], pa.binary()),
                    words=pa.array([_to_bytes(pa.RecordBatch.from_arrays([text], ["word"]))], pa.binary()))
@@ -152,11 +194,10 @@ def _blocks(docs: DataFrame) -> DataFrame:
             yield rows(1, block, len(some), key=pa.array(np.arange(i, i + len(some))), word=some,
                        n=pa.array(trained[i:i + len(some)]))
         keys, counts = [], []
-        for i in range(0, len(words), SLICE_WORDS):
-            key, word = grams_of(words[i:i + SLICE_WORDS])
-            u, _, (n,) = _sum_by(key, trained[i:i + SLICE_WORDS][word].astype(np.float64))
-            keys.append(u)
-            counts.append(n)
+        for key, text in grams_of(words, tokens, sizes):
+            for u, n in (_distinct(key[learns[text]]), _distinct(key[~learns[text]])):
+                counts.append(n if len(counts) % 2 == 0 else np.zeros(len(u)))
+                keys.append(u)
         u, _, (n,) = _sum_by(np.concatenate(keys), np.concatenate(counts))
         yield rows(2, block, len(u), key=pa.array(u.view(np.int64)), n=pa.array(n.astype(np.int64)))
 
@@ -165,9 +206,8 @@ def _blocks(docs: DataFrame) -> DataFrame:
         for part in text_slices(batches, "text", BLOCK_BYTES // 8):
             for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
                 raw = (text or "").encode().lower()
-                found = [ids.setdefault(w, len(ids)) for w in [*raw.split(), END.encode()]]
-                tokens, times = np.unique(np.array(found, np.int32), return_counts=True)
-                docs.append((doc_id, len(found), tokens, times.astype(np.int32)))
+                docs.append((doc_id, np.array([ids.setdefault(w, len(ids)) for w in [*raw.split(), END.encode()]],
+                                              np.int32)))
                 size += len(raw) + 1
                 if size >= BLOCK_BYTES:
                     yield from close(block, ids, docs)
@@ -273,26 +313,21 @@ def score(docs: DataFrame) -> DataFrame:
         count = np.zeros(len(words_), np.int64)
         count[-1 - key[key < 0]] = value[key < 0].astype(np.int64)
         gram, log_p = key[key >= 0].view(np.uint64), value[key >= 0]
-        order = np.argsort(gram)
-        gram, log_p = gram[order], log_p[order]
-        value = np.zeros(len(words_))
-        for i in range(0, len(words_), SLICE_WORDS):
-            k, word = grams_of(words_[i:i + SLICE_WORDS])
-            size = min(SLICE_WORDS, len(words_) - i)
-            value[i:i + size] = np.bincount(word, log_p[np.searchsorted(gram, k)], size)
-        base = np.log10(count + 0.1) - scale
-        sizes = np.array([len(w) + 1 for w in words_])
         tokens = docs_.column("tokens").combine_chunks()
-        times = docs_.column("times").combine_chunks().flatten().to_numpy()
-        doc = np.repeat(np.arange(len(docs_)), np.diff(tokens.offsets.to_numpy()))
-        token = tokens.flatten().to_numpy()
-        total = lambda v: np.bincount(doc, v[token] * times, len(docs_))
-        ids, scores = docs_.column("doc_id").to_pylist(), total(value)
+        sizes, token = np.diff(tokens.offsets.to_numpy()), tokens.flatten().to_numpy()
+        scores, find = np.zeros(len(docs_)), Lookup(gram)
+        for k, doc in grams_of(words_, token, sizes):
+            scores += np.bincount(doc, log_p[find(k)], len(docs_))
+        base = np.log10(count + 0.1) - scale
+        length = np.array([len(w) + 1 for w in words_])
+        of = np.repeat(np.arange(len(docs_)), sizes)
+        total = lambda v: np.bincount(of, v[token], len(docs_))
+        ids = docs_.column("doc_id").to_pylist()
         return pa.table({
             "doc_id": docs_.column("doc_id"), "held_out": pa.array([held_out(i) for i in ids], pa.bool_()),
-            "n_tokens": docs_.column("n_tokens"), "n_known": total(count > 0).astype(np.int64),
+            "n_tokens": sizes.astype(np.int64), "n_known": total(count > 0).astype(np.int64),
             "train_tokens": np.full(len(ids), n_train, np.int64), "base_score": total(base), "score": scores,
-            "bits_per_byte": -scores * np.log2(10) / total(sizes)})
+            "bits_per_byte": -scores * np.log2(10) / total(length)})
 
     return gathered.groupBy("block").applyInArrow(finish, (
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "

@@ -149,17 +149,18 @@ def brute_tree_score(docs, depth=context_tree.DEPTH):
             counts.update([*(t or "").encode().lower().split(), b"\n"])
     trees = defaultdict(lambda: [0, 0])
 
-    def events(word):
-        line = b" " * depth + word + b" "
-        for p in range(depth, len(line)):
+    def events(text):
+        line = b" " * depth + b"\n " + b"".join(w + b" " for w in [*(text or "").encode().lower().split(), b"\n"])
+        for p in range(depth + 2, len(line)):
             for k in range(8):
                 q, bit = (1 << k) | line[p] >> (8 - k), line[p] >> (7 - k) & 1
                 yield line[p - depth:p], q, bit
 
-    for w, n in counts.items():
-        for ctx, q, bit in events(w):
-            for d in range(depth + 1):
-                trees[ctx[depth - d:], q][bit] += n
+    for i, t in docs:
+        if not context_tree.held_out(i):
+            for ctx, q, bit in events(t):
+                for d in range(depth + 1):
+                    trees[ctx[depth - d:], q][bit] += 1
     below = defaultdict(set)
     for ctx, q in trees:
         if ctx:
@@ -183,13 +184,13 @@ def brute_tree_score(docs, depth=context_tree.DEPTH):
         stop = 0.5 if (here, q) not in trees else math.exp(math.log(0.5) + kt(n) - weighted(here, q))
         return stop * p + (1 - stop) * one(ctx, q, d + 1)
 
-    value = lambda w: sum(math.log10(one(c, q) if b else 1 - one(c, q)) for c, q, b in events(w))
+    value = lambda t: sum(math.log10(one(c, q) if b else 1 - one(c, q)) for c, q, b in events(t))
     total, kinds = sum(counts.values()), len(counts)
     for i, t in docs:
         tokens = [*(t or "").encode().lower().split(), b"\n"]
         yield (i, context_tree.held_out(i), len(tokens), sum(counts[w] > 0 for w in tokens), total,
                sum(math.log10((counts[w] + 0.1) / (total + 0.1 * (kinds + 1))) for w in tokens),
-               sum(map(value, tokens)))
+               value(t))
 
 
 def test_context_tree_matches_brute_force(spark):
@@ -216,6 +217,12 @@ def test_context_tree_learns(spark):
     assert max(known) < 1 < 4 < min(strange)
 
 
+def test_context_tree_beats_unigrams_on_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = context_tree.score(docs).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert held[0] > held[1]
+
+
 def test_log_gamma():
     x = np.array([0.5, 1, 1.5, 2, 10, 1e3, 1e5, 2e6, 1e9])
     assert context_tree.log_gamma(x) == pytest.approx([math.lgamma(v) for v in x], rel=1e-12, abs=2e-11)
