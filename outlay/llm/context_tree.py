@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import stage, tasks_for, text_slices
 
 DEPTH = 5
-FOLDS, BLOCK_BYTES, SLICE_WORDS = 10, 24 << 20, 1 << 16
+FOLDS, BLOCK_BYTES, SLICE_WORDS, MERGE_GRAMS = 10, 24 << 20, 1 << 17, 1 << 20
 END = "\n"
 START = (b" " * DEPTH + END.encode() + b" ")[-DEPTH:]
 _HALF = np.log(0.5)
@@ -73,7 +73,7 @@ def grams_of(words: list[bytes], tokens: np.ndarray, sizes: np.ndarray) -> Itera
     size = np.array([len(w) + 1 for w in words] + [DEPTH])
     at = np.cumsum(size) - size
     stream = np.insert(tokens, np.cumsum(sizes) - sizes, len(words))  # START before each text
-    text = np.repeat(np.arange(len(sizes)), sizes + 1)
+    text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
     tail = np.zeros(DEPTH, np.uint8)
     for i in range(0, len(stream), SLICE_WORDS):
         part = stream[i:i + SLICE_WORDS]
@@ -87,11 +87,17 @@ def grams_of(words: list[bytes], tokens: np.ndarray, sizes: np.ndarray) -> Itera
         yield key[real], np.repeat(text[i:i + SLICE_WORDS], n)[real]
 
 
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and how often each occurs."""
-    keys = np.sort(keys)
+def _distinct(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sum of their counts (1 each if not given)."""
+    if counts is None:
+        keys = np.sort(keys)
+    else:
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
     new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
-    return keys[new], np.diff(np.append(new, len(keys)))
+    if counts is None or not len(keys):
+        return keys[new], np.diff(np.append(new, len(keys)))
+    return keys[new], np.add.reduceat(counts, new)
 
 
 class Lookup:
@@ -193,13 +199,18 @@ def _blocks(docs: DataFrame) -> DataFrame:
             some = text.slice(i, SLICE_WORDS)
             yield rows(1, block, len(some), key=pa.array(np.arange(i, i + len(some))), word=some,
                        n=pa.array(trained[i:i + len(some)]))
-        keys, counts = [], []
+        keys, counts, held = [], [], 0
         for key, text in grams_of(words, tokens, sizes):
-            for u, n in (_distinct(key[learns[text]]), _distinct(key[~learns[text]])):
-                counts.append(n if len(counts) % 2 == 0 else np.zeros(len(u)))
+            learnt = learns[text]
+            for u, n in (_distinct(key[learnt]), _distinct(key[~learnt])):
+                counts.append(n if len(counts) % 2 == 0 else np.zeros_like(n))
                 keys.append(u)
-        u, _, (n,) = _sum_by(np.concatenate(keys), np.concatenate(counts))
-        yield rows(2, block, len(u), key=pa.array(u.view(np.int64)), n=pa.array(n.astype(np.int64)))
+                held += len(u)
+            if held > MERGE_GRAMS:
+                u, n = _distinct(np.concatenate(keys), np.concatenate(counts))
+                keys, counts, held = [u, u[:0]], [n, n[:0]], 0
+        u, n = _distinct(np.concatenate(keys), np.concatenate(counts))
+        yield rows(2, block, len(u), key=pa.array(u.view(np.int64)), n=pa.array(n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, size, ids, docs = TaskContext.get().partitionId() << 32, 0, {}, []
