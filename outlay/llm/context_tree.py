@@ -14,8 +14,8 @@ words and distinct grams (context and byte) are the only rows that meet
 others, so a hot word sends one row per block. The tree is built per context
 suffix of two bytes; what is above has at most 256 x 255 nodes, the proven
 bound of what goes through the driver and to every task. Values return to the
-block, which holds its documents as token lists; bytes are made from these a
-slice at a time.
+block, which holds its texts compressed; of the word counts only those that
+other blocks add to return. Keys are made a slice at a time.
 
 Defined cases: a NULL or empty text is one end token; a NULL doc_id counts as
 held out; repeated rows are scored and counted one by one; if nothing is
@@ -26,7 +26,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import stage, tasks_for, text_slices
 
 DEPTH = 5
-FOLDS, BLOCK_BYTES, SLICE_WORDS, MERGE_GRAMS = 10, 24 << 20, 1 << 17, 1 << 20
+FOLDS, BLOCK_BYTES, SLICE_WORDS, MERGE_GRAMS = 10, 24 << 20, 1 << 17, 1 << 19
 END = "\n"
 START = (b" " * DEPTH + END.encode() + b" ")[-DEPTH:]
 _HALF = np.log(0.5)
@@ -100,6 +100,13 @@ def _distinct(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nd
     return keys[new], np.add.reduceat(counts, new)
 
 
+def tokenize(texts: Iterable[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words in order of first use, the tokens of all texts as indices into them, and tokens per text."""
+    ids: dict[bytes, int] = {}
+    found = [np.array([ids.setdefault(w, len(ids)) for w in [*t.split(), END.encode()]], np.int32) for t in texts]
+    return list(ids), np.concatenate(found), np.array([len(f) for f in found])
+
+
 class Lookup:
     """Positions in an array of distinct keys: a hash table at most a quarter full."""
 
@@ -174,27 +181,23 @@ class Tree:
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """Rows of three kinds: 0 the block (documents, words), 1 a word, 2 a gram."""
+    """Rows of three kinds: 0 the block's documents, 1 a word, 2 a gram."""
     schema = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("key", pa.int64()), ("word", pa.string()),
-                        ("n", pa.int64()), ("docs", pa.binary()), ("words", pa.binary())])
+                        ("n", pa.int64()), ("docs", pa.binary())])
 
     def rows(kind: int, block: int, size: int, **cols) -> pa.RecordBatch:
         cols |= {"kind": pa.array(np.full(size, kind, np.int32)), "block": pa.array(np.full(size, block, np.int64))}
         return pa.RecordBatch.from_arrays([cols.get(f.name, pa.nulls(size, f.type)) for f in schema], schema=schema)
 
-    def close(block: int, ids: dict[bytes, int], docs: list) -> Iterator[pa.RecordBatch]:
-        words = list(ids)
-        trained = np.zeros(len(words), np.int64)
+    def close(block: int, docs: list[tuple[int | None, bytes]]) -> Iterator[pa.RecordBatch]:
+        words, tokens, sizes = tokenize(t for _, t in docs)
         learns = np.array([not held_out(doc_id) for doc_id, _ in docs])
-        sizes = np.array([len(found) for _, found in docs])
-        tokens = np.concatenate([found for _, found in docs])
-        np.add.at(trained, tokens[np.repeat(learns, sizes)], 1)
-        packed = pa.RecordBatch.from_arrays([
-            pa.array([doc_id for doc_id, _ in docs], pa.int64()),
-            pa.array([found for _, found in docs], pa.list_(pa.int32()))], ["doc_id", "tokens"])
+        trained = np.bincount(tokens[np.repeat(learns, sizes)], minlength=len(words))
+        packed = pa.RecordBatch.from_arrays([pa.array([d[0] for d in docs], pa.int64()),
+                                             pa.array([d[1] for d in docs], pa.binary())], ["doc_id", "text"])
+        yield rows(0, block, 1, docs=pa.array([_to_bytes(packed)], pa.binary()))
+        docs.clear()
         text = pa.array(words, pa.binary()).cast(pa.string())
-        yield rows(0, block, 1, docs=pa.array([_to_bytes(packed)], pa.binary()),
-                   words=pa.array([_to_bytes(pa.RecordBatch.from_arrays([text], ["word"]))], pa.binary()))
         for i in range(0, len(words), SLICE_WORDS):
             some = text.slice(i, SLICE_WORDS)
             yield rows(1, block, len(some), key=pa.array(np.arange(i, i + len(some))), word=some,
@@ -213,26 +216,24 @@ def _blocks(docs: DataFrame) -> DataFrame:
         yield rows(2, block, len(u), key=pa.array(u.view(np.int64)), n=pa.array(n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, size, ids, docs = TaskContext.get().partitionId() << 32, 0, {}, []
+        block, size, docs = TaskContext.get().partitionId() << 32, 0, []
         for part in text_slices(batches, "text", BLOCK_BYTES // 8):
             for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                raw = (text or "").encode().lower()
-                docs.append((doc_id, np.array([ids.setdefault(w, len(ids)) for w in [*raw.split(), END.encode()]],
-                                              np.int32)))
-                size += len(raw) + 1
+                docs.append((doc_id, b" ".join((text or "").encode().lower().split())))
+                size += len(docs[-1][1]) + 1
                 if size >= BLOCK_BYTES:
-                    yield from close(block, ids, docs)
-                    block, size, ids, docs = block + 1, 0, {}, []
+                    yield from close(block, docs)
+                    block, size = block + 1, 0
         if docs:
-            yield from close(block, ids, docs)
+            yield from close(block, docs)
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "kind int, block bigint, key bigint, word string, n bigint, docs binary, words binary")
+        run, "kind int, block bigint, key bigint, word string, n bigint, docs binary")
 
 
 def _to_bytes(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
         w.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -297,35 +298,37 @@ def score(docs: DataFrame) -> DataFrame:
     blocks = stage(_blocks(docs), "blocks")
     # a word has one row per block, so no key is hot
     by_word = Window.partitionBy("word")
-    words = stage(blocks.filter("kind = 1").select(
-        "block", "key", F.sum("n").over(by_word).alias("c"), "n",
-        (F.col("block") == F.min("block").over(by_word)).alias("first")), "words")
-    n_train, vocabulary = words.agg(F.coalesce(F.sum("n"), F.lit(0)),
-                                    F.count(F.when(F.col("first") & (F.col("c") > 0), 1))).first()
+    words = blocks.filter("kind = 1").select("block", "key", "n", F.sum("n").over(by_word).alias("c"),
+                                             (F.col("block") == F.min("block").over(by_word)).alias("first"))
+    # a block knows its own counts: the rows of words that no other block trains are empty but for ``known``
+    other = lambda c: F.when(F.col("c") != F.col("n"), F.col(c)).alias(c)
+    words = stage(words.select(other("block"), other("key"), other("c"),
+                               (F.col("first") & (F.col("c") > 0)).alias("known")), "words")
+    n_train = blocks.filter("kind = 1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    vocabulary = words.filter("known").count()
+    words = words.filter("block IS NOT NULL")
     grams = blocks.filter("kind = 2").select("block", "key", "n")
     valued = grams.select("block", "key").join(_predictions(grams.select("key", "n")), "key")
-    # one narrow row per word (key < 0) and gram (key >= 0), and the block's own two rows
+    # one narrow row per word (key < 0) and gram (key >= 0), and the block's own row
     row = lambda df, key, value, payload=F.lit(None).cast("binary"): df.select(
         "block", key.alias("key"), value.cast("double").alias("value"), payload.alias("payload"))
     null = F.lit(None).cast("bigint")
     own = blocks.filter("kind = 0")
-    gathered = (row(own, null, F.lit(0), F.col("docs")).unionByName(row(own, null, F.lit(1), F.col("words")))
-                .unionByName(row(words, -1 - F.col("key"), F.col("c"))).unionByName(row(valued, F.col("key"), F.col("log_p"))))
+    gathered = (row(own, null, F.lit(0), F.col("docs")).unionByName(row(words, -1 - F.col("key"), F.col("c")))
+                .unionByName(row(valued, F.col("key"), F.col("log_p"))))
     scale = np.log10(n_train + 0.1 * (vocabulary + 1))
 
     def finish(t: pa.Table) -> pa.Table:
-        whole = t.column("payload").is_valid().to_numpy()
-        value = t.column("value").to_numpy()
-        docs_, text = (_from_bytes(t.column("payload")[int(np.flatnonzero(whole & (value == k))[0])].as_py())
-                       for k in (0, 1))
-        words_ = [w.encode() for w in text.column("word").to_pylist()]
-        rest = t.filter(pa.compute.invert(t.column("payload").is_valid()))
+        whole = t.column("payload").is_valid()
+        docs_ = _from_bytes(t.filter(whole).column("payload")[0].as_py())
+        rest = t.filter(pa.compute.invert(whole))
         key, value = rest.column("key").to_numpy(), rest.column("value").to_numpy()
-        count = np.zeros(len(words_), np.int64)
+        words_, token, sizes = tokenize(docs_.column("text").to_pylist())
+        ids = docs_.column("doc_id").to_pylist()
+        held = np.array([held_out(i) for i in ids])
+        count = np.bincount(token[np.repeat(~held, sizes)], minlength=len(words_))
         count[-1 - key[key < 0]] = value[key < 0].astype(np.int64)
         gram, log_p = key[key >= 0].view(np.uint64), value[key >= 0]
-        tokens = docs_.column("tokens").combine_chunks()
-        sizes, token = np.diff(tokens.offsets.to_numpy()), tokens.flatten().to_numpy()
         scores, find = np.zeros(len(docs_)), Lookup(gram)
         for k, doc in grams_of(words_, token, sizes):
             scores += np.bincount(doc, log_p[find(k)], len(docs_))
@@ -333,9 +336,8 @@ def score(docs: DataFrame) -> DataFrame:
         length = np.array([len(w) + 1 for w in words_])
         of = np.repeat(np.arange(len(docs_)), sizes)
         total = lambda v: np.bincount(of, v[token], len(docs_))
-        ids = docs_.column("doc_id").to_pylist()
         return pa.table({
-            "doc_id": docs_.column("doc_id"), "held_out": pa.array([held_out(i) for i in ids], pa.bool_()),
+            "doc_id": docs_.column("doc_id"), "held_out": held,
             "n_tokens": sizes.astype(np.int64), "n_known": total(count > 0).astype(np.int64),
             "train_tokens": np.full(len(ids), n_train, np.int64), "base_score": total(base), "score": scores,
             "bits_per_byte": -scores * np.log2(10) / total(length)})
