@@ -44,11 +44,11 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/outlay-llm/{uuid.uuid4().hex}-{label}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage,
-    so a lost executor costs a re-read and not the steps before."""
+    so a lost executor costs a re-read and not the steps before. ``options`` are the writer's."""
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

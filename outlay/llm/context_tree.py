@@ -38,8 +38,9 @@ from pyspark.sql import functions as F
 from .common import stage, tasks_for, text_slices
 
 DEPTH = 5
-FOLDS, BLOCK_BYTES, SLICE_WORDS, MERGE_GRAMS = 10, 24 << 20, 1 << 17, 1 << 19
+FOLDS, BLOCK_BYTES, SLICE_WORDS, MERGE_GRAMS = 10, 16 << 20, 1 << 17, 1 << 19
 END = "\n"
+FIXED = 1 << 30  # log10 values travel as multiples of 1 / FIXED: half the bytes of a double
 START = (b" " * DEPTH + END.encode() + b" ")[-DEPTH:]
 _HALF = np.log(0.5)
 
@@ -295,15 +296,15 @@ def upper_levels(node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: n
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte per row of ``docs``."""
-    blocks = stage(_blocks(docs), "blocks")
+    blocks = stage(_blocks(docs), "blocks", compression="zstd")
     # a word has one row per block, so no key is hot
     by_word = Window.partitionBy("word")
     words = blocks.filter("kind = 1").select("block", "key", "n", F.sum("n").over(by_word).alias("c"),
                                              (F.col("block") == F.min("block").over(by_word)).alias("first"))
     # a block knows its own counts: the rows of words that no other block trains are empty but for ``known``
     other = lambda c: F.when(F.col("c") != F.col("n"), F.col(c)).alias(c)
-    words = stage(words.select(other("block"), other("key"), other("c"),
-                               (F.col("first") & (F.col("c") > 0)).alias("known")), "words")
+    words = stage(words.select(other("block"), other("key").cast("int").alias("key"), other("c"),
+                               (F.col("first") & (F.col("c") > 0)).alias("known")), "words", compression="zstd")
     n_train = blocks.filter("kind = 1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     vocabulary = words.filter("known").count()
     words = words.filter("block IS NOT NULL")
@@ -311,30 +312,30 @@ def score(docs: DataFrame) -> DataFrame:
     valued = grams.select("block", "key").join(_predictions(grams.select("key", "n")), "key")
     # one narrow row per word (key < 0) and gram (key >= 0), and the block's own row
     row = lambda df, key, value, payload=F.lit(None).cast("binary"): df.select(
-        "block", key.alias("key"), value.cast("double").alias("value"), payload.alias("payload"))
+        "block", key.cast("bigint").alias("key"), value.cast("bigint").alias("value"), payload.alias("payload"))
     null = F.lit(None).cast("bigint")
     own = blocks.filter("kind = 0")
     gathered = (row(own, null, F.lit(0), F.col("docs")).unionByName(row(words, -1 - F.col("key"), F.col("c")))
-                .unionByName(row(valued, F.col("key"), F.col("log_p"))))
+                .unionByName(row(valued, F.col("key"), F.round(F.col("log_p") * FIXED))))
     scale = np.log10(n_train + 0.1 * (vocabulary + 1))
 
     def finish(t: pa.Table) -> pa.Table:
         whole = t.column("payload").is_valid()
         docs_ = _from_bytes(t.filter(whole).column("payload")[0].as_py())
-        rest = t.filter(pa.compute.invert(whole))
+        rest = t.select(["key", "value"]).filter(pa.compute.invert(whole))
         key, value = rest.column("key").to_numpy(), rest.column("value").to_numpy()
         words_, token, sizes = tokenize(docs_.column("text").to_pylist())
         ids = docs_.column("doc_id").to_pylist()
         held = np.array([held_out(i) for i in ids])
         count = np.bincount(token[np.repeat(~held, sizes)], minlength=len(words_))
-        count[-1 - key[key < 0]] = value[key < 0].astype(np.int64)
-        gram, log_p = key[key >= 0].view(np.uint64), value[key >= 0]
+        count[-1 - key[key < 0]] = value[key < 0]
+        gram, log_p = key[key >= 0].view(np.uint64), value[key >= 0] / FIXED
         scores, find = np.zeros(len(docs_)), Lookup(gram)
         for k, doc in grams_of(words_, token, sizes):
             scores += np.bincount(doc, log_p[find(k)], len(docs_))
         base = np.log10(count + 0.1) - scale
         length = np.array([len(w) + 1 for w in words_])
-        of = np.repeat(np.arange(len(docs_)), sizes)
+        of = np.repeat(np.arange(len(docs_), dtype=np.int32), sizes)
         total = lambda v: np.bincount(of, v[token], len(docs_))
         return pa.table({
             "doc_id": docs_.column("doc_id"), "held_out": held,
