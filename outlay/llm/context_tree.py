@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import stage, tasks_for, text_slices
 
 DEPTH = 5
-FOLDS, BLOCK_BYTES, SLICE_WORDS, MERGE_GRAMS = 10, 16 << 20, 1 << 17, 1 << 19
+FOLDS, BLOCK_BYTES, SLICE_WORDS, MERGE_GRAMS = 10, 16 << 20, 1 << 15, 1 << 18
 END = "\n"
 FIXED = 1 << 30  # log10 values travel as multiples of 1 / FIXED: half the bytes of a double
 START = (b" " * DEPTH + END.encode() + b" ")[-DEPTH:]
@@ -196,8 +196,11 @@ def _blocks(docs: DataFrame) -> DataFrame:
         trained = np.bincount(tokens[np.repeat(learns, sizes)], minlength=len(words))
         packed = pa.RecordBatch.from_arrays([pa.array([d[0] for d in docs], pa.int64()),
                                              pa.array([d[1] for d in docs], pa.binary())], ["doc_id", "text"])
-        yield rows(0, block, 1, docs=pa.array([_to_bytes(packed)], pa.binary()))
         docs.clear()
+        own = rows(0, block, 1, docs=pa.array([_to_bytes(packed)], pa.binary()))
+        del packed
+        yield own
+        del own
         text = pa.array(words, pa.binary()).cast(pa.string())
         for i in range(0, len(words), SLICE_WORDS):
             some = text.slice(i, SLICE_WORDS)
