@@ -16,6 +16,7 @@ from ..functions.expressions import MONEY, out_money, ts_text, zero_money
 from ..functions.search import like_contains, parse_project_fields, project_search, split_terms
 from ..operators.fund_nodes import node_years
 from ..operators.load import PROJECT_COLUMNS
+from ..operators.places import with_places
 from ..params import TOP_K, ProjectFilter
 from .curated import Curated
 
@@ -180,10 +181,19 @@ def project_list(cur: Curated, f: ProjectFilter | None = None) -> DataFrame:
     The sort is the report's edge; ties fall back to project_id.
     """
     f = f or ProjectFilter()
-    rows = project_rows(cur, f)
+    return present_projects(project_rows(cur, f).orderBy(*list_order(f)))
+
+
+def list_order(f: ProjectFilter) -> list[Column]:
+    """O1 with its project_id tie-break."""
     key = F.col(PROJECT_SORT.get(f.sort or "", "project_id"))
-    main = key.desc() if f.order == "desc" else key.asc()
-    return present_projects(rows.orderBy(main, F.asc("project_id")))
+    return [key.desc() if f.order == "desc" else key.asc(), F.asc("project_id")]
+
+
+def project_places(cur: Curated, f: ProjectFilter) -> DataFrame:
+    """O1: the place of every project of the list."""
+    narrow = dict.fromkeys(("project_id", PROJECT_SORT.get(f.sort or "", "project_id")))
+    return with_places(project_rows(cur, f).select(*narrow), list_order(f)).select("project_id", "position")
 
 
 def project_detail_rows(cur: Curated, project_id: str) -> DataFrame:
