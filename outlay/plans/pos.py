@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import aging_days, default_label, out_money, safe_pct, ts_text, zero_money
 from ..functions.search import po_search
+from ..operators.places import with_places
 from ..params import DEFAULT_AS_OF, UNKNOWN_VENDOR, PoFilter
 from .curated import Curated
 
@@ -134,6 +135,28 @@ def po_page(cur: Curated, f: PoFilter, as_of: str = DEFAULT_AS_OF) -> DataFrame:
     return present(rows.offset((page - 1) * f.page_size).limit(f.page_size))
 
 
+def po_places(cur: Curated, order: str = "asc", as_of: str = DEFAULT_AS_OF) -> DataFrame:
+    """O2: the place of every row under every sort key, from one read of the base.
+
+    A key's values stand in the column of their kind and the other columns are
+    NULL, so one range-partitioned sort holds the lists of all keys.
+    """
+    base = po_base(cur, as_of)
+    kinds = {"string": "text", "timestamp": "time"}
+
+    def entry(sort: str, column: str) -> Column:
+        kind = kinds.get(dict(base.dtypes)[column], "number")
+        values = {k: F.col(column) if k == kind else F.lit(None) for k in ("text", "time", "number")}
+        return F.struct(F.lit(sort).alias("sort"), *[values[k].cast(t).alias(k) for k, t in (
+            ("text", "string"), ("time", "timestamp"), ("number", "decimal(38,2)"))])
+
+    rows = base.select("po_number", "project_id", F.explode(F.array(*[entry(s, c) for s, c in PO_SORT.items()]))
+                       .alias("x")).select("x.*", "po_number", "project_id")
+    keys = [F.col(c).desc() if order == "desc" else F.col(c).asc() for c in ("text", "time", "number")]
+    placed = with_places(rows, [*keys, F.col("po_number").asc(), F.col("project_id").asc()], ("sort",))
+    return placed.select("sort", "po_number", "project_id", "position")
+
+
 def _after(keys: list[tuple[Column, bool, object]]) -> Column:
     """Rows behind a cursor: lexicographic, NULL first ascending and last descending."""
     c, desc, value = keys[0]
