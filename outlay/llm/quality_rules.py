@@ -8,10 +8,11 @@ most 2^rules rows whatever the corpus holds.
 
 Defined cases: a NULL or empty text has no words, all measurements are 0 and
 ``few_words`` fails; NULL ids are kept as they are; repeated rows are judged
-one by one; an empty table gives an empty ledger. Input columns other than the
-id and the text are not read, so clashing names do no harm. A text is one
-row's work: arrays of its words, one 64-bit hash per 5-word window, one sort
-only if a window repeats.
+one by one; an empty table gives an empty ledger. Repeated lines weigh by the
+words in them, so a short line at head and foot does not reject a long text.
+Input columns other than the id and the text are not read, so clashing names
+do no harm. A text is one row's work: arrays of its words, one 64-bit hash per
+5-word window, one sort only if a window repeats.
 """
 
 from __future__ import annotations
@@ -39,12 +40,16 @@ RULES = (
     Rule(0, "few_words", "n_words < 10"),
     Rule(1, "repeated_windows", "100 * n_repeat_words > 20 * n_words"),
     Rule(2, "symbols", "10 * n_symbols > 3 * n_words"),
-    Rule(3, "repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    Rule(3, "repeated_lines", "10 * n_dup_words > 3 * n_words"),
     Rule(4, "shouting", "5 * n_upper > 2 * word_chars"),
     Rule(5, "word_length", "word_chars > 20 * n_words OR word_chars < 2 * n_words"),
 )
 
 
+#: ``repeated_lines`` by the number of lines, as the SQL of op1_quality_rules has it.
+LINE_RULES = tuple(Rule(3, r.name, "10 * n_dup_lines > 3 * n_lines") if r.bit == 3 else r for r in RULES)
+
+
 @dataclass(frozen=True)
 class Policy:
     version: int
@@ -90,14 +95,17 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     n_words = F.size("__w")
     repeats = let(_windows(F.col("__w")), lambda h: F.when(
         F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("bigint")).otherwise(_covered(h)))
+    n_dup_lines = F.size("__l") - F.size(F.array_distinct("__l"))
     out = {
         "n_words": n_words,
         "word_chars": F.length(F.array_join("__w", "")),
         "n_symbols": F.regexp_count("__t", F.lit(r"[#*$%&|<>]")),
-        "n_dup_lines": F.size("__l") - F.size(F.array_distinct("__l")),
+        "n_dup_lines": n_dup_lines,
         "n_repeat_words": repeats,
         "n_lines": F.size("__l"),
         "n_upper": F.regexp_count("__t", F.lit(r"\p{Lu}")),
+        "n_dup_words": F.when(n_dup_lines > 0, n_words - F.size(words_of(F.array_join(F.array_distinct("__l"), "\n"))))
+        .otherwise(0),
     }
     return base.select("doc_id", *[c.cast("bigint").alias(k) for k, c in out.items()])
 

@@ -21,7 +21,7 @@ def _read(spark: SparkSession, d: str, table: str, *columns: str) -> DataFrame:
 
 
 def op1_quality_rules(spark: SparkSession, d: str) -> DataFrame:
-    rows = quality_rules.ledger(_read(spark, d, "documents", "doc_id", "text"))
+    rows = quality_rules.ledger(_read(spark, d, "documents", "doc_id", "text"), quality_rules.LINE_RULES)
     failed = ~quality_rules.verdict(quality_rules.BASE)
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        failed.alias("base_failed"),

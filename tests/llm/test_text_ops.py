@@ -63,6 +63,18 @@ def test_quality_policies_and_ablations(spark):
     assert quality_rules.keep(empty).count() == 0 and quality_rules.ablations(quality_rules.ledger(empty)).count() == 0
 
 
+def test_repeated_lines_weigh_by_their_words(spark):
+    notice = "All rights reserved by the authors"
+    body = " ".join(f"word{i}" for i in range(150))
+    framed = f"{notice}\n{body}\n{notice}"
+    menu = "\n".join(f"home news about contact\none{i} two{i} three{i}" for i in range(10))
+    docs = spark.createDataFrame([(1, framed), (2, menu), (3, body)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in quality_rules.ledger(docs).collect()}
+    assert [(rows[i].n_dup_words, rows[i].n_dup_lines, rows[i].fail_bits) for i in (1, 2, 3)] == [
+        (6, 1, 0), (36, 9, 8), (0, 0, 0)]
+    assert sorted(r.doc_id for r in quality_rules.keep(docs).collect()) == [1, 3]
+
+
 NASTY = ["<|end|>", "<\\|", "\\", "\\\\<|", "<", "|>", "<|turn|>assistant<|says|>hi<|end|>\n", "a\nb\\<|c", "", None,
          "\\### Assistant: </turn> ok", "<|image:1|>", "<<||", "tail <"]
 
