@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -72,6 +72,25 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int)
             yield batch.slice(start)
 
 
+def numbered(rows: DataFrame, within: list[str], order: list[Column]) -> DataFrame:
+    """``rows`` with ``pos``, the place from 0 on in ``order``, and ``n``, the number of rows, per group of ``within``.
+
+    Rows are dealt into ranges of the whole key and written, the counts of the
+    ranges before give a range's first place, and only ranges are sorted: a
+    group of any size is spread over ranges. Columns of ``within`` must not be NULL.
+    """
+    ranged = rows.repartitionByRange(*[F.col(c) for c in within], *order).withColumn("__range", F.spark_partition_id())
+    ranged = stage(ranged, "ranges")
+    counts = ranged.groupBy(*within, "__range").agg(F.count("*").alias("__n"))
+    group = Window.partitionBy(*within)
+    before = group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    places = counts.select(*within, "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"),
+                           F.sum("__n").over(group).alias("n"))
+    at = F.row_number().over(Window.partitionBy(*within, "__range").orderBy(*order))
+    return (ranged.withColumn("__at", at).join(places, [*within, "__range"])
+            .withColumn("pos", F.col("__first") + F.col("__at") - 1).drop("__range", "__first", "__at"))
+
+
 def pair_blocks(rows: DataFrame, key: list[str], ident: str, cap: int) -> DataFrame:
     """Split buckets of more than ``cap`` rows into blocks.
 
