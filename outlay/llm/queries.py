@@ -1,4 +1,4 @@
-"""Registered queries of the operators: op1 .. op10 and the pipeline, with oracle SQL where SQL can say it.
+"""Registered queries of the operators: op1 .. op13 and the pipeline, with oracle SQL where SQL can say it.
 
 Each query applies its operator with production parameters to the whole table.
 """
@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (best_fit_packing, chat_format, context_tree, curriculum_mix, feistel_shard, itq_dedup, quality_rules,
-               simhash_pivot, substring_dedup, warc)
+from . import (best_fit_packing, chat_format, content_sort, context_tree, curriculum_mix, feistel_shard, itq_dedup,
+               merkle_manifest, prefix_trie, quality_rules, simhash_pivot, substring_dedup, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -201,6 +201,109 @@ FROM b
 """
 
 
+def op11_content_sort(spark: SparkSession, d: str) -> DataFrame:
+    return content_sort.dedup(_read(spark, d, "documents", "doc_id", "text"), keep="largest")
+
+
+OP11_SQL = """
+WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x
+           FROM documents),
+g AS (SELECT x, max(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM t GROUP BY x)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t.x) AS text_sha256 FROM t JOIN g ON t.x = g.x
+"""
+
+#: Unsigned CRC-32 of a VARCHAR of ASCII characters: the register takes a byte, then eight shifts.
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten([[ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]
+  for c in string_split({0}, '')])), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x)
+  WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295)"""
+
+
+def op12_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    docs = _read(spark, d, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    leaf = lambda n: merkle_manifest.leaf_of(*map(F.col, ("doc_id", "source", "lang")), n, F.col("text"))
+    honest = leaf(F.col("n_chars"))
+    out = merkle_manifest.manifest(docs, "doc_id", "lang", honest, F.when(tampered, leaf(F.col("n_chars") + 1)))
+    folded = merkle_manifest.fold(F.coalesce("claim", "leaf"), F.col("path"))
+    return out.withColumn("folded_root", folded).select(
+        "doc_id", "leaf", "subroot", "root", merkle_manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _field_sql(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR END"
+
+
+def _leaf_sql(n: str) -> str:
+    return f"sha256({' || '.join(map(_field_sql, ('doc_id', 'source', 'lang', n, 'text')))})"
+
+
+OP12_SQL = f"""
+WITH RECURSIVE l AS (SELECT doc_id, coalesce('=' || lang, '') AS grp, {_leaf_sql('n_chars')} AS leaf,
+       CASE WHEN {CRC32_SQL.format('doc_id::VARCHAR')} % 7 = 0 THEN {_leaf_sql('(n_chars + 1)')} ELSE {_leaf_sql('n_chars')}
+       END AS claim FROM documents),
+p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l),
+low(lv, grp, pos, h, n) AS (
+  SELECT 0, grp, pos, leaf, count(*) OVER (PARTITION BY grp) FROM p
+  UNION ALL
+  SELECT * FROM (SELECT lv + 1, grp, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), max((n + 1) // 2)
+                 FROM low WHERE n > 1 GROUP BY lv, grp, pos // 2)),
+sub AS MATERIALIZED (SELECT grp, h, row_number() OVER (ORDER BY grp) - 1 AS pos FROM low WHERE n = 1),
+up(lv, pos, h, n) AS (
+  SELECT 0, pos, h, count(*) OVER () FROM sub
+  UNION ALL
+  SELECT * FROM (SELECT lv + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), max((n + 1) // 2)
+                 FROM up WHERE n > 1 GROUP BY lv, pos // 2)),
+root AS (SELECT h FROM up WHERE n = 1),
+steps AS MATERIALIZED (
+  SELECT p.grp, p.pos, a.lv AS s, a.pos % 2 AS slot, coalesce(b.h, '') AS sib FROM p
+  JOIN low a ON a.grp = p.grp AND a.pos = p.pos >> a.lv AND a.n > 1
+  LEFT JOIN low b ON b.grp = a.grp AND b.lv = a.lv AND b.pos = xor(a.pos, 1)
+  UNION ALL
+  SELECT p.grp, p.pos, 1000 + a.lv, a.pos % 2, coalesce(b.h, '') FROM p JOIN sub USING (grp)
+  JOIN up a ON a.pos = sub.pos >> a.lv AND a.n > 1 LEFT JOIN up b ON b.lv = a.lv AND b.pos = xor(a.pos, 1)),
+path AS (SELECT grp, pos, string_agg(sib, '' ORDER BY s) AS proof, list((slot::VARCHAR || sib) ORDER BY s) AS xs
+         FROM steps GROUP BY grp, pos),
+o AS (SELECT p.doc_id, p.leaf, sub.h AS subroot, root.h AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+             list_reduce(list_prepend(claim, coalesce(xs, [])), lambda a, x: sha256(
+               CASE WHEN x[1] = '1' THEN x[2:] || a ELSE a || x[2:] END)) AS folded_root
+      FROM p JOIN sub ON sub.grp = p.grp LEFT JOIN path ON path.grp = p.grp AND path.pos = p.pos CROSS JOIN root)
+SELECT *, folded_root = root AS verified FROM o
+"""
+
+
+def op13_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    rows = prefix_trie.turns(_read(spark, d, "conversations", "conv_id", "turn", "role", "text"))
+    return prefix_trie.trie(prefix_trie.grafted(rows, group=5, heads=9))
+
+
+OP13_SQL = f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations
+           WHERE conv_id IS NOT NULL),
+o AS MATERIALIZED (SELECT conv_id, octet_length(encode(text)) AS size,
+            sha256(octet_length(encode(role))::VARCHAR || ':' || role || text) AS x,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM t),
+c AS MATERIALIZED (SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS base, {CRC32_SQL.format('conv_id::VARCHAR')} % 9 AS h FROM o),
+r AS (SELECT c.conv_id, 0 AS own, o.pos, x, size FROM c JOIN o ON o.conv_id = c.base AND o.pos <= c.h
+      UNION ALL SELECT c.conv_id, 1, o.pos, x, size FROM c JOIN o ON o.conv_id = c.conv_id AND o.pos > c.h),
+s AS (SELECT conv_id, x, size, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS d FROM r),
+k AS MATERIALIZED (SELECT conv_id, d, size, sha256(string_agg(x, '') OVER (PARTITION BY conv_id ORDER BY d)) AS k,
+            count(*) OVER (PARTITION BY conv_id) AS len FROM s
+      UNION ALL SELECT c.conv_id, 0, 0, '', (SELECT count(*) FROM s WHERE s.conv_id = c.conv_id) FROM c),
+n AS MATERIALIZED (SELECT k, min(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs, max(len) = min(d) AS leaf,
+            (count(*) - 1) * max(size) AS saved,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len = d), '')) AS ends_sha256
+      FROM k GROUP BY k),
+p AS (SELECT n.k, q.k AS up FROM n JOIN k q ON q.conv_id = n.conv_id AND q.d = n.d - 1),
+w AS (SELECT q.k, sum(n.leaf::INT) AS n_leaves, sum(n.saved) AS saved_tokens FROM n JOIN k q ON q.conv_id = n.conv_id AND q.d <= n.d
+      GROUP BY q.k)
+SELECT n.conv_id, n.d::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       (SELECT count(*) FROM p x WHERE x.up = n.k)::BIGINT AS n_children, w.n_leaves::BIGINT AS n_leaves,
+       w.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN w ON w.k = n.k LEFT JOIN p ON p.k = n.k LEFT JOIN n u ON u.k = p.up
+"""
+
+
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline
 
@@ -209,6 +312,8 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_rules, op2_chat_format, op3_substring_dedup, op4_itq_dedup, op5_curriculum_mix, op6_context_tree,
-    op7_feistel_shard, op8_simhash_pivot, op9_best_fit_packing, op10_warc, pipeline)}
+    op7_feistel_shard, op8_simhash_pivot, op9_best_fit_packing, op10_warc, op11_content_sort, op12_merkle_manifest,
+    op13_prefix_trie, pipeline)}
 ORACLE: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op2_chat_format": OP2_SQL, "op3_substring_dedup": OP3_SQL,
-                          "op4_itq_dedup": OP4_SQL, "op5_curriculum_mix": OP5_SQL, "op10_warc": OP10_SQL}
+                          "op4_itq_dedup": OP4_SQL, "op5_curriculum_mix": OP5_SQL, "op10_warc": OP10_SQL,
+                          "op11_content_sort": OP11_SQL, "op12_merkle_manifest": OP12_SQL, "op13_prefix_trie": OP13_SQL}
