@@ -79,7 +79,7 @@ def grafted(rows: DataFrame, group: int, heads: int) -> DataFrame:
                                           .alias("base"))
     first = rows.filter((F.col("pos") < heads) & (F.col("conv_id") % group == 0)).withColumnRenamed("conv_id", "base")
     have = first.filter("pos = 1").select("base", F.col("n").alias("base_n"))
-    convs = convs.join(have, "base", "left").withColumn("b", F.coalesce(F.least("h", "base_n"), F.lit(0)))
+    convs = convs.join(have, "base", "left").withColumn("b", F.least("h", F.coalesce("base_n", F.lit(0))))
     convs = stage(convs.select("conv_id", "base", "h", "b", (F.col("b") + F.greatest(F.col("n") - F.col("h"), F.lit(0)))
                                .alias("length")), "rebuilt")
     head = first.drop("n").join(convs, "base").filter("pos <= h").select(
