@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.expressions import MONEY, banner, zero_money
@@ -69,10 +69,15 @@ def top_vendor(pos: DataFrame) -> DataFrame:
         .alias("top_vendor"))
 
 
-def backfill_contractor(projects: DataFrame, pos: DataFrame) -> DataFrame:
-    """Overwrite the contractor of every project that has POs."""
+def backfill_contractor(projects: DataFrame, pos: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """Overwrite the contractor of every project that has POs.
+
+    ``seen`` observes the projects and those overwritten as the result is written.
+    """
     tv = top_vendor(pos).withColumn("_has_po", F.lit(True))
     j = projects.join(tv, "proj_def", "left")
+    if seen is not None:
+        j = j.observe(seen, F.count(F.lit(1)).alias("load.projects"), F.count("_has_po").alias("backfill.contractor"))
     return j.select(
         *[F.when(F.col("_has_po"), F.col("top_vendor")).otherwise(F.col("general_contractor")).alias(c)
           if c == "general_contractor" else F.col(c) for c in PROJECT_COLUMNS]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import nullif_blank
 from ..params import INELIGIBLE_SCOPE_WORDS, SourceParams
 from .precedence import desc_nulls_last, pick_by
+from .rollup import COMMENT, DIRECT, UMBRELLA
 
 
 def pull_projects(raw_projects: DataFrame, enrichment: DataFrame, params: SourceParams) -> DataFrame:
@@ -97,35 +98,90 @@ PO_COLUMNS = ["po_number", "proj_def", "vendor", "po_total", "invoiced_to_date",
               "po_status", "created_date", "last_update"]
 
 
-def merge_sources(direct: DataFrame, umbrella: DataFrame, comment: DataFrame) -> DataFrame:
-    """U1 + K1 (+ J9/J10 through the source rank): first row per PO number.
+def place_umbrella(rolled: DataFrame, store_map: DataFrame, params: SourceParams) -> DataFrame:
+    """X5 + J11 on the rows of all rollups: umbrella rows get ``real_store`` and its definition (NULL: skipped)."""
+    is_umbrella = F.col("source_rank") == UMBRELLA
+    from_text = nullif_blank(F.regexp_extract(F.col("item_text"), params.item_store_regex, 1))
+    u = rolled.withColumn("real_store", F.when(is_umbrella, F.coalesce(from_text, F.col("store_nbr").cast("string"))))
+    m = store_map.select(F.col("store").alias("real_store"), F.col("proj_def").alias("_mapped"))
+    return u.join(m, "real_store", "left").withColumn(
+        "proj_def", F.when(is_umbrella, F.col("_mapped")).otherwise(F.col("proj_def"))).drop("_mapped")
+
+
+#: Rank of a PO number that comments refer to; such a row only counts, it never wins.
+REFERENCED = 9
+
+
+def by_po_number(rows: DataFrame, referenced: DataFrame | None = None) -> DataFrame:
+    """U1 + K1 (+ J9/J10 through the source rank): the first row per PO number, with the rows it was chosen from counted.
 
     Sources rank direct, umbrella, comment. Within the direct source the
     newest created date wins, within the umbrella source the lowest store;
-    vendor, item text and definition break the remaining ties.
+    vendor, item text and definition break the remaining ties. Umbrella rows
+    without a definition are counted (``n_skipped``) and never win. A number
+    that no line has, but that a comment refers to, has counts and a NULL ``source_rank``.
 
     A NULL number never collides inside the direct source, but an umbrella
     or comment row without number only enters when there is none yet. Direct
     rows without number so group by themselves, and a shadow of each competes
     in the group of the others: if a shadow wins there, that group is dropped.
+    ``shared`` marks the groups that stand for a PO number; counts over them are exact.
     """
-    d = direct.select(*PO_COLUMNS, F.lit(1).alias("source_rank"), F.lit(None).cast("long").alias("store_nbr"),
-                      F.lit(None).cast("string").alias("item_text"))
-    u = umbrella.filter(F.col("proj_def").isNotNull()).select(*PO_COLUMNS, F.lit(2).alias("source_rank"),
-                                                              "store_nbr", "item_text")
-    c = comment.select(*PO_COLUMNS, F.lit(3).alias("source_rank"), F.lit(None).cast("long").alias("store_nbr"),
-                       F.lit(None).cast("string").alias("item_text"))
+    cols = [*PO_COLUMNS, "source_rank", "store_nbr", "item_text"]
+    kinds = dict(rows.dtypes)
+    rows = rows.select(*cols)
+    if referenced is not None:
+        rows = rows.unionByName(referenced.select(*[
+            F.col(c) if c == "po_number" else F.lit(REFERENCED).alias(c) if c == "source_rank"
+            else F.lit(None).cast(kinds[c]).alias(c) for c in cols]))
     rank = F.col("source_rank")
     own = F.struct(F.struct("proj_def", "vendor").alias("own"), F.lit(False).alias("shadow"))
-    shared = lambda shadow: F.struct(F.lit(None).cast("struct<proj_def:string,vendor:string>").alias("own"),
-                                     F.lit(shadow).alias("shadow"))
-    allrows = d.unionByName(u).unionByName(c).withColumn("_g", F.explode(
-        F.when(F.col("po_number").isNull() & (rank == 1), F.array(own, shared(True))).otherwise(F.array(shared(False)))))
-    allrows = allrows.select("*", F.col("_g.own").alias("_own"), F.col("_g.shadow").alias("_shadow")).drop("_g")
-    order = [
-        rank,
-        F.when(rank == 1, desc_nulls_last(F.col("created_date"))),
-        F.when(rank == 2, F.col("store_nbr")),
-        F.col("vendor"), F.col("item_text"), F.col("proj_def"),
-    ]
-    return pick_by(allrows, ["po_number", "_own"], order).filter(~F.col("_shadow")).drop("_own", "_shadow")
+    group = lambda shadow: F.struct(F.lit(None).cast("struct<proj_def:string,vendor:string>").alias("own"),
+                                    F.lit(shadow).alias("shadow"))
+    rows = rows.withColumn("_g", F.explode(
+        F.when(F.col("po_number").isNull() & (rank == DIRECT), F.array(own, group(True))).otherwise(F.array(group(False)))))
+    rows = rows.select(*cols, F.col("_g.own").alias("_own"), F.col("_g.shadow").alias("_shadow"))
+    skipped = (rank == UMBRELLA) & F.col("proj_def").isNull()
+    order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate([
+        rank, F.when(rank == DIRECT, desc_nulls_last(F.col("created_date"))), F.when(rank == UMBRELLA, F.col("store_nbr")),
+        F.col("vendor"), F.col("item_text"), F.col("proj_def")])])
+    first = F.min_by(F.struct(*[c for c in cols if c != "po_number"], "_shadow"),
+                     F.when((rank < REFERENCED) & ~skipped, order))
+    count = lambda cond: F.count(F.when(cond, 1))
+    out = rows.groupBy("po_number", "_own").agg(
+        first.alias("_row"), count(rank == DIRECT).alias("n_direct"),
+        count((rank == UMBRELLA) & ~skipped).alias("n_mapped"), count(skipped).alias("n_skipped"),
+        count(rank == COMMENT).alias("n_comment"), count(rank == REFERENCED).alias("n_referenced"))
+    return out.select("po_number", "_row.*", F.col("_own").isNull().alias("shared"),
+                      *[c for c in out.columns if c.startswith("n_")])
+
+
+def winners(groups: DataFrame) -> DataFrame:
+    """The merged POs of ``by_po_number``."""
+    return groups.filter(F.col("source_rank").isNotNull() & ~F.col("_shadow")).select(
+        "po_number", *PO_COLUMNS[1:], "source_rank", "store_nbr", "item_text")
+
+
+def merge_figures() -> dict[str, Column]:
+    """A27 figures of the merge, as aggregates over ``by_po_number``; their names are (stage, metric)."""
+    shared, known = F.col("shared"), (F.col("n_direct") > 0) | (F.col("n_mapped") > 0)
+    total = lambda *cs: F.coalesce(F.sum(F.when(shared, sum(map(F.col, cs), F.lit(0)))), F.lit(0))
+    count = lambda cond: F.count(F.when(shared & cond, 1))
+    return {
+        "pull.direct_po_rows": total("n_direct"), "umbrella.raw_rows": total("n_mapped", "n_skipped"),
+        "umbrella.mapped": total("n_mapped"), "umbrella.skipped": total("n_skipped"),
+        "merge.umbrella_new": count((F.col("n_direct") == 0) & (F.col("n_mapped") > 0)),
+        "comment.referenced": total("n_referenced"), "comment.missing": count((F.col("n_referenced") > 0) & ~known),
+        "merge.comment_new": count(~known & (F.col("n_comment") > 0))}
+
+
+def merge_sources(direct: DataFrame, umbrella: DataFrame, comment: DataFrame) -> DataFrame:
+    """U1 + K1 of three separate sources, see ``by_po_number``."""
+    def ranked(df: DataFrame, rank: int) -> DataFrame:
+        extra = [F.lit(rank).alias("source_rank"), *[
+            F.col(c) if rank == UMBRELLA else F.lit(None).cast(t).alias(c)
+            for c, t in (("store_nbr", "long"), ("item_text", "string"))]]
+        return df.select(*PO_COLUMNS, *extra)
+
+    return winners(by_po_number(ranked(direct, DIRECT).unionByName(ranked(umbrella, UMBRELLA)).unionByName(
+        ranked(comment, COMMENT))))

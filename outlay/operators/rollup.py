@@ -84,6 +84,42 @@ def comment_rollup(po_lines: DataFrame, referenced: DataFrame) -> DataFrame:
     return _roll_up(src, {"po_number": F.col("po_nbr"), "vendor": F.col("vendor_name")})
 
 
+#: Rollups of the line facts, by the rank of their source in the merge.
+DIRECT, UMBRELLA, COMMENT = 1, 2, 3
+
+
+def tagged_rollup(po_lines: DataFrame, keys: DataFrame, referenced: DataFrame, params: SourceParams) -> DataFrame:
+    """A8, A9 and A10 in one pass over the line facts.
+
+    Every line is tagged with the rollups it feeds (a line can feed several) and
+    the lines are grouped once by rollup and key: ``source_rank``, ``po_number``, ``vendor``,
+    and ``proj_def`` (direct, comment) or ``store_nbr`` and ``item_text`` (umbrella). Lines without a tag
+    end before the shuffle.
+    """
+    defs = keys.groupBy("po_key").agg(F.collect_set("proj_def").alias("_direct"))  # definitions that share a key: few
+    refs = referenced.select(F.col("po_number").alias("_ref_po"), F.col("proj_def").alias("_ref_def"))
+    j = (po_lines.join(defs, po_lines["project_definition"] == defs["po_key"], "left")
+         .join(refs, F.col("po_nbr") == F.col("_ref_po"), "left"))
+    none, text = F.lit(None).cast("long"), F.lit(None).cast("string")
+
+    def tag(rank: int, proj_def: Column, store: Column = none, item: Column = text) -> Column:
+        return F.struct(F.lit(rank).alias("source_rank"), proj_def.alias("proj_def"),
+                        store.cast("long").alias("store_nbr"), item.alias("item_text"))
+
+    umbrella = (F.col("project_definition") == params.umbrella_key) & vendor_allowed(F.col("vendor_name"), params.umbrella_vendors)
+    empty = F.array().cast("array<struct<source_rank:int,proj_def:string,store_nbr:bigint,item_text:string>>")
+    tags = F.concat(
+        F.coalesce(F.transform("_direct", lambda d: tag(DIRECT, d)), empty),
+        F.when(umbrella, F.array(tag(UMBRELLA, text, F.col("store_nbr"), F.col("item_text")))).otherwise(empty),
+        F.when(F.col("_ref_po").isNotNull(), F.array(tag(COMMENT, F.col("_ref_def")))).otherwise(empty))
+    measures = ["net_amt", "inv_amt", "pur_doc_sts", "document_date", "ods_updated"]
+    tagged = j.select("po_nbr", "vendor_name", *measures, F.explode(tags).alias("_t")).select(
+        "po_nbr", "vendor_name", *measures, "_t.*")
+    return _roll_up(tagged, {"source_rank": F.col("source_rank"), "po_number": F.col("po_nbr"),
+                             "proj_def": F.col("proj_def"), "vendor": F.col("vendor_name"),
+                             "store_nbr": F.col("store_nbr"), "item_text": F.col("item_text")})
+
+
 NODE_MEASURES = [
     ("original_budget", "original_budget"),
     ("supplemental_budget", "supplemental_budget"),

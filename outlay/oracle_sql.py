@@ -114,7 +114,8 @@ SELECT CASE WHEN c_custkey % 20 = 0 THEN 'XD-' ELSE 'PD-' END || {_def6('c_custk
   CASE WHEN c_custkey % 8 = 0 THEN '!Unknown' ELSE 'Firm ' || CAST(c_custkey % 17 AS VARCHAR) END AS firm,
   CASE WHEN c_custkey % 5 = 0 THEN 'see acme po# ' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') || '; installer po '
        || lpad(CAST(c_custkey + 1 AS VARCHAR), 9, '0') || ' ok' END AS comments_a,
-  CASE WHEN c_custkey % 2 = 0 THEN 'reviewed' END AS comments_b
+  CASE WHEN c_custkey % 2 = 0 THEN 'reviewed' END AS comments_b,
+  CASE WHEN c_custkey % 10 <> 3 THEN CAST(DATE '2001-01-01' + CAST(c_custkey % 250 AS INTEGER) AS TIMESTAMP) END AS ods_updated
 FROM customer""")
 cte("raw_po", (), f"""
 SELECT lpad(CAST(l.l_orderkey AS VARCHAR), 8, '0') AS po_nbr,

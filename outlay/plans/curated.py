@@ -11,15 +11,15 @@ import hashlib
 import os
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import fund_nodes as fn
 from ..operators import load, merge, rollup
 from ..params import SourceParams
-from ..session import checkpoint_dir, list_files, sized_shuffle
+from ..session import checkpoint_dir, delete_path, list_files, sized_shuffle
 from ..sources import fixtures, sinks
 
 
@@ -31,10 +31,10 @@ class Stages:
     keys: DataFrame
     direct: DataFrame
     store_map: DataFrame
-    umbrella: DataFrame
     umbrella_mapped: DataFrame
     comment_map: DataFrame
     comment: DataFrame
+    groups: DataFrame
     merged: DataFrame
 
 
@@ -48,17 +48,20 @@ class Curated:
     fund_nodes: DataFrame
 
 
-def build_stages(raw: fixtures.RawInputs, params: SourceParams) -> Stages:
-    pulled = merge.pull_projects(raw.projects, raw.enrichment, params)
+def build_stages(raw: fixtures.RawInputs, params: SourceParams, pulled: DataFrame | None = None,
+                 store_map: DataFrame | None = None, comment_map: DataFrame | None = None) -> Stages:
+    """The stages of a refresh; ``pulled``, ``store_map`` and ``comment_map`` may be written tables."""
+    if pulled is None:
+        pulled = merge.pull_projects(raw.projects, raw.enrichment, params)
     keys = rollup.program_keys(raw.projects, params)
-    direct = rollup.direct_rollup(raw.po_lines, keys)
-    store_map = merge.store_key_map(pulled)
-    umbrella = rollup.umbrella_rollup(raw.po_lines, params)
-    umb_mapped = merge.umbrella_mapped(umbrella, store_map, params)
-    cmap = merge.comment_po_map(pulled, params)
-    comment = rollup.comment_rollup(raw.po_lines, cmap).join(cmap, "po_number", "inner")
-    merged = merge.merge_sources(direct, umb_mapped, comment)
-    return Stages(pulled, keys, direct, store_map, umbrella, umb_mapped, cmap, comment, merged)
+    store_map = merge.store_key_map(pulled) if store_map is None else store_map
+    cmap = merge.comment_po_map(pulled, params) if comment_map is None else comment_map
+    rows = merge.place_umbrella(rollup.tagged_rollup(raw.po_lines, keys, cmap, params), store_map, params)
+    of = lambda rank: rows.filter(F.col("source_rank") == rank)
+    groups = merge.by_po_number(rows, cmap)
+    return Stages(pulled, keys, of(rollup.DIRECT).select(*merge.PO_COLUMNS), store_map,
+                  of(rollup.UMBRELLA).drop("source_rank"), cmap, of(rollup.COMMENT).select(*merge.PO_COLUMNS), groups,
+                  merge.winners(groups))
 
 
 def build(raw: fixtures.RawInputs, params: SourceParams | None = None,
@@ -84,42 +87,62 @@ def _write(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def write_tables(spark: SparkSession, raw: fixtures.RawInputs, root: str,
+                 params: SourceParams) -> tuple[Curated, dict[str, int | str | None]]:
+    """Write the curated tables of ``raw`` under ``root``, with the figures of the load.
+
+    The project pull, the store map and the comment map are written first, so every
+    later step starts from short tables; the line facts are read once, in the
+    write of the POs, and the projects read the written POs back. Figures are observed on
+    these writes, in the stage that writes, whose tasks count once even if earlier stages
+    are run again. ``pull.lines_updated`` is a maximum, which a repeated task does not change.
+    """
+    base, stage = root.rstrip("/"), f"{root.rstrip('/')}/stage"
+    found: dict[str, int | str | None] = {}
+
+    def write(df: DataFrame, path: str, **metrics: Column) -> DataFrame:
+        seen = Observation()
+        out = _write(spark, df.observe(seen, *[c.alias(n.replace("__", ".")) for n, c in metrics.items()]) if metrics else df, path)
+        found.update(seen.get if metrics else {})
+        return out
+
+    n = F.count(F.lit(1))
+    pulled = write(merge.pull_projects(raw.projects, raw.enrichment, params), f"{stage}/pulled", pull__projects_found=n)
+    with ThreadPoolExecutor(max_workers=4) as pool:  # small stages of one job fill idle slots of another
+        nodes = pool.submit(write, fn.load_fund_nodes(raw.nodes, params), f"{base}/fund_nodes")
+        budgets = pool.submit(write, load.load_budgets(pulled), f"{base}/budgets", load__budgets=n)
+        stores = pool.submit(write, merge.store_key_map(pulled), f"{stage}/store_map", umbrella__store_keys=n)
+        cmap = pool.submit(write, merge.comment_po_map(pulled, params), f"{stage}/comment_map")
+        lines, merged, loaded = Observation(), Observation(), Observation()
+        latest = F.date_format(F.max(F.col("ods_updated").try_cast("timestamp")), "yyyy-MM-dd HH:mm:ss")
+        seen_raw = replace(raw, po_lines=raw.po_lines.observe(lines, latest.alias("pull.lines_updated")))
+        groups = build_stages(seen_raw, params, pulled, stores.result(), cmap.result()).groups
+        groups = groups.observe(merged, *[c.alias(name) for name, c in merge.merge_figures().items()])
+        pos = _write(spark, load.load_pos(merge.winners(groups)).observe(loaded, n.alias("load.pos")), f"{base}/pos")
+        back = Observation()
+        projects = _write(spark, load.backfill_contractor(load.load_projects(pulled), pos, back), f"{base}/projects")
+        out = Curated(projects=projects, budgets=budgets.result(), pos=pos, fund_nodes=nodes.result())
+    for o in (lines, merged, loaded, back):
+        found.update(o.get)
+    delete_path(spark, stage)
+    return out, found
+
+
 def materialize(spark: SparkSession, cur: Curated, root: str,
                 raw: fixtures.RawInputs | None = None, params: SourceParams | None = None) -> Curated:
     """Write the curated tables (overwrite) in dependency order.
 
-    POs are written first; with ``raw`` given, the project backfill is
-    rebuilt on the written PO table, so the PO merge runs once. Writing
-    into a fresh ``root`` per run and reading back from there is the
+    With ``raw`` given they are derived anew from it, see ``write_tables``.
+    Writing into a fresh ``root`` per run and reading back from there is the
     stage-and-swap: readers of a previous root are never disturbed, and the
     reports start from files, not from the refresh lineage.
     """
-    base = root.rstrip("/")
-    cached: list[DataFrame] = []
     if raw is not None:
-        # The project extract feeds the keys, K5, K6, K2 and K3; it is small
-        # next to the line facts, so keep it for the duration of the refresh
-        # (a lost block is recomputed from lineage).
-        p = params or SourceParams()
-        cached = [raw.projects.persist(StorageLevel.MEMORY_AND_DISK),
-                  merge.pull_projects(raw.projects, raw.enrichment, p).persist(StorageLevel.MEMORY_AND_DISK)]
-    try:
-        # Budgets and fund nodes do not depend on the PO merge: they run as
-        # concurrent jobs while POs and then projects (which read the written
-        # POs) are built, so small stages of one job fill idle slots.
-        with ThreadPoolExecutor(max_workers=3) as pool:
-            side = {n: pool.submit(_write, spark, getattr(cur, n), f"{base}/{n}") for n in ("budgets", "fund_nodes")}
-            pos = _write(spark, cur.pos, f"{base}/pos")
-            projects_src = build(raw, params, pos_source=pos).projects if raw is not None else cur.projects
-            out = {"pos": pos, "projects": _write(spark, projects_src, f"{base}/projects")}
-            out.update({n: f.result() for n, f in side.items()})
-    finally:
-        for df in cached:
-            df.unpersist()
-    return Curated(**out)
-
-
-__all__ = ["Curated", "Stages", "build", "build_stages", "from_testdata", "materialize", "shared"]
+        return write_tables(spark, raw, root, params or SourceParams())[0]
+    return Curated(**{t: _write(spark, getattr(cur, t), f"{root.rstrip('/')}/{t}") for t in _TABLES})
+
+
+__all__ = ["Curated", "Stages", "build", "build_stages", "from_testdata", "materialize", "shared", "write_tables"]
 
 
 # ------------------------------------------------------------------ sharing

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import merge
 from ..params import UNKNOWN_TS, SourceParams
 from ..session import input_bytes, sized_shuffle
 from ..sources import fixtures, sinks
@@ -29,6 +30,7 @@ def _freshness_row(df: DataFrame, ts_col: str, key: str, label: str, refreshed_a
 def source_freshness(raw: fixtures.RawInputs, documents: DataFrame, params: SourceParams) -> DataFrame:
     """A24 + S11: newest update per source (NULL -> 'Unknown'), ordered by key."""
     rows = [
+        _freshness_row(raw.enrichment, "ods_updated", "enrichment", "Project enrichment", params.refreshed_at),
         _freshness_row(raw.projects, "date_modified", "project_master", "Project master", params.refreshed_at),
         _freshness_row(raw.po_lines, "ods_updated", "po_lines", "PO lines", params.refreshed_at),
         _freshness_row(documents, "last_checked", "documents", "Documents", params.refreshed_at),
@@ -41,40 +43,20 @@ def upsert_freshness(stored: DataFrame, fresh: DataFrame) -> DataFrame:
     return stored.join(fresh.select("source_key"), "source_key", "left_anti").unionByName(fresh)
 
 
+AUDIT = "stage string, metric string, value long"
+
+
 def load_audit(st: C.Stages, cur: C.Curated) -> DataFrame:
     """Found / mapped / skipped / merged / recovered / loaded / backfilled counts.
 
-    The PO figures come from one grouped pass: every PO number with the
-    sources it was seen in. Direct, umbrella and comment lines are read once
-    each, and a number's rows are counted before they are shuffled.
+    The PO figures come from the merge itself, which counts the rows it chooses
+    from: one pass over the line facts. A refresh observes the same figures on its own writes (``audit_rows``).
     """
-    def seen(df: DataFrame, source: str) -> DataFrame:
-        return df.select("po_number", F.lit(source).alias("source"))
-
-    u = st.umbrella_mapped
-    rows = (seen(st.direct, "direct")
-            .unionByName(u.select("po_number", F.when(F.col("proj_def").isNotNull(), "mapped").otherwise("skipped")
-                                  .alias("source")))
-            .unionByName(seen(st.comment, "comment")).unionByName(seen(st.comment_map, "referenced")))
-    n = {s: F.count(F.when(F.col("source") == s, 1)).alias(s)
-         for s in ("direct", "mapped", "skipped", "comment", "referenced")}
-    by_po = rows.groupBy("po_number").agg(*n.values())
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    new = lambda cond: F.count(F.when(cond, 1))
-    known = (F.col("direct") > 0) | (F.col("mapped") > 0)
-    figures = by_po.agg(
-        total("direct").alias("direct"), total(F.col("mapped") + F.col("skipped")).alias("raw"),
-        total("mapped").alias("mapped"), total("skipped").alias("skipped"),
-        new((F.col("direct") == 0) & (F.col("mapped") > 0)).alias("umbrella_new"),
-        total("referenced").alias("referenced"), new((F.col("referenced") > 0) & ~known).alias("missing"),
-        new(~known & (F.col("comment") > 0)).alias("comment_new"))
-    names = {"direct": ("pull", "direct_po_rows"), "raw": ("umbrella", "raw_rows"), "mapped": ("umbrella", "mapped"),
-             "skipped": ("umbrella", "skipped"), "umbrella_new": ("merge", "umbrella_new"),
-             "referenced": ("comment", "referenced"), "missing": ("comment", "missing"),
-             "comment_new": ("merge", "comment_new")}
-    po_part = figures.select(F.explode(F.array(*[
-        F.struct(F.lit(s).alias("stage"), F.lit(m).alias("metric"), F.col(c).cast("long").alias("value"))
-        for c, (s, m) in names.items()])).alias("x")).select("x.*")
+    figures = merge.merge_figures()
+    one = st.groups.agg(*[c.cast("long").alias(n.replace(".", "__")) for n, c in figures.items()])
+    po_part = one.select(F.explode(F.array(*[
+        F.struct(*[F.lit(x).alias(k) for k, x in zip(("stage", "metric"), n.split("."))],
+                 F.col(n.replace(".", "__")).alias("value")) for n in figures])).alias("x")).select("x.*")
 
     def count(df: DataFrame, stage: str, metric: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(stage).alias("stage"), F.lit(metric).alias("metric"),
@@ -87,16 +69,23 @@ def load_audit(st: C.Stages, cur: C.Curated) -> DataFrame:
     ])
 
 
+def audit_rows(spark: SparkSession, found: dict[str, int | str | None]) -> DataFrame:
+    """The figures that a refresh observed, in the form of ``load_audit``."""
+    return spark.createDataFrame([(*n.split("."), v) for n, v in found.items() if not isinstance(v, str | None)], AUDIT)
+
+
 Source = tuple[str, str, Callable[[], DataFrame], str]
 
 
-def checked_freshness(spark: SparkSession, sources: list[Source], refreshed_at: str) -> DataFrame:
+def checked_freshness(spark: SparkSession, sources: list[Source], refreshed_at: str,
+                      known: list[tuple[str, str, str | None]] | None = None) -> DataFrame:
     """A24 with each source on its own: (key, label, frame, timestamp column).
 
     A source that cannot be read shows 'Unknown' and leaves the others as they
-    are. One row per source reaches the driver.
+    are. One row per source reaches the driver. ``known`` are sources whose newest
+    update a read has shown already: (key, label, update or NULL).
     """
-    rows = []
+    rows = [(key, label, UNKNOWN_TS if at is None else f"{at} UTC", refreshed_at + " UTC") for key, label, at in known or []]
     for key, label, frame, column in sources:
         try:
             row = tuple(_freshness_row(frame(), column, key, label, refreshed_at).first())
@@ -119,20 +108,22 @@ def refresh(spark: SparkSession, raw: fixtures.RawInputs, documents: Callable[[]
 
     Each run writes a new version below ``out_root`` (a shared location) and
     moves the pointer when all of its tables are complete; readers of the
-    version before are not disturbed, and a failed run is never visible.
+    version before are not disturbed, and a failed run is never visible. The line facts
+    are read once: audit and freshness of the lines are observed on that read and on the writes.
     """
     p, root = params or SourceParams(), out_root.rstrip("/")
     done = sinks.current_version(spark, f"{root}/curated")
     version = done[0] + 1 if done else 0
     path = f"{root}/curated/v={version}"
     with sized_shuffle(spark, nbytes):
-        cur = C.materialize(spark, C.build(raw, p), path, raw, p)
-        load_audit(C.build_stages(raw, p), cur).write.mode("overwrite").parquet(f"{path}/load_audit")
+        cur, found = C.write_tables(spark, raw, path, p)
+        audit_rows(spark, found).coalesce(1).write.mode("overwrite").parquet(f"{path}/load_audit")
     sinks.record_version(spark, f"{root}/curated", version, path)
     fresh = checked_freshness(spark, [
+        ("enrichment", "Project enrichment", lambda: raw.enrichment, "ods_updated"),
         ("project_master", "Project master", lambda: raw.projects, "date_modified"),
-        ("po_lines", "PO lines", lambda: raw.po_lines, "ods_updated"),
-        ("documents", "Documents", documents, "last_checked")], p.refreshed_at)
+        ("documents", "Documents", documents, "last_checked")], p.refreshed_at,
+        [("po_lines", "PO lines", found["pull.lines_updated"])])
     stored = sinks.current_version(spark, f"{root}/source_freshness")
     rows = upsert_freshness(spark.read.parquet(stored[1]), fresh) if stored else fresh
     sinks.write_version(spark, rows, f"{root}/source_freshness", stored[0] + 1 if stored else 0)

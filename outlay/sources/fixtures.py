@@ -97,6 +97,8 @@ def enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("Firm "), (k % 17).cast("string"))).alias("firm"),
         comment.alias("comments_a"),
         F.when(k % 2 == 0, F.lit("reviewed")).alias("comments_b"),
+        F.when(k % 10 != 3, F.date_add(F.lit("2001-01-01").cast("date"), (k % 250).cast("int")).cast("timestamp"))
+        .alias("ods_updated"),
     )
 
 

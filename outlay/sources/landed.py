@@ -18,7 +18,7 @@ PROJECTS = ("record_id bigint, program_type string, store_nbr bigint, proj_def s
             "date_modified timestamp, actuals decimal(18,2), commitments decimal(18,2), contract decimal(18,2), "
             "contractor_po_amount decimal(18,2), created_date timestamp, complete_date timestamp")
 ENRICHMENT = ("proj_def string, entity_id bigint, seq string, store_seq string, scope string, firm string, "
-              "comments_a string, comments_b string")
+              "comments_a string, comments_b string, ods_updated timestamp")
 PO_LINES = ("po_nbr string, project_definition string, store_nbr bigint, item_text string, vendor_name string, "
             "net_amt decimal(18,2), inv_amt decimal(18,2), pur_doc_sts string, document_date timestamp, "
             "ods_updated timestamp")

@@ -114,7 +114,7 @@ def test_landed_extracts_give_the_same_tables(spark, scratch):
     PL.refresh(spark, raw, lambda: fixtures.doc_old(spark, SF001, P), out, P)
     assert rows(first.pos) == rows(PL.current(spark, out).pos)          # the version before is still readable
     fresh = {r.source_key: r.source_last_updated for r in PL.stored_freshness(spark, out).collect()}
-    assert fresh["documents"] != "Unknown" and len(fresh) == 3
+    assert fresh["documents"] != "Unknown" and fresh["enrichment"] != "Unknown" and len(fresh) == 4
 
 
 def test_null_po_numbers_across_sources(spark):

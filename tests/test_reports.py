@@ -180,8 +180,17 @@ def test_refresh_pipeline_and_shared_layer(spark, scratch):
     assert cur.pos.count() == lazy.pos.count()
     assert sorted(tuple(r) for r in cur.projects.collect()) == sorted(tuple(r) for r in lazy.projects.collect())
     fresh = spark.read.parquet(f"{scratch}/source_freshness").orderBy("source_key").collect()
-    assert [r.source_key for r in fresh] == ["documents", "po_lines", "project_master"]
+    assert [r.source_key for r in fresh] == ["documents", "enrichment", "po_lines", "project_master"]
     assert all(r.source_last_updated.endswith(" UTC") for r in fresh)
+    # the figures observed on the writes are those of the merge, and the lines are read once
+    audit = {(r.stage, r.metric): r.value for r in spark.read.parquet(f"{scratch}/curated/v=0/load_audit").collect()}
+    st = C.build_stages(fixtures.load_raw(spark, SF001, P), P)
+    assert audit == {(r.stage, r.metric): r.value for r in PL.load_audit(st, lazy).collect()}
+    plan = st.groups._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_extendedprice") and sum("l_extendedprice" in x and "Relation" in x for x in plan.split("\n")) == 1
+    by_key = {r.source_key: r.source_last_updated for r in fresh}
+    assert by_key == {r.source_key: r.source_last_updated for r in PL.source_freshness(
+        fixtures.load_raw(spark, SF001, P), fixtures.doc_old(spark, SF001, P), P).collect()}
     shared = C.shared(spark, SF001, P)
     assert shared.pos.count() == lazy.pos.count()
     assert C.shared(spark, SF001, P) is shared    # read back once per session
