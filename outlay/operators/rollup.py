@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import MONEY, po_key
@@ -96,25 +96,26 @@ def tagged_rollup(po_lines: DataFrame, keys: DataFrame, referenced: DataFrame, p
     and ``proj_def`` (direct, comment) or ``store_nbr`` and ``item_text`` (umbrella). Lines without a tag
     end before the shuffle.
     """
-    defs = keys.groupBy("po_key").agg(F.collect_set("proj_def").alias("_direct"))  # definitions that share a key: few
+    # definitions that share a key make copies of a line; only the first copy bears the other tags
+    turn = F.row_number().over(Window.partitionBy("po_key").orderBy("proj_def"))
+    defs = keys.select("po_key", F.col("proj_def").alias("_def"), (turn == 1).alias("_one"))
     refs = referenced.select(F.col("po_number").alias("_ref_po"), F.col("proj_def").alias("_ref_def"))
     j = (po_lines.join(defs, po_lines["project_definition"] == defs["po_key"], "left")
          .join(refs, F.col("po_nbr") == F.col("_ref_po"), "left"))
     none, text = F.lit(None).cast("long"), F.lit(None).cast("string")
 
-    def tag(rank: int, proj_def: Column, store: Column = none, item: Column = text) -> Column:
-        return F.struct(F.lit(rank).alias("source_rank"), proj_def.alias("proj_def"),
-                        store.cast("long").alias("store_nbr"), item.alias("item_text"))
+    def tag(cond: Column, rank: int, proj_def: Column, store: Column = none, item: Column = text) -> Column:
+        return F.when(cond, F.struct(F.lit(rank).alias("source_rank"), proj_def.alias("proj_def"),
+                                     store.cast("long").alias("store_nbr"), item.alias("item_text")))
 
+    one = F.coalesce("_one", F.lit(True))
     umbrella = (F.col("project_definition") == params.umbrella_key) & vendor_allowed(F.col("vendor_name"), params.umbrella_vendors)
-    empty = F.array().cast("array<struct<source_rank:int,proj_def:string,store_nbr:bigint,item_text:string>>")
-    tags = F.concat(
-        F.coalesce(F.transform("_direct", lambda d: tag(DIRECT, d)), empty),
-        F.when(umbrella, F.array(tag(UMBRELLA, text, F.col("store_nbr"), F.col("item_text")))).otherwise(empty),
-        F.when(F.col("_ref_po").isNotNull(), F.array(tag(COMMENT, F.col("_ref_def")))).otherwise(empty))
+    tags = F.array(tag(F.col("_def").isNotNull(), DIRECT, F.col("_def")),
+                   tag(umbrella & one, UMBRELLA, text, F.col("store_nbr"), F.col("item_text")),
+                   tag(F.col("_ref_po").isNotNull() & one, COMMENT, F.col("_ref_def")))
     measures = ["net_amt", "inv_amt", "pur_doc_sts", "document_date", "ods_updated"]
-    tagged = j.select("po_nbr", "vendor_name", *measures, F.explode(tags).alias("_t")).select(
-        "po_nbr", "vendor_name", *measures, "_t.*")
+    tagged = j.select("po_nbr", "vendor_name", *measures, F.explode(tags).alias("_t")).filter(
+        F.col("_t").isNotNull()).select("po_nbr", "vendor_name", *measures, "_t.*")
     return _roll_up(tagged, {"source_rank": F.col("source_rank"), "po_number": F.col("po_nbr"),
                              "proj_def": F.col("proj_def"), "vendor": F.col("vendor_name"),
                              "store_nbr": F.col("store_nbr"), "item_text": F.col("item_text")})
