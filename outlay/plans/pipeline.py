@@ -102,14 +102,21 @@ def stored_freshness(spark: SparkSession, out_root: str) -> DataFrame:
     return sinks.read_current(spark, f"{out_root.rstrip('/')}/source_freshness").orderBy("source_key")
 
 
+#: Versions that a refresh leaves: the one it wrote and the one before, whose readers go on.
+KEEP_VERSIONS = 2
+
+
 def refresh(spark: SparkSession, raw: fixtures.RawInputs, documents: Callable[[], DataFrame], out_root: str,
-            params: SourceParams | None = None, nbytes: int = 0) -> C.Curated:
+            params: SourceParams | None = None, nbytes: int = 0, keep_versions: int = KEEP_VERSIONS,
+            min_age_s: float = 0) -> C.Curated:
     """Extracts -> curated tables (S7, S8) -> audit (A27) -> freshness.
 
     Each run writes a new version below ``out_root`` (a shared location) and
     moves the pointer when all of its tables are complete; readers of the
     version before are not disturbed, and a failed run is never visible. The line facts
     are read once: audit and freshness of the lines are observed on that read and on the writes.
+    Versions before the newest ``keep_versions`` are deleted once unchanged for ``min_age_s``, as are
+    folders that a failed run left.
     """
     p, root = params or SourceParams(), out_root.rstrip("/")
     done = sinks.current_version(spark, f"{root}/curated")
@@ -127,6 +134,8 @@ def refresh(spark: SparkSession, raw: fixtures.RawInputs, documents: Callable[[]
     stored = sinks.current_version(spark, f"{root}/source_freshness")
     rows = upsert_freshness(spark.read.parquet(stored[1]), fresh) if stored else fresh
     sinks.write_version(spark, rows, f"{root}/source_freshness", stored[0] + 1 if stored else 0)
+    for table in ("curated", "source_freshness"):
+        sinks.expire_versions(spark, f"{root}/{table}", keep_versions, min_age_s)
     return cur
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -104,6 +106,48 @@ def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted(out)
 
 
+def plain(path: str) -> str:
+    """A path without its scheme, so that spellings of one path compare equal."""
+    return "/" + path.split(":", 1)[-1].strip("/")
+
+
+def unchanged_for(spark: SparkSession, path: str, seconds: float) -> bool:
+    """Whether nothing at or below ``path`` changed in that time; a folder that changed itself is not listed."""
+    fs, p = _fs(spark, path)
+    before = (time.time() - seconds) * 1000
+    return fs.getFileStatus(p).getModificationTime() <= before and all(t <= before for _, _, t in list_files(spark, path))
+
+
+#: Folders of scratch below the checkpoint folder, and the age from which a run's scratch is no longer in use.
+SCRATCH_AREAS = ("outlay-llm", "outlay-places", "outlay-folders")
+SCRATCH_MAX_AGE_S = 7 * 24 * 3600.0
+_TIDIED: set[tuple[str, str]] = set()
+
+
+def expire_scratch(spark: SparkSession, max_age_s: float = SCRATCH_MAX_AGE_S) -> list[str]:
+    """Delete scratch folders in which nothing changed for ``max_age_s``; returns them.
+
+    Scratch is written once and read by the job that wrote it, so age tells
+    what a job that ended, or failed, has left.
+    """
+    top = checkpoint_dir(spark).rstrip("/")
+    gone = [d for area in SCRATCH_AREAS for d in list_dirs(spark, f"{top}/{area}") if unchanged_for(spark, d, max_age_s)]
+    for d in gone:
+        delete_path(spark, d)
+    return gone
+
+
+def scratch_folder(spark: SparkSession, area: str, label: str = "") -> str:
+    """A fresh folder in the shared scratch; an application's first one in an area drops what is too old there."""
+    top = checkpoint_dir(spark).rstrip("/")
+    if area not in SCRATCH_AREAS:
+        raise ValueError(f"unknown scratch area {area!r}")
+    if (spark.sparkContext.applicationId, top) not in _TIDIED:
+        _TIDIED.add((spark.sparkContext.applicationId, top))
+        expire_scratch(spark)
+    return f"{top}/{area}/{uuid.uuid4().hex}{'-' if label else ''}{label}"
+
+
 def shuffle_partitions(spark: SparkSession, nbytes: int, target_bytes: int = 256 << 20) -> int:
     """About one partition per ``target_bytes`` of input, two per core at least."""
     return max(2 * max(1, spark.sparkContext.defaultParallelism), -(-nbytes // target_bytes))

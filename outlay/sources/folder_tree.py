@@ -15,14 +15,12 @@ key presence (a missing key falls back, a present NULL does not).
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import mime_type
 from ..params import SourceParams
-from ..session import checkpoint_dir
+from ..session import scratch_folder
 
 NODE_SCHEMA = "array<struct<id:string,text:string,numFiles:bigint,children:string>>"
 RECORD_SCHEMA = "array<map<string,string>>"
@@ -55,7 +53,7 @@ def flatten_folders(trees: DataFrame) -> DataFrame:
     empty: no level is parsed twice and a lost executor re-reads one level.
     """
     spark = trees.sparkSession
-    root = f"{checkpoint_dir(spark).rstrip('/')}/outlay-folders/{uuid.uuid4().hex}"
+    root = scratch_folder(spark, "outlay-folders")
 
     def write(level: DataFrame, depth: int) -> DataFrame:
         level.write.parquet(f"{root}/depth={depth}")
