@@ -130,10 +130,9 @@ def type_label_first(c: Column, program_token: str) -> Column:
     return F.when(at > 0, F.overlay(c, F.lit(""), at, F.length(prefix))).otherwise(c)
 
 
-def entity_link(project_id: Column, base: str) -> Column:
-    """Page of a project in the document system."""
-    return F.concat(F.lit(f"{base}/project/EntityInfo.jsp?inPanel=false"
-                          "&requestedProjectEntityType=CapitalProject&projectEntityID="), project_id)
+def entity_link(project_id: Column, base: str, page: str) -> Column:
+    """Page of a project in the document system; ``page`` is the path up to the id."""
+    return F.concat(F.lit(f"{base}{page}"), project_id)
 
 
 def type_category(c: Column, words: tuple[str, ...]) -> Column:

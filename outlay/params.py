@@ -90,6 +90,7 @@ class SourceParams:
     # The refresh clock; injected so every run is reproducible.
     refreshed_at: str = "2001-12-01 12:00:00"
     doc_url_base: str = "https://docs.example.invalid"
+    project_page: str = "/projects/view?id="
 
     @property
     def item_store_regex(self) -> str:

@@ -346,6 +346,13 @@ def display_rows(rows: DataFrame, program_token: str) -> DataFrame:
     )
 
 
+def email_places(cur: Curated, selection: DataFrame, as_of: str = DEFAULT_AS_OF) -> DataFrame:
+    """The place of every selected PO row in the e-mail, by vendor, PO number and project."""
+    order = ["vendor", "po_number", "project_id"]
+    rows = email_rows(cur, selection, as_of).select(*order)
+    return with_places(rows, [F.col(c).asc() for c in order])
+
+
 def write_email_report(cur: Curated, selection: DataFrame, root: str, as_of: str = DEFAULT_AS_OF) -> None:
     """Per-vendor sections and the plain-text body lines as JSON datasets."""
     base = root.rstrip("/")

@@ -119,7 +119,7 @@ def unchanged_for(spark: SparkSession, path: str, seconds: float) -> bool:
 
 
 #: Folders of scratch below the checkpoint folder, and the age from which a run's scratch is no longer in use.
-SCRATCH_AREAS = ("outlay-llm", "outlay-places", "outlay-folders")
+SCRATCH_AREAS = ("outlay-llm", "outlay-places", "outlay-folders", "outlay-written")
 SCRATCH_MAX_AGE_S = 7 * 24 * 3600.0
 _TIDIED: set[tuple[str, str]] = set()
 

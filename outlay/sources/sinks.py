@@ -118,6 +118,13 @@ def _buckets_of(spark: SparkSession, base: str) -> dict[int, str]:
     return {int(d.rsplit("=", 1)[1]): d for d in list_dirs(spark, base) if "bucket=" in d.rsplit("/", 1)[1]}
 
 
+def _write_buckets(df: DataFrame, key: str, path: str, order: list[str]) -> None:
+    """A folder per bucket of ``key``. Rows are dealt by bucket first, so a bucket is few files; one that is
+    large is split over tasks."""
+    (df.withColumn("bucket", doc_bucket(key)).hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", *order)
+     .write.mode("overwrite").partitionBy("bucket").parquet(path))
+
+
 def write_documents(spark: SparkSession, docs: DataFrame, root: str, version: int, stream: str = "", batch: int = -1,
                     touched: list[int] | None = None, state: tuple[DataFrame, list[int]] | None = None,
                     placed: DataFrame | None = None) -> None:
@@ -132,26 +139,22 @@ def write_documents(spark: SparkSession, docs: DataFrame, root: str, version: in
     top = root.rstrip("/")
     log = doc_log(spark, root) if touched is not None else None
     base, lines = f"{top}/v={version}", []
-    (docs.withColumn("bucket", doc_bucket("project_id")).sortWithinPartitions("bucket", "project_id", "doc_id")
-     .write.mode("overwrite").partitionBy("bucket").parquet(base))
+    _write_buckets(docs, "project_id", base, ["project_id", "doc_id"])
     have = _buckets_of(spark, base)
     lines += [("docs", b, True, have.get(b)) for b in (touched if touched is not None else range(DOC_BUCKETS))]
     entries = (docs if placed is None else placed).select("doc_id", "project_id").filter("doc_id IS NOT NULL").distinct()
-    (entries.withColumn("bucket", doc_bucket("doc_id")).sortWithinPartitions("bucket", "doc_id")
-     .write.mode("overwrite").partitionBy("bucket").parquet(f"{top}/index/v={version}"))
+    _write_buckets(entries, "doc_id", f"{top}/index/v={version}", ["doc_id"])
     added = _buckets_of(spark, f"{top}/index/v={version}")
     full = {b: [*paths, added[b]] for b, paths in doc_folders(log, "index", list(added)).items() if len(paths) >= INDEX_FOLDERS}
     if full:
         merged = read_index(spark, [p for paths in full.values() for p in paths]).distinct()
-        (merged.withColumn("bucket", doc_bucket("doc_id")).sortWithinPartitions("bucket", "doc_id")
-         .write.mode("overwrite").partitionBy("bucket").parquet(f"{top}/index/v={version}-merged"))
+        _write_buckets(merged, "doc_id", f"{top}/index/v={version}-merged", ["doc_id"])
         added |= _buckets_of(spark, f"{top}/index/v={version}-merged")
     lines += [("index", b, touched is None or b in full, added.get(b))
               for b in (range(DOC_BUCKETS) if touched is None else added)]
     if state is not None:
         rows, buckets = state
-        (rows.withColumn("bucket", doc_bucket("project_id")).write.mode("overwrite").partitionBy("bucket")
-         .parquet(f"{top}/state/v={version}"))
+        _write_buckets(rows, "project_id", f"{top}/state/v={version}", ["project_id", "snapshot_id"])
         kept = _buckets_of(spark, f"{top}/state/v={version}")
         lines += [("state", b, True, kept.get(b)) for b in buckets]
     spark.createDataFrame([(version, stream, batch, *x) for x in lines] or [(version, stream, batch, None, None, None, None)],

@@ -111,9 +111,11 @@ def merge_batch(spark: SparkSession, root: str, now: str, batch: DataFrame, batc
 
 
 def start_doc_sync(spark: SparkSession, incoming_dir: str, table_root: str, checkpoint: str, now: str,
-                   available_now: bool = True, max_wait_s: float = MAX_WAIT_S) -> StreamingQuery:
+                   available_now: bool = True, max_wait_s: float = MAX_WAIT_S,
+                   files_per_batch: int | None = None) -> StreamingQuery:
     """Start the stream: parquet snapshot files -> foreachBatch(D1)."""
-    src = spark.readStream.schema(INCOMING_SCHEMA).parquet(incoming_dir)
+    options = {} if files_per_batch is None else {"maxFilesPerTrigger": files_per_batch}
+    src = spark.readStream.schema(INCOMING_SCHEMA).options(**options).parquet(incoming_dir)
 
     def apply(df: DataFrame, batch_id: int) -> None:
         # the stream's own id: a checkpoint that was started anew has another one
@@ -125,5 +127,17 @@ def start_doc_sync(spark: SparkSession, incoming_dir: str, table_root: str, chec
     return w.start()
 
 
+def as_listings(incoming: DataFrame, attempted: DataFrame, snapshot_id: int = 1) -> DataFrame:
+    """One complete listing per attempted project, as arrivals: its documents and a closing row."""
+    kinds = dict(c.split() for c in INCOMING_SCHEMA.split(", "))
+    number = F.lit(snapshot_id).cast("long").alias("snapshot_id")
+    rows = incoming.select(*INCOMING_SCHEMA_COLUMNS[:-2], number, F.lit(None).cast("long").alias("snapshot_docs"))
+    counts = attempted.join(incoming.groupBy("project_id").agg(F.count(F.lit(1)).alias("n")), "project_id", "left")
+    closing = counts.select(*[
+        number if c == "snapshot_id" else F.coalesce("n", F.lit(0)).alias(c) if c == "snapshot_docs"
+        else F.col(c) if c == "project_id" else F.lit(None).cast(kinds[c]).alias(c) for c in INCOMING_SCHEMA_COLUMNS])
+    return rows.unionByName(closing)
+
+
 def read_current(spark: SparkSession, table_root: str) -> DataFrame:
     return sinks.read_documents(spark, table_root, STORED_SCHEMA)

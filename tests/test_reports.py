@@ -57,30 +57,29 @@ def _n(key, year, desc, orig, sup, ret, cur, act, avail, dist, cfp, count):
 
 
 def _golden(spark):
-    # invented figures; in each row available = current - actuals - commitments
+    # made-up figures; in each row available = current - actuals - commitments
     rows = [
-        _n("PLB", 2022, "plb", 100, 900, 0, 1000, 600, 400, 150, 150, 4),
-        _n("PLB", 2023, "plb", 150, 400, -200, 350, 300, 50, 30, 30, 4),
-        _n("PLB", 2024, "plb", 60, 0, 0, 60, 10.5, 49.5, 9.5, 9.5, 3),
-        _n("PLB", 2025, "plb2", 40, 0, 0, 40, 0, 40, 0, 40, 3),
-        _n("PLB", 2026, "plb2", 40, 800, -700, 140, 90, 50, 19.75, 40, 7),
-        _n("TANK", 2026, "tanks", 0, 500, 0, 500, 125, 375, 300, 0, 76),
-    ] + [_n("LIFT", y, "Not found", 0, 0, 0, 0, 0, 0, 0, 0, 0) for y in range(2022, 2027)]
+        _n("TANK", 2011, "tank works", 0, 640, 0, 640, 200, 440, 310, 0, 12),
+        _n("ROOF", 2011, "roof", 70, 30, 0, 100, 25.25, 74.75, 10, 5, 2),
+        _n("ROOF", 2012, "roof", 0, 0, 0, 0, 0, 0, 0, 0, 1),
+        _n("ROOF", 2013, "roof, new", 500, 120, -20, 600, 450.5, 149.5, 80, 12.5, 9),
+        _n("SIGN", 2012, "signs", 15, 5, 0, 20, 20, 0, 20, 0, 31),
+        _n("SIGN", 2013, "signs", 45, 0, -45, 0, 0, 0, 0, 0, 8),
+    ] + [_n("PUMP", y, "Not found", 0, 0, 0, 0, 0, 0, 0, 0, 0) for y in (2011, 2012, 2013)]
     return spark.createDataFrame(rows, NODE)
 
 
 def test_fund_node_golden(spark):
     nodes = _golden(spark)
-    assert nodes.count() == 11
+    assert nodes.count() == 9
     got = {r.node_key: r for r in fn.node_budgets(nodes).collect()}
-    plb, tank, lift = got["PLB"], got["TANK"], got["LIFT"]
-    assert (float(plb.current_budget), float(plb.actuals), float(plb.budget_available), plb.project_count) == \
-        (1590.0, 1000.5, 589.5, 21)
-    assert (float(tank.current_budget), float(tank.actuals), float(tank.budget_available), tank.project_count) == \
-        (500.0, 125.0, 375.0, 76)
-    assert float(lift.current_budget) == 0 and lift.project_count == 0
+    figures = lambda r: (float(r.current_budget), float(r.actuals), float(r.budget_available), r.project_count)
+    assert figures(got["ROOF"]) == (700.0, 475.75, 224.25, 12)
+    assert figures(got["SIGN"]) == (20.0, 20.0, 0.0, 39)
+    assert figures(got["TANK"]) == (640.0, 200.0, 440.0, 12)
+    assert figures(got["PUMP"]) == (0.0, 0.0, 0.0, 0)
     t = fn.node_totals(fn.node_budgets(nodes)).collect()[0]
-    assert (t.total_budget, t.total_spent, t.total_available) == (2090.0, 1125.5, 964.5)
+    assert (t.total_budget, t.total_spent, t.total_available) == (1360.0, 695.75, 664.25)
     # identity of every listed row
     bad = nodes.filter(F.col("budget_available") != F.col("current_budget") - F.col("actuals")
                        - F.col("open_commitments")).count()
@@ -88,9 +87,9 @@ def test_fund_node_golden(spark):
 
 
 def test_static_nodes_keep_empty_year(spark):
-    got = {r.node_key: r for r in fn.static_node_rollup(_golden(spark), 2025).collect()}
+    got = {r.node_key: r for r in fn.static_node_rollup(_golden(spark), 2012).collect()}
     assert got["TANK"].current_budget == 0.0 and got["TANK"].actuals is None and got["TANK"].node_label == "Tank"
-    assert got["PLB"].description == "plb2"
+    assert got["ROOF"].description == "roof"
 
 
 DOCS = ("doc_id string, project_id string, folder_id string, folder_category string, sub_folder string, "
