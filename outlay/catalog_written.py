@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from . import catalog as K
 from . import oracle_sql as O
 from .operators import documents as DOC
+from .operators.sorted_copy import SortedCopy, read_sorted
+from .params import PoFilter
 from .plans import pipeline as PL
 from .plans import pos as POS
 from .plans import projects as PR
@@ -169,3 +171,34 @@ def q_email_places(spark, d):
     cur = K._cur(spark, d)
     return POS.email_places(cur, K._email_selection(cur), K.AS_OF)
 
+
+# ------------------------------------------------------------- sorted copies
+
+#: A deep page under a filter, from the copy in the order of the vendors.
+COPY_FILTER = PoFilter(sort="vendor", order="asc", page_size=100, has_remaining=True)
+COPY_AFTER = ("Supplier#000000030", "00000500", None)
+
+
+def _copied_base(spark: SparkSession, d: str, f: PoFilter) -> SortedCopy:
+    """The PO base in the order of ``f``, written once a session and input."""
+    key = (spark.sparkContext.applicationId, d, repr(list_files(spark, d)), f.sort, f.order)
+    if key not in _RUNS:
+        _RUNS[key] = scratch_folder(spark, "outlay-written", "sorted")
+        POS.sorted_base(K._cur(spark, d), f, _RUNS[key], K.AS_OF)
+    return read_sorted(spark, _RUNS[key], POS.sorted_order(f))
+
+
+@register("po_page_sorted_copy", K.ORACLE["po_page_keyset"])
+def q_po_page_sorted_copy(spark, d):
+    """O3 + O2: the keyset page from a sorted copy of the PO base; ranges away from the cursor are not read."""
+    return POS.po_page_sorted(_copied_base(spark, d, K.KEYSET_FILTER), K.KEYSET_FILTER, K.KEYSET_AFTER)
+
+
+@register("po_page_sorted_filtered", O.sql(f"""
+SELECT {O.PO_PRESENT} FROM po_base
+WHERE remaining_to_invoice > 0 AND (vendor > 'Supplier#000000030' OR (vendor = 'Supplier#000000030'
+  AND (po_number > '00000500' OR (po_number = '00000500' AND project_id IS NOT NULL))))
+ORDER BY vendor ASC NULLS FIRST, po_number ASC NULLS FIRST, project_id ASC NULLS FIRST LIMIT 100""", "po_base"))
+def q_po_page_sorted_filtered(spark, d):
+    """O3 + F7: a filtered keyset page from the copy sorted by vendor."""
+    return POS.po_page_sorted(_copied_base(spark, d, COPY_FILTER), COPY_FILTER, COPY_AFTER)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import aging_days, default_label, out_money, safe_pct, ts_text, zero_money
 from ..functions.search import po_search
 from ..operators.places import with_places
+from ..operators.sorted_copy import SortedCopy, behind, page_after, write_sorted
 from ..params import DEFAULT_AS_OF, UNKNOWN_VENDOR, PoFilter
 from .curated import Curated
 
@@ -157,18 +158,6 @@ def po_places(cur: Curated, order: str = "asc", as_of: str = DEFAULT_AS_OF) -> D
     return placed.select("sort", "po_number", "project_id", "position")
 
 
-def _after(keys: list[tuple[Column, bool, object]]) -> Column:
-    """Rows behind a cursor: lexicographic, NULL first ascending and last descending."""
-    c, desc, value = keys[0]
-    v = F.lit(value)
-    if value is None:
-        beyond = F.lit(False) if desc else c.isNotNull()
-    else:
-        beyond = (c < v) | c.isNull() if desc else c > v
-    beyond = F.coalesce(beyond, F.lit(False))
-    return beyond if len(keys) == 1 else beyond | (c.eqNullSafe(v) & _after(keys[1:]))
-
-
 CURSOR = ("sort_value", "po_number", "project_id")
 
 
@@ -183,7 +172,7 @@ def po_page_after(cur: Curated, f: PoFilter, after: tuple | None, as_of: str = D
     key = PO_SORT.get(f.sort or "", "po_number")
     rows = filtered(cur, f, as_of)
     if after is not None:
-        rows = rows.filter(_after([(F.col(key), f.order == "desc", after[0]), (F.col("po_number"), False, after[1]),
+        rows = rows.filter(behind([(F.col(key), f.order == "desc", after[0]), (F.col("po_number"), False, after[1]),
                                    (F.col("project_id"), False, after[2])]))
     page = rows.orderBy(*sort_columns(f)).limit(f.page_size)
     if not cursor:
@@ -195,6 +184,20 @@ def po_page_after(cur: Curated, f: PoFilter, after: tuple | None, as_of: str = D
 PO_KEYS = ["po_number", "project_id"]
 
 
+def sorted_order(f: PoFilter) -> list[tuple[str, bool]]:
+    return [(PO_SORT.get(f.sort or "", "po_number"), f.order == "desc"), ("po_number", False), ("project_id", False)]
+
+
+def sorted_base(cur: Curated, f: PoFilter, path: str, as_of: str = DEFAULT_AS_OF, ranges: int | None = None) -> SortedCopy:
+    """A copy of the PO base in the order of ``f``, for ``po_page_sorted``."""
+    return write_sorted(po_base(cur, as_of), sorted_order(f), path, ranges)
+
+
+def po_page_sorted(copy: SortedCopy, f: PoFilter, after: tuple | None) -> DataFrame:
+    """O3: the page of ``po_page_after`` from a sorted copy, reading only ranges behind the cursor until it is full."""
+    return present(page_after(copy, after, f.page_size, po_filter(f)))
+
+
 def po_page_count(cur: Curated, f: PoFilter, as_of: str = DEFAULT_AS_OF) -> DataFrame:
     """R4 total rows and total pages = max(1, ceil(total / size))."""
     c = filtered(cur, f, as_of).agg(F.count(F.lit(1)).alias("total"))
