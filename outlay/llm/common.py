@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,7 +9,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import scratch_folder
 
 #: A word is a maximal run of characters outside this class; the same six
 #: characters are what ``bytes.split()`` separates on.
@@ -41,7 +40,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/outlay-llm/{uuid.uuid4().hex}-{label}"
+    return scratch_folder(spark, "outlay-llm", label)
 
 
 def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
