@@ -302,10 +302,9 @@ def trie(rows: DataFrame) -> DataFrame:
             break
         salt += 1
     sums, ends = subtrees(paths, nodes), end_digests(paths)
-    smallest = nodes.filter("d = 0").select(F.lit(1).cast("bigint").alias("d"), F.col("conv_id").alias("of_start"))
     parents = nodes.select(F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("conv_id").alias("of_parent"))
-    above = nodes.filter("d > 1").join(parents, ["p1", "p2"]).select(*KEY, "of_parent")
-    out = nodes.join(sums, KEY).join(ends, KEY, "left").join(above, KEY, "left").join(smallest, "d", "left")
-    return out.select("conv_id", F.col("d").alias("depth"), F.coalesce("of_parent", "of_start").alias("parent_conv_id"),
+    above = nodes.filter("d > 0").join(parents, ["p1", "p2"]).select(*KEY, "of_parent")
+    out = nodes.join(sums, KEY).join(ends, KEY, "left").join(above, KEY, "left")
+    return out.select("conv_id", F.col("d").alias("depth"), F.col("of_parent").alias("parent_conv_id"),
                       "n_convs", "n_children", "n_leaves", "saved_tokens",
                       F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
