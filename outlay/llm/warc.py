@@ -232,7 +232,29 @@ def read(spark: SparkSession, folder: str, manifest: DataFrame, split_bytes: int
         "payload_bytes bigint, payload_digest string, payload binary"))
 
 
+class DamagedArchive(ValueError):
+    """Archives whose records are not those that their manifest counts."""
+
+
+def verify(records: DataFrame, manifest: DataFrame, shown: int = 20) -> DataFrame:
+    """``records``, after each file's were counted against ``manifest`` (path, records).
+
+    Records that cannot be decoded are not among those read, so a file with fewer
+    than it was written with is damaged: an error names such files and both counts.
+    """
+    read_back = records.groupBy("path").agg(F.count("*").alias("found"))
+    wrong = manifest.join(read_back, "path", "left").withColumn("found", F.coalesce("found", F.lit(0))).filter(
+        "records <> found")
+    files = wrong.orderBy("path").limit(shown).collect()
+    if files:
+        raise DamagedArchive("; ".join(f"{r['path']}: {r['found']} of {r['records']} records" for r in files)
+                             + (" and others" if len(files) == shown else ""))
+    return records
+
+
 def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Write the pages as archives, then read these back."""
-    folder = scratch(pages.sparkSession, "warc")
-    return read(pages.sparkSession, folder, write(pages, folder, min_bytes))
+    """Write the pages as archives, then read these back; every file's records are counted against the manifest."""
+    spark = pages.sparkSession
+    folder = scratch(spark, "warc")
+    manifest = write(pages, folder, min_bytes)
+    return verify(stage(read(spark, folder, manifest), "records"), manifest)
