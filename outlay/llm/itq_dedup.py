@@ -2,14 +2,15 @@
 
 ITQ: on a bounded, documented sample (``FIT_ROWS`` rows by hash of the id) a
 rotation is learned that makes the signs of the rotated vectors the best
-binary code for them. Several rotations, from different random starts, give as
-many bits as the tables need. Every row is coded.
+binary code for them, after the sample's mean is taken off, so that bits are balanced. Several rotations, from
+different random starts, give as many bits as the tables need. Every row is coded.
 
 Retrieval: the code is cut into one key per table; rows of one label that
 agree on a whole key are candidates. Key length grows with the logarithm of the
-largest label, and the number of tables follows from it so that a pair at the
-threshold agrees on a key with the probability ``RECALL`` even if its bits flip
-as often as for random hyperplanes (ITQ flips fewer). Nothing is dropped:
+largest label, and the number of tables follows from it and from how far the sample's
+vectors lie from their mean, so that a pair at the threshold agrees on a key with the
+probability ``RECALL`` even if its bits flip as often as for random hyperplanes through
+the mean (ITQ flips fewer). Nothing is dropped:
 buckets of any size are split into blocks in which each pair meets once.
 
 Rerank: a candidate pair is linked if the cosine of the original vectors, in
@@ -39,18 +40,40 @@ from .components import components, local_components
 
 THRESHOLD, RECALL = 0.98, 0.999
 FIT_ROWS, ITERATIONS, BUCKET_ROWS = 20_000, 30, 64
+#: Tables from which shorter keys are taken instead.
+MOST_TABLES = 64
 
 
 def table_plan(largest_label: int, threshold: float = THRESHOLD, recall: float = RECALL,
-               bucket_rows: int = BUCKET_ROWS) -> tuple[int, int]:
-    """(bits per key, number of tables)."""
+               bucket_rows: int = BUCKET_ROWS, radii: np.ndarray | None = None) -> tuple[int, int]:
+    """(bits per key, number of tables).
+
+    ``radii`` are distances of unit vectors from their centre, 1 by default. Two
+    vectors at the threshold are 2 sin(angle / 2) apart; seen from a centre nearer to
+    them the angle between them is wider and more bits flip, so more tables, then
+    shorter keys, make up for it. ``recall`` is the mean over ``radii``.
+    """
     bits = min(30, max(4, math.ceil(math.log2(max(largest_label, 1) / bucket_rows + 1))))
-    agree = (1 - math.acos(threshold) / math.pi) ** bits
-    return bits, math.ceil(math.log(1 - recall) / math.log(1 - agree))
+    half = math.sin(math.acos(threshold) / 2)
+    angles = np.array([math.acos(threshold)]) if radii is None else 2 * np.arcsin(np.minimum(1, half / np.maximum(radii, half)))
+    while True:
+        missed = 1 - (1 - angles / math.pi) ** bits
+        tables = math.ceil(math.log(1 - recall) / math.log(missed.mean()))
+        while (missed ** tables).mean() > 1 - recall and tables < MOST_TABLES:
+            tables += 1
+        if (missed ** tables).mean() <= 1 - recall or bits == 1:
+            return bits, tables
+        bits -= 1
+
+
+def centre(sample: np.ndarray) -> np.ndarray:
+    """Mean of the unit vectors ``sample`` (n, d), from which codes are read: about half of the rows lie on either
+    side of a plane through it, also where all vectors share an offset."""
+    return sample.mean(axis=0) if len(sample) else np.zeros(sample.shape[1])
 
 
 def learn_rotations(sample: np.ndarray, count: int, iterations: int = ITERATIONS, seed: int = 42) -> np.ndarray:
-    """``count`` rotations (count, d, d) learned on unit vectors ``sample`` (n, d)."""
+    """``count`` rotations (count, d, d) learned on centred vectors ``sample`` (n, d)."""
     d, out = sample.shape[1], []
     axes = np.linalg.eigh(sample.T @ sample)[1] if len(sample) else np.eye(d)
     turned = sample @ axes
@@ -128,15 +151,17 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, cap: int = 1024, per_
 def _links_of(classes: DataFrame, dim: int, largest: int, threshold: float, cap: int, per_task: int) -> DataFrame:
     """(class_id, links, root) per class and block, for vectors of one length."""
     spark = classes.sparkSession
-    bits, tables = table_plan(largest, threshold)
     fit = classes.orderBy(F.xxhash64("x"), "node").limit(FIT_ROWS).select("x").toArrow()
     sample = _dense(fit.column("x"), dim)
-    rotations = learn_rotations(sample / np.linalg.norm(sample, axis=1, keepdims=True), -(-bits * tables // dim))
+    sample = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    middle = centre(sample)
+    bits, tables = table_plan(largest, threshold, radii=np.linalg.norm(sample - middle, axis=1) if len(sample) > 1 else None)
+    rotations = learn_rotations(sample - middle, -(-bits * tables // dim))
 
     def code(batches):
         for b in batches:
             x = _dense(pa.chunked_array([b.column("x")]), dim)
-            k = keys(x, rotations, bits, tables)
+            k = keys(x / np.linalg.norm(x, axis=1, keepdims=True) - middle, rotations, bits, tables)
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.FixedSizeListArray.from_arrays(pa.array(k.ravel()), tables).cast(pa.list_(pa.int64()))],
                 [*b.schema.names, "keys"])
