@@ -97,10 +97,12 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: tuple[Schedule, ...] = SCHEDULES,
         budget: float = BUDGET, max_epochs: int = MAX_EPOCHS, per_range: int = 100_000,
-        carry: list[str] | None = None) -> DataFrame:
+        carry: list[str] | None = None, whole: bool = False) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, ``parts`` and columns ``carry``.
 
     ``parts`` has an entry per reading that takes words: (epoch, words, position).
+    The document in which a source's demand ends gives its first words, or with
+    ``whole`` all of them or none, whichever is nearer to the demand.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
@@ -130,6 +132,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, schedules: tuple[Sc
     def reading(epoch: int) -> Column:
         at = F.col("before") + F.col("source_size") * epoch
         words = F.least(F.greatest(demand - at, F.lit(0)), F.col("size"))
+        if whole:
+            words = F.when(2 * words >= F.col("size"), F.col("size")).otherwise(0)
         share = F.least(at / F.greatest(demand, F.lit(1)), F.lit(1.0))
         position = F.lit(None).cast("double")
         for k, s in enumerate(schedules):
@@ -151,17 +155,6 @@ def in_training_order(mixed: DataFrame) -> DataFrame:
 
 
 def materialize(docs: DataFrame) -> DataFrame:
-    """The mixed corpus: columns of ``docs``, a row per reading, range-sorted by position.
-
-    A reading that takes part of a document keeps its first words.
-    """
-    rows = in_training_order(mix(docs, carry=docs.columns))
-    cut, whole = F.col("words") < F.col("size"), F.col("carried.text")
-    # split before each word that follows white space: the first pieces are the first words
-    pieces = F.split(F.regexp_replace(whole, r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?![\x20\x09-\x0D])", -1)
-    text = F.when(cut, F.array_join(F.slice(pieces, 1, F.col("words").cast("int")), "")).otherwise(whole)
-    out = {c: F.col(f"carried.`{c}`") for c in docs.columns} | {"text": text}
-    if "n_chars" in out:
-        kind = docs.schema["n_chars"].dataType
-        out["n_chars"] = F.when(cut, F.length(text)).otherwise(out["n_chars"]).cast(kind)
-    return rows.select(*[v.alias(c) for c, v in out.items()])
+    """The mixed corpus: columns of ``docs``, a row per reading, range-sorted by position; every reading is of a whole document."""
+    rows = in_training_order(mix(docs, carry=docs.columns, whole=True))
+    return rows.select(*[F.col(f"carried.`{c}`").alias(c) for c in docs.columns])
