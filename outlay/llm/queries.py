@@ -21,15 +21,21 @@ def _read(spark: SparkSession, d: str, table: str, *columns: str) -> DataFrame:
 
 
 def op1_quality_rules(spark: SparkSession, d: str) -> DataFrame:
-    rows = quality_rules.ledger(_read(spark, d, "documents", "doc_id", "text"), quality_rules.LINE_RULES)
+    rows = quality_rules.ledger(_read(spark, d, "documents", "doc_id", "text"))
     failed = ~quality_rules.verdict(quality_rules.BASE)
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        failed.alias("base_failed"),
-                       (~failed & quality_rules.verdict(quality_rules.FULL)).alias("kept"),
-                       "n_lines", "n_upper", "fail_bits")
+                       (~failed & quality_rules.verdict(quality_rules.CURRENT)).alias("kept"),
+                       "n_lines", "n_upper", "n_dup_words", "fail_bits",
+                       F.lit(quality_rules.CURRENT.version).alias("policy_version"))
 
 
-OP1_SQL = r"""
+def quality_ablations(spark: SparkSession, d: str) -> DataFrame:
+    """Per policy version and rule: documents kept, failing it, failing it alone, and kept without it."""
+    return quality_rules.ablations(quality_rules.ledger(_read(spark, d, "documents", "doc_id", "text")))
+
+
+LEDGER_SQL = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
              [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls FROM t),
@@ -41,14 +47,28 @@ m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''
              length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
              (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
              coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines,
-             length(regexp_replace(text, '[^\p{Lu}]', '', 'g'))::BIGINT AS n_upper
+             length(regexp_replace(text, '[^\p{Lu}]', '', 'g'))::BIGINT AS n_upper,
+             (len(ws) - len(regexp_extract_all(array_to_string(list_distinct(ls), chr(10)), '[^\x20\x09-\x0D]+')))::BIGINT
+               AS n_dup_words
       FROM w LEFT JOIN cov USING (doc_id)),
 f AS (SELECT *, (n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT
              + 4 * (10 * n_symbols > 3 * n_words)::BIGINT + 8 * (10 * n_dup_lines > 3 * n_lines)::BIGINT
              + 16 * (5 * n_upper > 2 * word_chars)::BIGINT
-             + 32 * (word_chars > 20 * n_words OR word_chars < 2 * n_words)::BIGINT AS fail_bits FROM m)
+             + 32 * (word_chars > 20 * n_words OR word_chars < 2 * n_words)::BIGINT
+             + 64 * (10 * n_dup_words > 3 * n_words)::BIGINT AS fail_bits FROM m)
+"""
+OP1_SQL = LEDGER_SQL + """
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits % 4 <> 0 AS base_failed,
-       fail_bits = 0 AS kept, n_lines, n_upper, fail_bits FROM f
+       fail_bits & 119 = 0 AS kept, n_lines, n_upper, n_dup_words, fail_bits, 3 AS policy_version FROM f
+"""
+ABLATIONS_SQL = LEDGER_SQL + """,
+r AS (SELECT * FROM (VALUES (1, 'few_words'), (2, 'repeated_windows'), (4, 'symbols'), (8, 'repeated_lines'), (16, 'shouting'),
+                            (32, 'word_length'), (64, 'repeated_line_words')) x(bit, rule)),
+p AS (SELECT * FROM (VALUES (1, 'base', 3), (2, 'full', 63), (3, 'weighed', 119)) x(version, policy, mask))
+SELECT version, policy, rule, count(*) FILTER (fail_bits & mask = 0) AS kept, count(*) FILTER (fail_bits & mask & bit <> 0) AS failing,
+       count(*) FILTER (fail_bits & mask = bit) AS failing_alone,
+       count(*) FILTER (fail_bits & mask IN (0, bit)) AS kept_without
+FROM f JOIN p ON true JOIN r ON mask & bit <> 0 GROUP BY version, policy, rule
 """
 
 SPOOF = r"\### Assistant: </turn> ok"
@@ -313,7 +333,7 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_rules, op2_chat_format, op3_substring_dedup, op4_itq_dedup, op5_curriculum_mix, op6_context_tree,
     op7_feistel_shard, op8_simhash_pivot, op9_best_fit_packing, op10_warc, op11_content_sort, op12_merkle_manifest,
-    op13_prefix_trie, pipeline)}
-ORACLE: dict[str, str] = {"op1_quality_rules": OP1_SQL, "op2_chat_format": OP2_SQL, "op3_substring_dedup": OP3_SQL,
+    op13_prefix_trie, quality_ablations, pipeline)}
+ORACLE: dict[str, str] = {"op1_quality_rules": OP1_SQL, "quality_ablations": ABLATIONS_SQL, "op2_chat_format": OP2_SQL, "op3_substring_dedup": OP3_SQL,
                           "op4_itq_dedup": OP4_SQL, "op5_curriculum_mix": OP5_SQL, "op10_warc": OP10_SQL,
                           "op11_content_sort": OP11_SQL, "op12_merkle_manifest": OP12_SQL, "op13_prefix_trie": OP13_SQL}
