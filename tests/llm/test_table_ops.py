@@ -81,6 +81,43 @@ def test_itq_table_plan_reaches_the_recall():
         assert 1 - (1 - agree) ** tables >= itq_dedup.RECALL and bits <= 30
 
 
+def test_itq_codes_stay_balanced_under_a_common_offset(spark):
+    """Vectors with an offset of three deviations in every component: even bits, short buckets, whole links."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((1500, 24)) + 3
+    x[700:1000] = x[:300] + 0.02 * rng.standard_normal((300, 24))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    middle = itq_dedup.centre(unit)
+    bits, tables = itq_dedup.table_plan(1500, radii=np.linalg.norm(unit - middle, axis=1))
+    turns = itq_dedup.learn_rotations(unit - middle, -(-bits * tables // 24))
+    found = itq_dedup.keys(unit - middle, turns, bits, tables)
+    ones = (found[:, :, None] >> np.arange(bits) & 1).mean(axis=0)
+    assert np.abs(ones - 0.5).mean() < 0.05
+    assert np.bincount(found[:, 0]).max() < 1500 / 2
+    links = unit @ unit.T >= 0.98
+    np.fill_diagonal(links, False)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in itq_dedup.link(df).collect()}
+    assert all(got[i] <= links[i].sum() for i in got) and sum(got.values()) >= 0.99 * links.sum() > 500
+
+
+def test_itq_query_counts_planted_links_as_its_sql(spark, scratch):
+    import duckdb
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(120):
+        v = rng.standard_normal(16)
+        for k in range(1 + 3 * (i % 4 == 0)):
+            rows.append((len(rows), (v + 0.01 * k * rng.standard_normal(16)).tolist(), i % 3, "clash"))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, x string")
+    df.coalesce(1).write.parquet(f"{scratch}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{scratch}/embeddings.parquet/*.parquet')")
+    want = sorted(con.execute(queries.ORACLE["op4_itq_dedup"]).fetchall())
+    assert sorted(tuple(r) for r in queries.op4_itq_dedup(spark, scratch).collect()) == want
+    assert sum(r[1] for r in want) > 100
+
+
 def shares(sizes, weights=(3, 1, 2), budget=1.5, cap=2):
     """Targets by handing the excess on, again and again."""
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
@@ -99,6 +136,19 @@ def shares(sizes, weights=(3, 1, 2), budget=1.5, cap=2):
     return got
 
 
+def near_targets(mixed, rows, sizes, want):
+    """Whole documents only, twice at most, and each source within half its longest document of the target."""
+    texts, taken, longest = {(r[0], r[1]) for r in rows}, defaultdict(int), defaultdict(int)
+    for _, t, s, *_ in rows:
+        longest[s] = max(longest[s], len(WORD.findall(t or "")))
+    for r in mixed:
+        assert (r.doc_id, r.text) in texts
+        taken[r.source] += len(WORD.findall(r.text or ""))
+    copies, given = Counter((r.doc_id, r.text) for r in mixed), Counter((r[0], r[1]) for r in rows)
+    assert all(n <= 2 * given[k] for k, n in copies.items())
+    assert all(abs(taken[s] - want[s]) <= longest[s] / 2 + 1 for s in sizes)
+
+
 def test_mix_targets_and_taken_words(spark):
     rng = random.Random(2)
     rows = [(i, " ".join("x" * rng.randint(0, 40)), rng.choice(["a", "b", "b", "b", "é", "", None, "z"]), 1)
@@ -125,7 +175,7 @@ def test_mix_targets_and_taken_words(spark):
     ordered = [r.position for r in curriculum_mix.in_training_order(curriculum_mix.mix(df)).collect()]
     assert ordered == sorted(ordered)
     whole = curriculum_mix.materialize(df).collect()
-    assert sum(len(WORD.findall(r.text)) for r in whole) == sum(taken.values())
+    near_targets(whole, rows, sizes, want)
     assert curriculum_mix.materialize(df.limit(0)).count() == 0
 
 
@@ -353,6 +403,18 @@ def test_warc_reader_skips_what_is_no_record():
         assert [warc._page(r["warc-record-id"]) for _, r in got] == [0, 1, 2, 3]
 
 
+def test_warc_names_damaged_files(spark, scratch):
+    df, folder = pages(spark), os.path.join(scratch, "damaged")
+    manifest = warc.write(df, folder, file_bytes=20000)
+    assert warc.verify(warc.read(spark, folder, manifest), manifest).count() == df.count()
+    hurt = manifest.orderBy("path").first()
+    with open(os.path.join(folder.removeprefix("file://"), hurt.path), "r+b") as f:
+        f.seek(hurt.bytes // 2)
+        f.write(b"\0" * 40)
+    with pytest.raises(warc.DamagedArchive, match=rf"{hurt.path}: \d+ of {hurt.records} records"):
+        warc.verify(warc.read(spark, folder, manifest), manifest)
+
+
 def test_warc_empty(spark):
     assert warc.round_trip(pages(spark).limit(0)).count() == 0
 
@@ -386,14 +448,11 @@ def test_pipeline_stages_match_brute_force(spark):
     sizes = defaultdict(int)
     for r in before.collect():
         sizes[r.source] += len(WORD.findall(r.text))
-    taken = defaultdict(int)
-    for r in after.collect():
-        taken[r.source] += len(WORD.findall(r.text))
-    assert {s: round(x) for s, x in shares(sizes).items()} == {s: taken[s] for s in sizes}
+    near_targets(after.collect(), [(r.doc_id, r.text, r.source) for r in before.collect()], sizes, shares(sizes))
     before, after = seen["best_fit_packing"]
     assert sum(r.piece_tokens for r in after.collect()) == sum(len(WORD.findall(t)) + 1 for _, t in rows(before))
 
 
 def test_queries_and_oracles():
-    assert set(queries.ORACLE) <= set(queries.QUERIES) and len(queries.QUERIES) == 11
+    assert set(queries.ORACLE) <= set(queries.QUERIES) and len(queries.QUERIES) == 15
     assert quality_rules.FULL.mask() == 63
