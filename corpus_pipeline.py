@@ -20,7 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the full policy."""
+    """Documents that pass the current policy."""
     return quality_rules.keep(docs)
 
 
@@ -35,8 +35,7 @@ def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per reading that the mix takes words of, in training order; a
-    document in which its source's demand ends is cut there."""
+    """A row per reading of the mix, in training order; every reading is of a whole document."""
     return curriculum_mix.materialize(docs)
 
 
