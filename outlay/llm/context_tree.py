@@ -102,10 +102,15 @@ def _distinct(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nd
 
 
 def tokenize(texts: Iterable[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Distinct words in order of first use, the tokens of all texts as indices into them, and tokens per text."""
-    ids: dict[bytes, int] = {}
-    found = [np.array([ids.setdefault(w, len(ids)) for w in [*t.split(), END.encode()]], np.int32) for t in texts]
-    return list(ids), np.concatenate(found), np.array([len(f) for f in found])
+    """Distinct words in order of first use, the tokens of all texts as indices into them, and tokens per text.
+
+    Texts are words joined by one space; each gets its end token.
+    """
+    closed = pa.array([t + b" " + END.encode() if t else END.encode() for t in texts], pa.large_binary())
+    tokens = pa.compute.split_pattern(closed.cast(pa.large_string()), " ")
+    coded = tokens.values.dictionary_encode()
+    return (coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy(),
+            pa.compute.list_value_length(tokens).to_numpy().astype(np.int64))
 
 
 class Lookup:
@@ -127,12 +132,14 @@ class Lookup:
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         at = self._home(keys)
-        found = self.slots[at]
-        while len(off := np.flatnonzero(self.keys[found] != keys)):
+        found = self.slots.take(at, mode="clip")
+        off = np.flatnonzero(self.keys.take(found, mode="wrap") != keys)
+        while len(off):
             if (found[off] < 0).any():
                 raise KeyError("gram without a value")
             at[off] = (at[off] + 1) & self.last
-            found[off] = self.slots[at[off]]
+            found[off] = self.slots.take(at[off], mode="clip")
+            off = off[self.keys.take(found[off], mode="wrap") != keys[off]]
         return found
 
 
