@@ -14,7 +14,7 @@ words and distinct grams (context and byte) are the only rows that meet
 others, so a hot word sends one row per block. The tree is built per context
 suffix of two bytes; what is above has at most 256 x 255 nodes, the proven
 bound of what goes through the driver and to every task. Values return to the
-block, which holds its texts compressed; of the word counts only those that
+block, which holds its words and token numbers compressed; of the word counts only those that
 other blocks add to return. Keys are made a slice at a time.
 
 Defined cases: a NULL or empty text is one end token; a NULL doc_id counts as
@@ -60,9 +60,23 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(shift)
 
 
+#: ln(gamma(n + 1/2)) and ln(gamma(n + 1)) of the small counts that most nodes have
+SMALL = 1 << 12
+_HALVES, _WHOLES = log_gamma(np.arange(SMALL) + 0.5), log_gamma(np.arange(SMALL) + 1.0)
+
+
+def _gamma_at(counts: np.ndarray, table: np.ndarray, plus: float) -> np.ndarray:
+    """ln(gamma(n + plus)) of whole counts, read from ``table`` where it reaches."""
+    out = table.take(counts.astype(np.int64), mode="clip")
+    large = np.flatnonzero(counts >= SMALL)
+    out[large] = log_gamma(counts[large] + plus)
+    return out
+
+
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """ln of the Krichevsky-Trofimov probability of a sequence with these counts."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - np.log(np.pi) - log_gamma(zeros + ones + 1)
+    """ln of the Krichevsky-Trofimov probability of a sequence with these (whole) counts."""
+    return (_gamma_at(zeros, _HALVES, 0.5) + _gamma_at(ones, _HALVES, 0.5) - np.log(np.pi)
+            - _gamma_at(zeros + ones, _WHOLES, 1.0))
 
 
 def grams_of(words: list[bytes], tokens: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -93,7 +107,7 @@ def _distinct(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nd
     if counts is None:
         keys = np.sort(keys)
     else:
-        order = np.argsort(keys)
+        order = np.argsort(keys, kind="stable")  # keys are a few sorted runs: merged, not sorted
         keys, counts = keys[order], counts[order]
     new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
     if counts is None or not len(keys):
@@ -101,10 +115,18 @@ def _distinct(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nd
     return keys[new], np.add.reduceat(counts, new)
 
 
+class _Numbers(dict):
+    """Numbers words in order of first use."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def tokenize(texts: Iterable[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct words in order of first use, the tokens of all texts as indices into them, and tokens per text."""
-    ids: dict[bytes, int] = {}
-    found = [np.array([ids.setdefault(w, len(ids)) for w in [*t.split(), END.encode()]], np.int32) for t in texts]
+    ids = _Numbers()
+    found = [np.fromiter(map(ids.__getitem__, [*t.split(), END.encode()]), np.int32) for t in texts]
     return list(ids), np.concatenate(found), np.array([len(f) for f in found])
 
 
@@ -151,13 +173,24 @@ class Tree:
     """
 
     def __init__(self, grams: np.ndarray, counts: np.ndarray, top: int, depth: int = DEPTH):
-        byte, k = (grams & np.uint64(255))[:, None], np.arange(8, dtype=np.uint64)[None, :]
-        prefix = (np.uint64(1) << k) | (byte >> (np.uint64(8) - k))
-        self.bit = ((byte >> (np.uint64(7) - k)) & np.uint64(1)).astype(np.int64)
-        node = ((grams >> np.uint64(8))[:, None] << np.uint64(8)) | prefix
-        n = np.repeat(counts.astype(np.float64), 8)
-        flat = self.bit.ravel()
-        ids, self.path, (zeros, ones) = _sum_by(node.ravel(), n * (1 - flat), n * flat)
+        byte, k = grams & np.uint64(255), np.arange(8, dtype=np.uint64)
+        self.bit = ((byte[:, None] >> (np.uint64(7) - k)) & np.uint64(1)).astype(np.int64)
+        # in the order of the grams the nodes of a decision are runs, so no node is sorted
+        order = np.argsort(grams)
+        context, byte, n = (grams[order] >> np.uint64(8)) << np.uint64(8), byte[order], counts[order].astype(float)
+        self.path = np.empty((len(grams), 8), np.int64)
+        ids, zeros, ones, nodes = [], [], [], 0
+        for j in range(8):
+            node = context | np.uint64(1 << j) | (byte >> np.uint64(8 - j))
+            new = np.append(True, node[1:] != node[:-1])[:len(node)]
+            at, first = np.cumsum(new) - 1, np.flatnonzero(new)
+            one = np.bincount(at, n * self.bit[order, j], len(first))
+            ids.append(node[first])
+            ones.append(one)
+            zeros.append(np.bincount(at, n, len(first)) - one)
+            self.path[order, j] = at + nodes
+            nodes += len(first)
+        ids, zeros, ones = (np.concatenate(v) for v in (ids, zeros, ones))
         kt = log_kt(zeros, ones)
         self.ids, self.levels, weighted = {depth: ids}, {depth: [None, zeros, ones, kt, kt]}, kt
         for d in range(depth - 1, top - 1, -1):
@@ -179,7 +212,7 @@ class Tree:
             stop = np.exp(_HALF + kt - weighted) if d < depth else 1.0
             mixed = mixed + rest * stop * (ones + 0.5) / (zeros + ones + 1)
             rest = rest * (1 - stop)
-        one = mixed[self.path].reshape(self.bit.shape)
+        one = mixed[self.path]
         return np.log10(np.where(self.bit == 1, one, 1 - one)).sum(axis=1)
 
 
@@ -196,11 +229,8 @@ def _blocks(docs: DataFrame) -> DataFrame:
         words, tokens, sizes = tokenize(t for _, t in docs)
         learns = np.array([not held_out(doc_id) for doc_id, _ in docs])
         trained = np.bincount(tokens[np.repeat(learns, sizes)], minlength=len(words))
-        packed = pa.RecordBatch.from_arrays([pa.array([d[0] for d in docs], pa.int64()),
-                                             pa.array([d[1] for d in docs], pa.binary())], ["doc_id", "text"])
+        own = rows(0, block, 1, docs=pa.array([_pack([d[0] for d in docs], words, tokens, sizes)], pa.binary()))
         docs.clear()
-        own = rows(0, block, 1, docs=pa.array([_to_bytes(packed)], pa.binary()))
-        del packed
         yield own
         del own
         text = pa.array(words, pa.binary()).cast(pa.string())
@@ -237,15 +267,25 @@ def _blocks(docs: DataFrame) -> DataFrame:
         run, "kind int, block bigint, key bigint, word string, n bigint, docs binary")
 
 
-def _to_bytes(batch: pa.RecordBatch) -> bytes:
+def _pack(ids: list[int | None], words: list[bytes], tokens: np.ndarray, sizes: np.ndarray) -> bytes:
+    """A block's documents, compressed: ids, distinct words, and the token numbers as their low and high halves."""
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([v], t) for v, t in (
+            (ids, pa.list_(pa.int64())), (b" ".join(words), pa.binary()), (sizes.astype(np.int32), pa.list_(pa.int32())),
+            ((tokens & 0xFFFF).astype(np.uint16).tobytes(), pa.binary()),
+            ((tokens >> 16).astype(np.uint16).tobytes(), pa.binary()))], ["ids", "words", "sizes", "low", "high"])
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
         w.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
-def _from_bytes(raw: bytes) -> pa.Table:
-    return pa.ipc.open_stream(raw).read_all()
+def _unpack(raw: bytes) -> tuple[pa.Array, list[bytes], np.ndarray, np.ndarray]:
+    """Ids, distinct words, tokens and tokens per text of a block."""
+    t = pa.ipc.open_stream(raw).read_all()
+    at = lambda c: t.column(c)[0]
+    half = lambda c: np.frombuffer(at(c).as_buffer(), np.uint16).astype(np.int32)
+    return at("ids").values, at("words").as_py().split(b" "), half("low") | half("high") << 16, at("sizes").values.to_numpy()
 
 
 TOP = 2  # depth from which the tree is built in parts
@@ -326,26 +366,26 @@ def score(docs: DataFrame) -> DataFrame:
 
     def finish(t: pa.Table) -> pa.Table:
         whole = t.column("payload").is_valid()
-        docs_ = _from_bytes(t.filter(whole).column("payload")[0].as_py())
+        doc_ids, words_, token, sizes = _unpack(t.filter(whole).column("payload")[0].as_py())
         rest = t.select(["key", "value"]).filter(pa.compute.invert(whole))
         key, value = rest.column("key").to_numpy(), rest.column("value").to_numpy()
-        words_, token, sizes = tokenize(docs_.column("text").to_pylist())
-        ids = docs_.column("doc_id").to_pylist()
-        held = np.array([held_out(i) for i in ids])
+        held = np.array([held_out(i) for i in doc_ids.to_pylist()])
         count = np.bincount(token[np.repeat(~held, sizes)], minlength=len(words_))
         count[-1 - key[key < 0]] = value[key < 0]
         gram, log_p = key[key >= 0].view(np.uint64), value[key >= 0] / FIXED
-        scores, find = np.zeros(len(docs_)), Lookup(gram)
+        del rest, key, value
+        texts = len(sizes)
+        scores, find = np.zeros(texts), Lookup(gram)
         for k, doc in grams_of(words_, token, sizes):
-            scores += np.bincount(doc, log_p[find(k)], len(docs_))
+            scores += np.bincount(doc, log_p[find(k)], texts)
         base = np.log10(count + 0.1) - scale
         length = np.array([len(w) + 1 for w in words_])
-        of = np.repeat(np.arange(len(docs_), dtype=np.int32), sizes)
-        total = lambda v: np.bincount(of, v[token], len(docs_))
+        of = np.repeat(np.arange(texts, dtype=np.int32), sizes)
+        total = lambda v: np.bincount(of, v[token], texts)
         return pa.table({
-            "doc_id": docs_.column("doc_id"), "held_out": held,
+            "doc_id": doc_ids, "held_out": held,
             "n_tokens": sizes.astype(np.int64), "n_known": total(count > 0).astype(np.int64),
-            "train_tokens": np.full(len(ids), n_train, np.int64), "base_score": total(base), "score": scores,
+            "train_tokens": np.full(texts, n_train, np.int64), "base_score": total(base), "score": scores,
             "bits_per_byte": -scores * np.log2(10) / total(length)})
 
     return gathered.groupBy("block").applyInArrow(finish, (
