@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -51,6 +52,18 @@ def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what runs inside; the session gets its own setting back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def tasks_for(spark: SparkSession, rows: int, per_task: int) -> int:
     """Number of groups so that each holds about ``per_task`` rows."""
     return max(spark.sparkContext.defaultParallelism, -(-rows // per_task), 1)
@@ -90,6 +103,22 @@ def numbered(rows: DataFrame, within: list[str], order: list[Column]) -> DataFra
             .withColumn("pos", F.col("__first") + F.col("__at") - 1).drop("__range", "__first", "__at"))
 
 
+def copy_numbers(rows: DataFrame, key: list[str]) -> DataFrame:
+    """``rows``, written, with ``copy``: 0, 1, ... among the rows that are equal in ``key``.
+
+    Equal rows are numbered within the input partition that they come from, and
+    its first number follows from the counts of the partitions before: a row
+    that a third of a table repeats is spread over as many tasks as it comes from.
+    """
+    placed = stage(rows.withColumns({"__key": F.xxhash64(*key), "__from": F.spark_partition_id()}), "copies")
+    within = Window.partitionBy("__key").orderBy("__from").rowsBetween(Window.unboundedPreceding, -1)
+    first = (placed.groupBy("__key", "__from").agg(F.count("*").alias("__n"))
+             .select("__key", "__from", F.coalesce(F.sum("__n").over(within), F.lit(0)).alias("__first")))
+    at = F.row_number().over(Window.partitionBy("__key", "__from").orderBy("__key"))
+    return (placed.withColumn("__at", at).join(first, ["__key", "__from"])
+            .withColumn("copy", F.col("__first") + F.col("__at") - 1).drop("__key", "__from", "__first", "__at"))
+
+
 def pair_blocks(rows: DataFrame, key: list[str], ident: str, cap: int) -> DataFrame:
     """Split buckets of more than ``cap`` rows into blocks.
 

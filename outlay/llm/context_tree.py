@@ -26,7 +26,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +35,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage, tasks_for, text_slices
+from .common import arrow_rows, stage, tasks_for, text_slices
 
 DEPTH = 5
 FOLDS, BLOCK_BYTES, SLICE_WORDS, MERGE_GRAMS = 10, 16 << 20, 1 << 15, 1 << 18
+BATCH_ROWS = 500  # of whole texts that pass to Python at once
 END = "\n"
 FIXED = 1 << 30  # log10 values travel as multiples of 1 / FIXED: half the bytes of a double
 START = (b" " * DEPTH + END.encode() + b" ")[-DEPTH:]
@@ -123,11 +124,22 @@ class _Numbers(dict):
         return number
 
 
-def tokenize(texts: Iterable[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Distinct words in order of first use, the tokens of all texts as indices into them, and tokens per text."""
-    ids = _Numbers()
-    found = [np.fromiter(map(ids.__getitem__, [*t.split(), END.encode()]), np.int32) for t in texts]
-    return list(ids), np.concatenate(found), np.array([len(f) for f in found])
+class Block:
+    """Documents of a block as they come: ids, distinct words, and tokens as numbers of words."""
+
+    def __init__(self):
+        self.ids, self.numbers, self.found, self.size = [], _Numbers(), [], 0
+
+    def add(self, doc_id: int | None, text: bytes) -> None:
+        self.ids.append(doc_id)
+        self.found.append(np.fromiter(map(self.numbers.__getitem__, [*text.split(), END.encode()]), np.int32))
+        self.size += len(text) + 1
+
+    def tokens(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Words in order of first use, the tokens of all texts, and tokens per text; the block gives them up."""
+        out = list(self.numbers), np.concatenate(self.found), np.array([len(f) for f in self.found])
+        self.numbers, self.found = _Numbers(), []
+        return out
 
 
 class Lookup:
@@ -225,12 +237,11 @@ def _blocks(docs: DataFrame) -> DataFrame:
         cols |= {"kind": pa.array(np.full(size, kind, np.int32)), "block": pa.array(np.full(size, block, np.int64))}
         return pa.RecordBatch.from_arrays([cols.get(f.name, pa.nulls(size, f.type)) for f in schema], schema=schema)
 
-    def close(block: int, docs: list[tuple[int | None, bytes]]) -> Iterator[pa.RecordBatch]:
-        words, tokens, sizes = tokenize(t for _, t in docs)
-        learns = np.array([not held_out(doc_id) for doc_id, _ in docs])
+    def close(block: int, docs: Block) -> Iterator[pa.RecordBatch]:
+        words, tokens, sizes = docs.tokens()
+        learns = np.array([not held_out(doc_id) for doc_id in docs.ids])
         trained = np.bincount(tokens[np.repeat(learns, sizes)], minlength=len(words))
-        own = rows(0, block, 1, docs=pa.array([_pack([d[0] for d in docs], words, tokens, sizes)], pa.binary()))
-        docs.clear()
+        own = rows(0, block, 1, docs=pa.array([_pack(docs.ids, words, tokens, sizes)], pa.binary()))
         yield own
         del own
         text = pa.array(words, pa.binary()).cast(pa.string())
@@ -249,18 +260,19 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 u, n = _distinct(np.concatenate(keys), np.concatenate(counts))
                 keys, counts, held = [u, u[:0]], [n, n[:0]], 0
         u, n = _distinct(np.concatenate(keys), np.concatenate(counts))
-        yield rows(2, block, len(u), key=pa.array(u.view(np.int64)), n=pa.array(n))
+        for i in range(0, len(u), SLICE_WORDS):
+            some = u[i:i + SLICE_WORDS].view(np.int64)
+            yield rows(2, block, len(some), key=pa.array(some), n=pa.array(n[i:i + SLICE_WORDS]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, size, docs = TaskContext.get().partitionId() << 32, 0, []
+        block, docs = TaskContext.get().partitionId() << 32, Block()
         for part in text_slices(batches, "text", BLOCK_BYTES // 8):
             for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                docs.append((doc_id, b" ".join((text or "").encode().lower().split())))
-                size += len(docs[-1][1]) + 1
-                if size >= BLOCK_BYTES:
+                docs.add(doc_id, (text or "").encode().lower())
+                if docs.size >= BLOCK_BYTES:
                     yield from close(block, docs)
-                    block, size = block + 1, 0
-        if docs:
+                    block, docs = block + 1, Block()
+        if docs.ids:
             yield from close(block, docs)
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
@@ -341,7 +353,8 @@ def upper_levels(node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: n
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte per row of ``docs``."""
-    blocks = stage(_blocks(docs), "blocks", compression="zstd")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        blocks = stage(_blocks(docs), "blocks", compression="zstd")
     # a word has one row per block, so no key is hot
     by_word = Window.partitionBy("word")
     words = blocks.filter("kind = 1").select("block", "key", "n", F.sum("n").over(by_word).alias("c"),
