@@ -24,15 +24,20 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import tasks_for, text_or_empty
+from .common import copy_numbers, stage, tasks_for, text_or_empty
 
 ROUNDS = 6
 
 
+def whole_quotient(x: Column, by: int) -> Column:
+    """``x`` div ``by`` in whole numbers: exact over all of bigint."""
+    return F.call_function("div", x.cast("bigint"), F.lit(by).cast("bigint"))
+
+
 def feistel(x: Column, a: int, b: int, seed: int, rounds: int = ROUNDS) -> Column:
     """Image of ``x`` under the permutation of 0 .. a*b-1."""
     left = x % F.lit(a).cast("bigint")
-    pair = F.struct(left.alias("l"), ((x - left) / a).cast("bigint").alias("r"))
+    pair = F.struct(left.alias("l"), whole_quotient(x, a).alias("r"))
 
     def step(s: Column, k: Column) -> Column:
         key = F.xxhash64(F.lit(seed).cast("bigint"), k)
@@ -78,10 +83,13 @@ def longest_walk(spark, n: int, a: int, b: int, seed: int) -> int:
 def row_numbers(rows: DataFrame, order: list[str], per_bucket: int = 200_000) -> tuple[DataFrame, int]:
     """Rows with ``row_no`` (dense, from 0) and their number.
 
-    Rows are ordered by (hash bucket, ``order``); bucket sizes give each
-    bucket's first number, so only buckets are sorted, never the table.
+    Rows are ordered by (hash bucket, ``order``, copy); bucket sizes give each
+    bucket's first number, so only buckets are sorted, never the table. The
+    hash takes in the copy number, so equal rows are dealt over all buckets.
     """
     spark = rows.sparkSession
+    rows = stage(copy_numbers(rows, order), "numbered")
+    order = [*order, "copy"]
     n = rows.count()
     buckets = tasks_for(spark, n, per_bucket)
     keyed = rows.withColumn("__b", F.pmod(F.xxhash64(*order), F.lit(buckets)))
@@ -89,7 +97,7 @@ def row_numbers(rows: DataFrame, order: list[str], per_bucket: int = 200_000) ->
     first = sizes.select("__b", (F.sum("__n").over(Window.orderBy("__b")) - F.col("__n")).alias("__first"))
     at = F.row_number().over(Window.partitionBy("__b").orderBy(*[F.col(c).asc_nulls_first() for c in order]))
     numbered = keyed.withColumn("__at", at).join(first, "__b")
-    return numbered.withColumn("row_no", F.col("__first") + F.col("__at") - 1).drop("__b", "__at", "__first"), n
+    return numbered.withColumn("row_no", F.col("__first") + F.col("__at") - 1).drop("__b", "__at", "__first", "copy"), n
 
 
 def assign(docs: DataFrame, shards: int = 24, seed: int = 42) -> DataFrame:
@@ -101,4 +109,4 @@ def assign(docs: DataFrame, shards: int = 24, seed: int = 42) -> DataFrame:
     walk = longest_walk(docs.sparkSession, n, a, b, seed)
     return (numbered.withColumn("position", permute(F.col("row_no"), n, a, b, seed, walk).cast("bigint"))
             .withColumn("shard", (F.col("position") % shards).cast("int"))
-            .withColumn("slot", F.floor(F.col("position") / shards).cast("bigint")))
+            .withColumn("slot", whole_quotient(F.col("position"), shards)))
