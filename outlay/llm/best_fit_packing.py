@@ -12,12 +12,18 @@ Scale: documents are dealt by hash into packing groups of about
 ``group_docs`` documents. A group is packed by one task, in memory bounded by that
 number, so the number of groups grows with the input and the work stays linear;
 bins never span groups. The deal does not look at source or cluster, so a hot
-source is spread evenly. Only ids, sizes and hashes are shuffled, never texts.
+source is spread evenly, and so are equal rows, by their copy number. Only ids,
+sizes and hashes are shuffled, never texts.
+
+Clusters are those of near copies: the components of ``simhash_pivot``, unless
+the caller names a column that has them.
 
 Defined cases: NULL and empty texts are one end token; a NULL source is a
 source of its own; texts longer than a bin are split, never cut off; repeated rows are packed one
-by one, and as copies of each other never share a bin (nor do equal texts in
-general); NULL doc_ids are dealt by their text; an empty table gives no rows.
+by one, and as copies of each other never share a bin (nor do near copies in
+general); NULL doc_ids are dealt by their text, and where no document with an id has
+their fingerprint, they cluster by it alone; a NULL in the caller's cluster column
+is the cluster of equal texts; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,10 +32,11 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_or_empty, word_count
+from .common import copy_numbers, text_or_empty, word_count
+from .simhash_pivot import near_duplicates
 
 CAPACITY, GROUP_DOCS = 2048, 4096
 
@@ -83,20 +90,29 @@ def pack_group(sizes: list[int], sources: list[int], clusters: list[int], capaci
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, group_docs: int = GROUP_DOCS,
-         one_per_source: bool = True) -> DataFrame:
+         one_per_source: bool = True, cluster: str | None = None) -> DataFrame:
     """One row per piece: doc_id, source, n_tokens of the document, piece, piece_tokens,
-    pack_group, bin, bin_offset, cluster."""
-    text = text_or_empty(F.col("text"))
-    items = stage(docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        (word_count(F.col("text")) + 1).alias("n_tokens"), F.xxhash64(text).alias("cluster")), "items")
-    groups = max(1, -(-items.count() // group_docs))
+    pack_group, bin, bin_offset, cluster (the value of column ``cluster``, hashed)."""
+    given = F.lit(None).cast("bigint") if cluster is None else F.xxhash64(F.col(f"`{cluster}`").cast("string"))
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), "text",
+        (word_count(F.col("text")) + 1).alias("n_tokens"), F.xxhash64(text_or_empty(F.col("text"))).alias("content"),
+        (given if cluster is None else F.when(F.col(f"`{cluster}`").isNotNull(), given)).alias("cluster"))
+    if cluster is None:
+        found = near_duplicates(rows, carry=("source", "n_tokens", "content"))
+        mark = F.when(F.col("component_id").isNotNull(), F.xxhash64(F.col("component_id").cast("string")))
+        rows = found.withColumn("cluster", F.coalesce(mark, F.xxhash64(F.lit("fp"), "fp")))
+    items = rows.select("doc_id", "source", "n_tokens", "content",
+                        F.coalesce("cluster", F.xxhash64(F.lit("text"), "content")).alias("cluster"))
     # equal rows are dealt apart by their copy number, so the deal depends on the rows alone
-    copy = F.row_number().over(Window.partitionBy("doc_id", "n_tokens", "cluster").orderBy("source"))
-    dealt = items.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "n_tokens", "cluster", copy), F.lit(groups)))
+    key = ["doc_id", "source", "n_tokens", "content"]
+    items = copy_numbers(items, key)
+    groups = max(1, -(-items.count() // group_docs))
+    dealt = items.withColumn("pack_group", F.pmod(F.xxhash64(*key, "copy"), F.lit(groups)))
 
     def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("cluster", "ascending")])
+        t = t.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("content", "ascending"),
+                       ("source", "ascending"), ("copy", "ascending")])
         code = lambda c: t.column(c).combine_chunks().dictionary_encode(
             null_encoding="encode").indices.to_pylist()
         sizes = t.column("n_tokens").to_pylist()

@@ -62,16 +62,19 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row; ``fp`` holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) of every row and its columns ``carry``; ``fp`` holds the 64 bits as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text", SLICE_BYTES):
             hashed = [shingle_hashes(t, shingle) for t in part.column("text").to_pylist()]
             flat = np.fromiter((h for hs in hashed for h in hs), np.uint64)
             fp = majority(flat, np.array([len(h) for h in hashed], np.int64))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp.view(np.int64)),
+                                              *[part.column(c) for c in carry]], ["doc_id", "fp", *carry])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text", *carry)
+    types = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in carry)
+    return rows.mapInArrow(run, "doc_id bigint, fp bigint" + types)
 
 
 def band_masks(max_bits: int, distinct: int, target: int = 64) -> list[int]:
@@ -160,9 +163,10 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, cap: int = 2048, per_tas
             .groupBy("task").applyInArrow(run, "u bigint, v bigint"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp (signed long), component_id for every row of ``docs``."""
-    fps = stage(fingerprints(docs, shingle), "fingerprints")
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp (signed long), component_id and columns ``carry`` for every row of ``docs``."""
+    fps = stage(fingerprints(docs, shingle, carry), "fingerprints")
     classes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "classes")
     edges = links(classes.filter("node IS NOT NULL"), max_bits)
     several = (fps.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b"))
@@ -172,7 +176,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     found = components(edges.unionByName(same_id))
     placed = classes.join(found, "node", "left").select(
         "fp", F.coalesce("component", "node").alias("component_id"))
-    return fps.join(placed, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(placed, "fp").select("doc_id", "fp", "component_id", *carry)
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:

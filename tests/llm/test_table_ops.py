@@ -10,10 +10,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from outlay.llm import (best_fit_packing, context_tree, curriculum_mix, feistel_shard, itq_dedup, quality_rules, queries,
-                        warc)
+from outlay.llm import (best_fit_packing, common, context_tree, curriculum_mix, feistel_shard, itq_dedup, quality_rules,
+                        queries, warc)
 from outlay.llm.common import stage
 
 from .test_text_ops import EDGE, WORD, frame, measures, without_repeats
@@ -453,6 +454,58 @@ def test_pipeline_stages_match_brute_force(spark):
     assert sum(r.piece_tokens for r in after.collect()) == sum(len(WORD.findall(t)) + 1 for _, t in rows(before))
 
 
+def test_near_copies_never_share_a_bin(spark):
+    """One changed word: another text and another id, the same cluster; so for rows without id."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(400)]
+    texts = [" ".join(base[:i] + ["other"] + base[i + 1:]) for i in range(0, 400, 40)]
+    rows = [(i, f"s{i}", t) for i, t in enumerate(texts)] + [(None, "n", texts[0])]
+    rows += [(100 + i, f"s{i}", " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(400))) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = best_fit_packing.pack(docs, capacity=2048).collect()
+    near = [r for r in out if r.doc_id is None or r.doc_id < 100]
+    assert len({r.cluster for r in near}) == 1 and len({(r.pack_group, r.bin) for r in near}) == len(near) == 11
+    assert len({r.bin for r in out}) == 11  # the other texts join them
+    named = docs.withColumn("topic", F.when(F.col("doc_id") < 200, F.col("doc_id") % 2))
+    held = defaultdict(list)
+    for r in best_fit_packing.pack(named, cluster="topic").collect():
+        held[r.pack_group, r.bin].append(2 if r.doc_id is None else r.doc_id % 2)
+    assert sum(map(len, held.values())) == 21 and all(len(set(topics)) == len(topics) for topics in held.values())
+
+
+def test_a_third_of_equal_rows_is_numbered_over_tasks(spark):
+    """Copies get 0, 1, ... however they lie, are numbered within their input partition, and are dealt over groups and buckets."""
+    rows = [(7, "same")] * 4000 + [(i, f"t{i}") for i in range(8000)] + [(None, None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = common.copy_numbers(df, ["doc_id", "text"])
+    copies = defaultdict(list)
+    for r in got.collect():
+        copies[r.doc_id, r.text].append(r["copy"])
+    assert all(sorted(c) == list(range(len(c))) for c in copies.values())
+    assert len(copies[7, "same"]) == 4000 and copies[None, None] and len(copies) == 8002
+    packed = best_fit_packing.pack(df.withColumn("source", F.lit("a")), group_docs=1000)
+    groups = Counter(r.pack_group for r in packed.filter("doc_id = 7").collect())
+    assert len(groups) == 13 and max(groups.values()) < 2 * 4001 / 13
+    out = feistel_shard.assign(df).collect()
+    assert sorted(r.row_no for r in out) == list(range(len(rows)))
+
+
+def test_small_counts_are_read_from_a_table():
+    z, o = np.array([0.0, 3, 4095, 4096, 1e7]), np.array([0.0, 9, 1, 4096, 2])
+    want = [math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1) for a, b in zip(z, o)]
+    assert context_tree.log_kt(z, o) == pytest.approx(want, rel=1e-9, abs=1e-9)
+
+
+def test_a_block_gives_its_texts_back():
+    block = context_tree.Block()
+    for i, t in enumerate([b"a b  a", b"", b" \t", "ä z".encode()]):
+        block.add(None if i == 1 else i, t)
+    words, tokens, sizes = block.tokens()
+    ids, words_, tokens_, sizes_ = context_tree._unpack(context_tree._pack(block.ids, words, tokens + (1 << 17), sizes))
+    assert words_ == words == [b"a", b"b", b"\n", "ä".encode(), b"z"] and ids.to_pylist() == [0, None, 2, 3]
+    assert (tokens_ - (1 << 17)).tolist() == [0, 1, 0, 2, 2, 2, 3, 4, 2] and sizes_.tolist() == [4, 1, 1, 3]
+
+
 def test_queries_and_oracles():
     assert set(queries.ORACLE) <= set(queries.QUERIES) and len(queries.QUERIES) == 15
     assert quality_rules.FULL.mask() == 63
