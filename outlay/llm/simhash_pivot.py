@@ -180,12 +180,37 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the smallest of its component; of rows
-    with that doc_id the one with the smallest text stays. Rows without doc_id stay."""
-    found = near_duplicates(docs, shingle, max_bits).filter("doc_id <> component_id").select("doc_id").distinct()
-    whole = docs.select(F.col("doc_id").cast("bigint").alias("__id"),
+    """One row of each set of rows whose fingerprints link: that with the smallest doc_id,
+    and of several with this doc_id the one with the smallest text (NULL first).
+
+    Only links count here: unlike texts under one doc_id are documents of their
+    own, and a row goes only if its own fingerprint reaches a smaller document or
+    an equal or linked row. Rows without doc_id stay and link with nothing.
+    """
+    named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("content"))
+    named = named.filter("doc_id IS NOT NULL")
+    fps = stage(fingerprints(named, shingle, ("content",)), "fingerprints")
+    classes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+    found = components(links(classes.select("fp", F.col("fp").alias("node")), max_bits))
+    placed = classes.join(found, F.col("fp") == F.col("node"), "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("component"))
+    firsts = placed.groupBy("component").agg(F.min("first").alias("first"))
+    judged = stage(fps.join(placed.drop("first").join(firsts, "component"), "fp").drop("fp"), "judged")
+
+    stay = judged.filter("doc_id = first")
+    tied = (stay.groupBy("doc_id", "component").agg(F.min("content").alias("a"), F.max("content").alias("b"))
+            .filter("a <> b").select("doc_id", "component"))
+    close = stay.join(tied, ["doc_id", "component"], "left_semi").select("doc_id", "component", "content").distinct()
+    best = (named.join(close, ["doc_id", "content"]).groupBy("doc_id", "component")
+            .agg(F.min_by("content", F.struct("text")).alias("best")))
+    behind = close.join(best, ["doc_id", "component"]).filter("content <> best")
+    gone = (judged.filter("doc_id <> first").select("doc_id", "content")
+            .unionByName(behind.select("doc_id", "content")).distinct())
+
+    whole = docs.select(F.col("doc_id").cast("bigint").alias("__id"), F.xxhash64("text").alias("__content"),
                         F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("__row"))
-    left = whole.filter("__id IS NOT NULL").join(found, F.col("__id") == F.col("doc_id"), "left_anti")
-    nth = F.row_number().over(Window.partitionBy("__id").orderBy("__row.text"))
+    left = whole.filter("__id IS NOT NULL").join(
+        gone, (F.col("__id") == F.col("doc_id")) & (F.col("__content") == F.col("content")), "left_anti")
+    nth = F.row_number().over(Window.partitionBy("__id", "__content").orderBy("__row.text"))
     one = left.withColumn("__nth", nth).filter("__nth = 1").select("__row")
     return one.unionByName(whole.filter("__id IS NULL").select("__row")).select("__row.*")

@@ -220,6 +220,23 @@ def test_simhash_components_match_brute_force(spark):
     assert simhash_pivot.keep_one(docs.limit(0)).count() == 0
 
 
+def test_keep_one_goes_by_links_not_by_ids(spark):
+    """Unlike texts under one doc_id all stay; near and equal rows under one doc_id leave one."""
+    rng = random.Random(12)
+    text = lambda: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(300))
+    near = lambda t: t + " tail"
+    a, b, c, d, e = (text() for _ in range(5))
+    for t in (a, b, c, d):
+        assert (brute_fingerprint(t) ^ brute_fingerprint(near(t))).bit_count() <= 4
+    rows = [(1, a), (1, b), (1, a), (2, near(b)), (3, a), (4, c), (7, near(d)), (7, d), (7, near(d)), (8, e), (8, c),
+            (9, None), (9, ""), (10, " "), (None, a), (None, a)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, content string")
+    kept = simhash_pivot.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        [(1, a), (1, b), (4, c), (7, d), (8, e), (9, None), (None, a), (None, a)])
+
+
 def test_links_of_hot_buckets_match_brute_force(spark):
     rng = random.Random(9)
     centers = [rng.getrandbits(64) for _ in range(6)]
