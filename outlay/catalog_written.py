@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import catalog as K
 from . import oracle_sql as O
 from .operators import documents as DOC
+from .operators.gram_index import read_index
 from .operators.sorted_copy import SortedCopy, read_sorted
 from .params import PoFilter
 from .plans import pipeline as PL
@@ -194,6 +195,21 @@ def q_po_page_sorted_copy(spark, d):
     return POS.po_page_sorted(_copied_base(spark, d, K.KEYSET_FILTER), K.KEYSET_FILTER, K.KEYSET_AFTER)
 
 
+#: A vendor's number, a part of a PO number, and a term whose wildcard parts it into literal runs.
+FOUND_FILTER = PoFilter(sort="vendor", order="asc", search="Supplier#00000001; 0_07", has_remaining=True)
+
+
+@register("po_search_indexed", O.sql(f"SELECT {O.PO_PRESENT} FROM po_base WHERE {K._po_where(FOUND_FILTER)}", "po_base"))
+def q_po_search_indexed(spark, d):
+    """F5 + F7: every PO row that a search selects, from the trigram index of a copy sorted by vendor."""
+    copy = _copied_base(spark, d, FOUND_FILTER)
+    key = (spark.sparkContext.applicationId, d, repr(list_files(spark, d)), "grams")
+    if key not in _RUNS:
+        _RUNS[key] = scratch_folder(spark, "outlay-written", "grams")
+        POS.indexed_base(copy, _RUNS[key])
+    return POS.po_search_indexed(read_index(copy, _RUNS[key]), FOUND_FILTER)
+
+
 @register("po_page_sorted_filtered", O.sql(f"""
 SELECT {O.PO_PRESENT} FROM po_base
 WHERE remaining_to_invoice > 0 AND (vendor > 'Supplier#000000030' OR (vendor = 'Supplier#000000030'

@@ -66,13 +66,13 @@ def ascii_fold(c: Column) -> Column:
     return F.translate(c, _UPPER, _LOWER)
 
 
-def _fold_text(s: str) -> str:
+def fold_text(s: str) -> str:
     return s.translate(str.maketrans(_UPPER, _LOWER))
 
 
 def like_contains(c: Column, term: str) -> Column:
     """SQLite ``c LIKE '%term%'`` (NULL stays NULL, as in three-valued SQL)."""
-    pattern = "%" + _fold_text(term).replace("\\", "\\\\") + "%"
+    pattern = "%" + fold_text(term).replace("\\", "\\\\") + "%"
     return ascii_fold(c).like(pattern)
 
 

@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import aging_days, default_label, out_money, safe_pct, ts_text, zero_money
-from ..functions.search import po_search
+from ..functions.search import PO_SEARCH_FIELDS, ascii_fold, po_search
+from ..operators.gram_index import GramIndex, like_grams, write_index
+from ..operators.gram_index import search as search_index
 from ..operators.places import with_places
 from ..operators.sorted_copy import SortedCopy, behind, page_after, write_sorted
 from ..params import DEFAULT_AS_OF, UNKNOWN_VENDOR, PoFilter
@@ -198,6 +200,17 @@ def po_page_sorted(copy: SortedCopy, f: PoFilter, after: tuple | None) -> DataFr
     return present(page_after(copy, after, f.page_size, po_filter(f)))
 
 
+def indexed_base(copy: SortedCopy, path: str, ranges: int | None = None) -> GramIndex:
+    """The grams of all search fields (F5) of a copy that ``sorted_base`` has written."""
+    return write_index(copy, [ascii_fold(F.col(c).cast("string")) for c in PO_SEARCH_FIELDS.values()], path, ranges)
+
+
+def po_search_indexed(index: GramIndex, f: PoFilter) -> DataFrame:
+    """All rows of the copy that ``f`` selects, reading only ranges with candidates of its search."""
+    s = po_search(f.search, f.search_fields)
+    return present(search_index(index, like_grams(f.search) if s is not None else set(), po_filter(f)))
+
+
 def po_page_count(cur: Curated, f: PoFilter, as_of: str = DEFAULT_AS_OF) -> DataFrame:
     """R4 total rows and total pages = max(1, ceil(total / size))."""
     c = filtered(cur, f, as_of).agg(F.count(F.lit(1)).alias("total"))
