@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import merge
 from ..params import UNKNOWN_TS, SourceParams
-from ..session import input_bytes, sized_shuffle
+from ..session import REFRESH_TARGET_BYTES, input_bytes, sized_shuffle
 from ..sources import fixtures, sinks
 from . import curated as C
 
@@ -122,7 +122,7 @@ def refresh(spark: SparkSession, raw: fixtures.RawInputs, documents: Callable[[]
     done = sinks.current_version(spark, f"{root}/curated")
     version = done[0] + 1 if done else 0
     path = f"{root}/curated/v={version}"
-    with sized_shuffle(spark, nbytes):
+    with sized_shuffle(spark, nbytes, REFRESH_TARGET_BYTES):
         cur, found = C.write_tables(spark, raw, path, p)
         audit_rows(spark, found).coalesce(1).write.mode("overwrite").parquet(f"{path}/load_audit")
     sinks.record_version(spark, f"{root}/curated", version, path)
