@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from outlay.operators import merge, rollup
+from outlay.operators.places import with_places
 from outlay.params import SourceParams
 
 P = SourceParams()
@@ -52,3 +53,12 @@ def test_node_sums_are_hash_aggregated(spark):
     got = {r.program_position: (r.description, r.project_count, r.original_budget) for r in out.collect()}
     assert {k: (d, n, None if b is None else float(b)) for k, (d, n, b) in got.items()} == {
         "LARGE": ("b", 2, 3.5), "large": (None, 1, None)}
+
+
+def test_places_deal_the_rows_once(spark):
+    df = spark.range(500).select((F.col("id") % 3).cast("string").alias("list"), (F.col("id") * 7 % 500).alias("a"), "id")
+    placed = with_places(df, [F.col("a").asc()], ("list",), ("list", "a"), 7)
+    assert placed.columns == ["list", "a", "position"] and "row_number" not in _plan(placed)
+    rows = sorted((r.list, r.a) for r in df.collect())
+    want = {r: sum(x[0] == r[0] and x <= r for x in rows) for r in rows}
+    assert {(r.list, r.a): r.position for r in placed.collect()} == want
