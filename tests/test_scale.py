@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from outlay.operators import merge, rollup
+from outlay.operators import gram_index, merge, rollup, sorted_copy
 from outlay.operators.places import with_places
 from outlay.params import SourceParams
 
@@ -62,3 +62,19 @@ def test_places_deal_the_rows_once(spark):
     rows = sorted((r.list, r.a) for r in df.collect())
     want = {r: sum(x[0] == r[0] and x <= r for x in rows) for r in rows}
     assert {(r.list, r.a): r.position for r in placed.collect()} == want
+
+
+def test_the_manifest_and_the_index_need_no_sort_of_whole_ranges(spark, scratch):
+    df = spark.range(400).select((F.col("id") * 7 % 400).alias("id"), F.lit("Common text").alias("a"))
+    copy = sorted_copy.write_sorted(df, [("id", True)], f"{scratch}/rows", 5)
+    ends = sorted(tuple(r) for r in copy.manifest.select("range", "n", "last.id").collect())
+    rows = copy.rows.select("range", "id").collect()
+    of = lambda r: [x.id for x in rows if x.range == r]
+    assert ends == [(r, len(of(r)), min(of(r))) for r in sorted({x.range for x in rows})] and sum(n for _, n, _ in ends) == 400
+    gram_index.RANGE_COPY_ROWS, before = 10, gram_index.RANGE_COPY_ROWS
+    try:  # more rows, more ranges
+        index = gram_index.write_index(copy, [F.col("a")], f"{scratch}/grams")
+    finally:
+        gram_index.RANGE_COPY_ROWS = before
+    assert index.postings.manifest.count() > 2 * spark.sparkContext.defaultParallelism
+    assert gram_index.search(index, {"ext"}, F.col("id") == 3).count() == 1
