@@ -15,7 +15,8 @@ others, so a hot word sends one row per block. The tree is built per context
 suffix of two bytes; what is above has at most 256 x 255 nodes, the proven
 bound of what goes through the driver and to every task. Values return to the
 block, which holds its words and token numbers compressed; of the word counts only those that
-other blocks add to return. Keys are made a slice at a time.
+other blocks add to return. They return packed, a row per block and ``CHUNK_ROWS`` values, so that what
+is sorted by block is small beside the block. Keys are made a slice at a time.
 
 Defined cases: a NULL or empty text is one end token; a NULL doc_id counts as
 held out; repeated rows are scored and counted one by one; if nothing is
@@ -40,6 +41,7 @@ from .common import arrow_rows, stage, tasks_for, text_slices
 DEPTH = 5
 FOLDS, BLOCK_BYTES, SLICE_WORDS, MERGE_GRAMS = 10, 16 << 20, 1 << 15, 1 << 18
 BATCH_ROWS = 500  # of whole texts that pass to Python at once
+CHUNK_ROWS = 1 << 18  # values that a task holds to pack those of each block together
 END = "\n"
 FIXED = 1 << 30  # log10 values travel as multiples of 1 / FIXED: half the bytes of a double
 START = (b" " * DEPTH + END.encode() + b" ")[-DEPTH:]
@@ -300,6 +302,55 @@ def _unpack(raw: bytes) -> tuple[pa.Array, list[bytes], np.ndarray, np.ndarray]:
     return at("ids").values, at("words").as_py().split(b" "), half("low") | half("high") << 16, at("sizes").values.to_numpy()
 
 
+def _squeeze(numbers: np.ndarray) -> bytes:
+    """Compressed int64 numbers: all first bytes, all second bytes, and so on."""
+    return pa.compress(numbers.view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unsqueeze(raw: pa.Buffer, n: int) -> np.ndarray:
+    places = np.frombuffer(pa.decompress(raw, decompressed_size=8 * n, codec="zstd"), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(places.T).view(np.int64).ravel()
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """(block, n, payload): the (block, key, value) rows, n of one block in a payload."""
+
+    def close(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        block, key, value = (t.column(c).to_numpy() for c in ("block", "key", "value"))
+        order = np.argsort(block, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(block[order]) != 0))
+        own = np.split(order, first[1:])
+        return pa.RecordBatch.from_pydict({
+            "block": pa.array(block[order[first]]), "n": pa.array([len(i) for i in own], pa.int32()),
+            "payload": pa.array([_squeeze(np.concatenate([key[i], value[i]])) for i in own], pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if size >= CHUNK_ROWS:
+                yield close(held)
+                held, size = [], 0
+        if held:
+            yield close(held)
+
+    return rows.select("block", "key", "value").mapInArrow(run, "block bigint, n int, payload binary")
+
+
+def _unpacked(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values of a block's rows of ``_packed``."""
+    sizes = t.column("n").to_pylist()
+    key, value, at = np.empty(sum(sizes), np.int64), np.empty(sum(sizes), np.int64), 0
+    for n, raw in zip(sizes, t.column("payload")):
+        both = _unsqueeze(raw.as_buffer(), 2 * n)
+        key[at:at + n], value[at:at + n] = both[:n], both[n:]
+        at += n
+    return key, value
+
+
 TOP = 2  # depth from which the tree is built in parts
 
 
@@ -368,25 +419,24 @@ def score(docs: DataFrame) -> DataFrame:
     words = words.filter("block IS NOT NULL")
     grams = blocks.filter("kind = 2").select("block", "key", "n")
     valued = grams.select("block", "key").join(_predictions(grams.select("key", "n")), "key")
-    # one narrow row per word (key < 0) and gram (key >= 0), and the block's own row
-    row = lambda df, key, value, payload=F.lit(None).cast("binary"): df.select(
-        "block", key.cast("bigint").alias("key"), value.cast("bigint").alias("value"), payload.alias("payload"))
-    null = F.lit(None).cast("bigint")
-    own = blocks.filter("kind = 0")
-    gathered = (row(own, null, F.lit(0), F.col("docs")).unionByName(row(words, -1 - F.col("key"), F.col("c")))
-                .unionByName(row(valued, F.col("key"), F.round(F.col("log_p") * FIXED))))
+    # a value per word (key < 0) and gram (key >= 0), packed, and the block's own row, which has no n
+    row = lambda df, key, value: df.select(
+        "block", key.cast("bigint").alias("key"), value.cast("bigint").alias("value"))
+    values = row(words, -1 - F.col("key"), F.col("c")).unionByName(
+        row(valued, F.col("key"), F.round(F.col("log_p") * FIXED)))
+    own = blocks.filter("kind = 0").select("block", F.lit(None).cast("int").alias("n"), F.col("docs").alias("payload"))
+    gathered = own.unionByName(_packed(values))
     scale = np.log10(n_train + 0.1 * (vocabulary + 1))
 
     def finish(t: pa.Table) -> pa.Table:
-        whole = t.column("payload").is_valid()
+        whole = t.column("n").is_null()
         doc_ids, words_, token, sizes = _unpack(t.filter(whole).column("payload")[0].as_py())
-        rest = t.select(["key", "value"]).filter(pa.compute.invert(whole))
-        key, value = rest.column("key").to_numpy(), rest.column("value").to_numpy()
+        key, value = _unpacked(t.filter(pa.compute.invert(whole)))
         held = np.array([held_out(i) for i in doc_ids.to_pylist()])
         count = np.bincount(token[np.repeat(~held, sizes)], minlength=len(words_))
         count[-1 - key[key < 0]] = value[key < 0]
         gram, log_p = key[key >= 0].view(np.uint64), value[key >= 0] / FIXED
-        del rest, key, value
+        del key, value
         texts = len(sizes)
         scores, find = np.zeros(texts), Lookup(gram)
         for k, doc in grams_of(words_, token, sizes):

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -506,6 +507,31 @@ def test_a_block_gives_its_texts_back():
     assert (tokens_ - (1 << 17)).tolist() == [0, 1, 0, 2, 2, 2, 3, 4, 2] and sizes_.tolist() == [4, 1, 1, 3]
 
 
+def test_values_return_to_a_block_packed(spark, monkeypatch):
+    rng = random.Random(66)
+    rows = [(b, k, rng.choice([0, -1, -(1 << 33), 7])) for b in (0, 1 << 32, (1 << 32) + 1)
+            for k in [-1, -(1 << 31), 0, (1 << 48) - 1, *rng.choices(range(1 << 48), k=1500)]]
+    monkeypatch.setattr(context_tree, "CHUNK_ROWS", 1000)
+    with common.arrow_rows(spark, 100):
+        got = context_tree._packed(spark.createDataFrame(rows, "block long, key long, value long").repartition(2)).toArrow()
+    assert sum(got["n"].to_pylist()) == len(rows) and 3 * 3 < got.num_rows <= 3 * (len(rows) // 1000 + 2)
+    back = []
+    for b in set(got["block"].to_pylist()):
+        key, value = context_tree._unpacked(got.filter(pc.equal(got["block"], b)))
+        back += zip([b] * len(key), key.tolist(), value.tolist())
+    assert sorted(back) == sorted(rows)
+
+
+def test_a_block_meets_its_values_in_few_rows(spark, monkeypatch):
+    packed, seen = context_tree._packed, []
+    monkeypatch.setattr(context_tree, "_packed", lambda rows: seen.append(packed(rows)) or seen[-1])
+    rng = random.Random(67)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(40)) for _ in range(60)]
+    assert context_tree.score(frame(spark, texts).repartition(2)).count() == len(texts) + 3
+    rows = seen[0].agg({"n": "sum", "block": "count"}).first().asDict()
+    assert rows["sum(n)"] > 10_000 and rows["count(block)"] < 200
+
+
 def test_queries_and_oracles():
     assert set(queries.ORACLE) <= set(queries.QUERIES) and len(queries.QUERIES) == 15
     assert quality_rules.FULL.mask() == 63
